@@ -27,6 +27,13 @@ def feed_date(col: Column) -> Column:
     return F.coalesce(utc_naive(mail), _shaped(text, ISO_SHAPE, ISO_OFFSET_SHAPE))
 
 
+def published_day(col: Column) -> Column:
+    """The day as written, in the time zone it was written in."""
+    return F.when(col.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(col, 1, 10).try_cast("date")).otherwise(
+        F.to_date(feed_date(col))
+    )
+
+
 def history_date(col: Column) -> Column:
     """Historical news dates: `` UTC`` dropped, then the accepted shapes."""
     return _shaped(F.trim(F.replace(col, F.lit(" UTC"), F.lit(""))), NAIVE_SHAPE, OFFSET_SHAPE)

@@ -25,8 +25,13 @@ shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 # White space as a Unicode-aware matcher sees it; Java's \s alone is ASCII.
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
-# Blocks whose text is not content.
-_HIDDEN = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<![a-z][^>]*>"
+# Blocks whose text is not content; each one separates the text around it.
+HIDDEN = r"(?is)" + "|".join(
+    [rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in ("script", "style", "template")]
+    + ["<!--.*?-->", "<![a-z][^>]*>", r"<\?[^>]*>"]
+)
+TAG = r"""</?[A-Za-z][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+BLANK = r" \t\n\r\f\x{a0}"
 
 
 def or_null(col: Column | str) -> Column:
@@ -53,13 +58,13 @@ def full_text(name: Column | str, description: Column | str) -> Column:
 
 def strip_html(col: Column | str) -> Column:
     """Markup to text: every text node trimmed, nodes joined by one blank."""
-    raw = or_null(col)
-    gap = r"[ \t\n\r\f\x{a0}]*"
-    text = F.regexp_replace(raw, "(?i)&nbsp;|&#160;|&#xa0;", "\xa0")
-    text = F.regexp_replace(text, _HIDDEN, "<x>")
-    text = F.regexp_replace(text, f"(?:{gap}</?[A-Za-z][^>]*>)+{gap}", " ")
-    text = F.regexp_replace(text, f"^{gap}|{gap}$", "")
-    return unescape(text)
+    text = F.regexp_replace(or_null(col), "(?i)&nbsp;|&#160;|&#xa0;", "\xa0")
+    text = F.regexp_replace(F.regexp_replace(text, HIDDEN, "\x01"), TAG, "\x01")
+    # Blanks after a marker, then blanks before it. The look-behind keeps long
+    # runs of blanks linear.
+    text = F.regexp_replace(text, rf"\x01[{BLANK}\x01]*", "\x01")
+    text = F.regexp_replace(text, rf"(?<![{BLANK}])[{BLANK}]*\x01", " ")
+    return unescape(F.regexp_replace(text, rf"^[{BLANK}]+|(?<![{BLANK}])[{BLANK}]+$", ""))
 
 
 def unescape(col: Column) -> Column:
@@ -124,8 +129,9 @@ def with_term_counts(df: DataFrame, tokens: Column, out: str = "terms") -> DataF
 
     Equal words are neighbours in the sorted array, so a run's length is the
     distance to the next run. No (document, term) pair is ever shuffled.
+    Unnest the result with ``unnest``.
     """
-    words = df.withColumn("_words", F.array_sort(tokens))
+    words = df.withColumn("_words", F.sort_array(tokens))
     starts = words.withColumn(
         "_starts",
         F.filter(
@@ -152,5 +158,14 @@ def with_term_counts(df: DataFrame, tokens: Column, out: str = "terms") -> DataF
     ).drop("_words", "_starts")
 
 
+def unnest(df: DataFrame, keep: list[str], array: Column, out: str) -> DataFrame:
+    """One row per element of a computed array.
+
+    The outer form keeps the optimizer from testing the array's size in a filter
+    below, which would compute the array (and whatever it is made of) once more.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(out)).filter(F.col(out).isNotNull())
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col

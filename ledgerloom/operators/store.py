@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.dedup import first_per_key, without_stored
 
@@ -22,14 +21,11 @@ class BatchStore:
         self.keys = keys
         self.columns = schema.fieldNames()
         self.schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
+        # An empty batch makes the table readable before the first insert.
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=init")
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def insert(self, rows: DataFrame, batch_id: str, seq: str | None = None, dry_run: bool = False) -> int:
         """Insert the rows whose key is new and return how many there were.
@@ -42,10 +38,10 @@ class BatchStore:
         fresh = without_stored(unique, stored, self.keys).select(*self.columns)
         if dry_run:
             return fresh.count()
-        seen = Observation()
-        watched = fresh.observe(seen, F.count(F.lit(1)).alias("inserted"))
-        watched.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        return seen.get["inserted"]
+        batch = f"{self.path}/batch_id={batch_id}"
+        fresh.write.mode("overwrite").parquet(batch)
+        # Counted from the file footers of what was really written.
+        return self.spark.read.schema(fresh.schema).parquet(batch).count()
 
     def truncate_and_load(self, rows: DataFrame, batch_id: str) -> None:
         """Replace the whole content."""

@@ -8,12 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on: adaptive re-planning splits skewed
-# join partitions and merges small ones.
+# join partitions and merges small ones, and times are UTC.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.session.timeZone": "UTC",
 }
 
 _LOCAL_ROOTS: dict[str, str] = {}
