@@ -22,8 +22,10 @@ haven't isn isn't ma mightn mightn't mustn mustn't needn needn't shan shan't
 shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 """.split()
 
-# White space as a Unicode-aware matcher sees it; Java's \s alone is ASCII.
-SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# White space as a Unicode-aware matcher sees it.
+SPACE_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)])
+) + "".join(map(chr, [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 # Blocks whose text is not content; each one separates the text around it.
 HIDDEN = r"(?is)" + "|".join(
@@ -101,8 +103,10 @@ def clean_tokens(col: Column | str, stopwords: list[str] = STOPWORDS) -> Column:
     Characters other than letters and white space are deleted before the split,
     so they join the letters around them.
     """
-    text = F.regexp_replace(_c(col), SPACE + "+", " ")
-    words = F.split(F.lower(F.regexp_replace(text, "[^a-zA-Z ]", "")), " ")
+    # A translation is several times faster than a pattern of all these blanks;
+    # runs of them leave empty words, which the length test drops.
+    text = F.translate(_c(col), SPACE_CHARS, " " * len(SPACE_CHARS))
+    words = F.split(F.lower(F.regexp_replace(text, "[^a-zA-Z ]+", "")), " ")
     return F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(stopwords))
 
 

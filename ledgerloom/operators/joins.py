@@ -48,12 +48,13 @@ def salted_join(
     """Equi join whose hot keys are spread over ``SALTS`` tasks.
 
     The salt is a hash of ``spread_by``, so a recomputed task gives the same one.
-    Only the hot rows of ``right`` are repeated.
+    Only the hot rows of ``right`` are repeated; rows without a key, which match
+    nothing, are spread too.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     marks = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    spread = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     salted_left = left.join(marks, key, "left").withColumn("_salt", spread).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -57,8 +57,10 @@ def tfidf_scores(
     """
     spark = docs.sparkSession
     counted = with_term_counts(docs.select(key, text), word_tokens(text, stopwords)).select(key, "terms")
+    # Read three times below; cheaper to keep than to tokenize again.
+    counted = stage(counted, "term-counts")
     postings = unnest(counted, [key], F.col("terms"), "x").select(key, "x.term", "x.tf")
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
+    n_docs = counted.agg(F.count(F.lit(1)).alias("n"))
     stats = stage(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
     idf = (F.ln((F.lit(1.0) + n_docs.scalar()) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf")
     weights = stage(stats.select("term", "df", idf), "idf")
@@ -80,7 +82,7 @@ def tfidf_scores(
     else:
         hot = weights.filter(F.col("df") * HOT_SHARE > weights.agg(F.sum("df")).scalar())
         found = salted_join(postings, weights, "term", key, hot)
-        joined = found.unionByName(docs.select(key), allowMissingColumns=True)
+        joined = found.unionByName(counted.select(key), allowMissingColumns=True)
     w = F.col("tf") * F.col("idf")
     vectors = joined.join(F.broadcast(asked), "term", "left").groupBy(key).agg(
         F.sum(w * w).alias("square"), F.sum(w * F.coalesce("qw", F.lit(0.0))).alias("dot")

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.pipeline import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.functions.text import clean_tokens, unnest
+from ledgerloom.functions.text import clean_tokens, unnest, with_term_counts
+from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import stage
 
 MIN_DF = 3
@@ -50,115 +47,132 @@ def exclusive_words(freq: DataFrame, label: str = "label") -> DataFrame:
     return per_word.filter("lo = hi").select(F.col("lo").alias(label), "word", "n")
 
 
-def vocabulary(tokens: DataFrame, min_df: int = MIN_DF, max_features: int | None = MAX_FEATURES) -> DataFrame:
-    """Terms in ``min_df`` rows or more, the most frequent ``max_features``.
+def vocabulary(
+    docs: DataFrame, text: str = "text", min_df: int = MIN_DF, max_features: int | None = MAX_FEATURES
+) -> DataFrame:
+    """Terms in ``min_df`` texts or more, the most frequent ``max_features``.
 
-    ``term_index`` is the alphabetical position. The words of a row are sorted,
-    so the first of each run counts the row and every one counts the word: one
-    pass, and only (word, counts) is shuffled.
+    ``term_index`` is the alphabetical position. Terms are counted inside each
+    row, so only (term, counts) is shuffled.
     """
-    words = tokens.select(F.sort_array("tokens").alias("_w"))
-    flagged = F.transform(
-        "_w",
-        lambda w, i: F.struct(
-            w.alias("term"), F.when((i > 0) & (F.get(F.col("_w"), i - 1) == w), 0).otherwise(1).alias("first")
-        ),
-    )
-    marked = unnest(words, [], flagged, "x")
+    counted = with_term_counts(docs.select(F.coalesce(text, F.lit("")).alias("_text")), clean_tokens("_text"))
     counts = (
-        marked.groupBy("x.term").agg(F.sum("x.first").alias("df"), F.count(F.lit(1)).alias("freq"))
-        .filter(F.col("df") >= min_df)
+        unnest(counted, [], F.col("terms"), "x")
+        .groupBy("x.term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("x.tf").alias("freq"))
     )
-    if max_features is not None:
-        counts = counts.orderBy(F.desc("freq"), "term").limit(max_features)
-    # The vocabulary is bounded by max_features, so one ordered pass is cheap.
-    return counts.select("term", "df", "freq", (F.row_number().over(Window.orderBy("term")) - 1).alias("term_index"))
+    return _choose(counts, min_df, max_features)
+
+
+def _choose(counts: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
+    kept = counts.filter(F.col("df") >= min_df)
+    if max_features is None:
+        return kept.withColumn("term_index", F.lit(None).cast("int"))
+    kept = kept.orderBy(F.desc("freq"), "term").limit(max_features)
+    # At most max_features rows, so one ordered pass is cheap.
+    return kept.withColumn("term_index", F.row_number().over(Window.orderBy("term")) - 1)
 
 
 @dataclass
 class SentimentModel:
-    """A fitted classifier; ``score`` gives the probability of ``pos``."""
+    """A fitted classifier: one row per term and the log odds of the classes.
+
+    ``log_ratio`` is ln P(term|pos) - ln P(term|neg).
+    """
 
-    pipeline: PipelineModel
-    log_odds_shift: float
+    terms: DataFrame
+    prior: float
 
-    def transform(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """Add ``p_pos`` (full precision) and ``prediction`` (``pos``/``neg``).
+    def predict(self, df: DataFrame, key: str, text: str = "text") -> DataFrame:
+        """``key``, ``p_pos`` (full precision), ``prediction`` and ``known`` (has text).
 
-        Texts are vectorised and scored inside each row: nothing is shuffled.
+        ``key`` must be unique. Terms are counted inside each row and meet the
+        broadcast model there; after the map-side sums one small row per text is
+        shuffled.
         """
-        raw = vector_to_array("rawPrediction")
-        made = ["tokens", "counts", "weighted", "features", "rawPrediction", "probability", "nb_prediction"]
-        scored = self.pipeline.transform(df.withColumn("tokens", clean_tokens(F.coalesce(text, F.lit("")))))
-        # The library smooths the class priors; the shift puts plain ones back.
-        odds = raw[1] - raw[0] + F.lit(self.log_odds_shift)
+        known = F.coalesce(F.trim(text) != "", F.lit(False))
+        counted = with_term_counts(
+            df.select(key, known.alias("known"), F.coalesce(text, F.lit("")).alias("_text")), clean_tokens("_text")
+        )
+        postings = counted.select(key, "known", F.explode_outer("terms").alias("x")).select(
+            key, "known", "x.term", "x.tf"
+        )
+        w = F.col("tf") * F.col("idf")
+        sums = (
+            lookup_join(postings, self.terms.select("term", "idf", "log_ratio"), "term", key, "left")
+            .groupBy(key, "known")
+            .agg(F.sum(w * F.col("log_ratio")).alias("dot"), F.sum(w * w).alias("square"))
+        )
+        odds = F.lit(self.prior) + F.coalesce(F.try_divide(F.col("dot"), F.sqrt("square")), F.lit(0.0))
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
-        return (
-            scored.withColumn("p_pos", p)
-            .withColumn("prediction", F.when(F.col("p_pos") > 0.5, "pos").otherwise("neg"))
-            .drop(*made)
+        return sums.select(key, "known", p.alias("p_pos")).withColumn(
+            "prediction", F.when(F.col("p_pos") > 0.5, "pos").otherwise("neg")
         )
 
-    def score(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """Add ``sentiment_score``: three decimals, half to even; no text, no score."""
-        scored = self.transform(df, text)
-        known = F.coalesce(F.trim(text) != "", F.lit(False))
-        return scored.withColumn("sentiment_score", F.when(known, F.bround("p_pos", 3))).drop("p_pos", "prediction")
+    def score(self, df: DataFrame, key: str, text: str = "text") -> DataFrame:
+        """``key`` and ``sentiment_score``: three decimals, half to even; no text, no score."""
+        return self.predict(df, key, text).select(
+            key, F.when(F.col("known"), F.bround("p_pos", 3)).alias("sentiment_score")
+        )
 
-    def vocabulary(self) -> list[str]:
-        return self.pipeline.stages[0].vocabulary
+    def vocabulary(self) -> DataFrame:
+        return self.terms.select("term", "term_index")
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(self.log_odds_shift,)], "log_odds_shift double").write.mode("overwrite").json(
-            f"{path}/priors"
-        )
+        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
+        prior = self.terms.sparkSession.createDataFrame([(self.prior,)], "prior double")
+        prior.write.mode("overwrite").parquet(f"{path}/prior")
 
     @staticmethod
-    def load(path: str) -> "SentimentModel":
-        spark = SparkSession.getActiveSession()
-        shift = spark.read.schema("log_odds_shift double").json(f"{path}/priors").first()[0]
-        return SentimentModel(PipelineModel.load(f"{path}/pipeline"), shift)
+    def load(spark: SparkSession, path: str) -> "SentimentModel":
+        return SentimentModel(spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/prior").first()[0])
 
 
 def fit(
-    train: DataFrame, text: str = "text", label: str = "label", min_df: int = MIN_DF, max_features: int = MAX_FEATURES
+    train: DataFrame,
+    key: str,
+    text: str = "text",
+    label: str = "label",
+    min_df: int = MIN_DF,
+    max_features: int | None = MAX_FEATURES,
 ) -> SentimentModel:
     """Bag of words, smooth TF-IDF of unit length, multinomial naive Bayes.
 
-    Only the vocabulary (at most ``max_features`` terms) reaches the driver.
+    Smoothing of one count per term; the class odds are the plain shares.
     """
-    rows = stage(
-        train.select(
-            F.when(F.col(label) == "pos", 1.0).otherwise(0.0).alias("label"),
-            clean_tokens(F.coalesce(text, F.lit(""))).alias("tokens"),
+    rows = train.select(key, (F.col(label) == "pos").alias("pos"), F.coalesce(text, F.lit("")).alias("_text"))
+    counted = stage(with_term_counts(rows, clean_tokens("_text")).drop("_text"), "train-counts")
+    n, n_pos = counted.agg(F.count(F.lit(1)), F.count_if("pos")).first()
+    postings = unnest(counted, [key, "pos"], F.col("terms"), "x").select(key, "pos", "x.term", "x.tf")
+    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq"))
+    idf = F.ln(F.lit(n + 1.0) / (F.col("df") + 1)) + 1
+    terms = stage(_choose(counts, min_df, max_features).withColumn("idf", idf), "vocabulary")
+    if n_pos in (0, n) or terms.isEmpty():
+        raise ValueError("training needs rows of both classes and a vocabulary")
+    weighted = lookup_join(postings, terms.select("term", "idf"), "term", key).withColumn(
+        "w", F.col("tf") * F.col("idf")
+    )
+    # A document's list is bounded by its own length.
+    docs = weighted.groupBy(key, "pos").agg(
+        F.collect_list(F.struct("term", "w")).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
+    )
+    unit = docs.select("pos", "norm", F.explode("ws").alias("x")).select(
+        "pos", "x.term", (F.col("x.w") / F.col("norm")).alias("u")
+    )
+    zero = F.lit(0.0)
+    sums = stage(
+        unit.groupBy("term").agg(
+            F.sum(F.when(F.col("pos"), F.col("u")).otherwise(zero)).alias("s_pos"),
+            F.sum(F.when(F.col("pos"), zero).otherwise(F.col("u"))).alias("s_neg"),
         ),
-        "train",
+        "class-sums",
     )
-    terms = vocabulary(rows, min_df, max_features).orderBy("term_index").collect()
-    n, n_pos = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1.0)).first()
-    if not terms or n_pos in (0, n):
-        raise ValueError("training needs rows of both classes and a vocabulary")
-    idf = rows.sparkSession.range(1).select(
-        F.transform(F.array(*[F.lit(t["df"]) for t in terms]), lambda df: F.ln(F.lit(n + 1.0) / (df + 1)) + 1)
-    ).first()[0]
-    bag = CountVectorizerModel.from_vocabulary([t["term"] for t in terms], "tokens", "counts")
-    weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weighted")
-    unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
-    ready = unit.transform(weigh.transform(bag.transform(rows)))
-    bayes: NaiveBayesModel = NaiveBayes(
-        modelType="multinomial", smoothing=1.0, predictionCol="nb_prediction"
-    ).fit(ready)
-    pi = bayes.pi.toArray()
-    plain = _log_odds(n_pos, n - n_pos)
-    return SentimentModel(PipelineModel([bag, weigh, unit, bayes]), float(plain - (pi[1] - pi[0])))
-
-
-def _log_odds(a: int, b: int) -> float:
-    import math
-
-    return math.log(a / b)
+    size, t_pos, t_neg = sums.agg(F.count(F.lit(1)), F.sum("s_pos"), F.sum("s_neg")).first()
+    log_ratio = (
+        F.ln((F.col("s_pos") + 1) / F.lit(t_pos + size)) - F.ln((F.col("s_neg") + 1) / F.lit(t_neg + size))
+    )
+    fitted = terms.join(sums, "term").select("term", "term_index", "idf", log_ratio.alias("log_ratio"))
+    return SentimentModel(stage(fitted, "model"), math.log(n_pos / (n - n_pos)))
 
 
 def keyword_sentiment(hits: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ of parsed ones.
 from __future__ import annotations
 
 from ledgerloom import schemas
-from ledgerloom.functions.text import SPACE, STOPWORDS
+from ledgerloom.functions.text import STOPWORDS
 from ledgerloom.plans import queries as q, views
 from ledgerloom.sources.records import HITS_PER_CALL
 
@@ -18,6 +18,9 @@ def _list(values) -> str:
 
 
 STOP = _list(STOPWORDS)
+SPACE = (
+    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 DAY = "strftime({}, '%Y-%m-%d')"
 SECOND = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
@@ -494,10 +497,10 @@ CHECKS["vocabulary"] = f"""
 WITH {_CLEAN},
 kept AS (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS freq FROM tokens GROUP BY term
          HAVING count(DISTINCT doc_id) >= 3 ORDER BY freq DESC, term LIMIT 8000)
-SELECT term, df, freq, row_number() OVER (ORDER BY term) - 1 AS term_index FROM kept
+SELECT term, df, freq, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index FROM kept
 """
 
-_MATCHES = "len(regexp_extract_all(text, '(?i){}'))"
+_MATCHES = "CAST(len(regexp_extract_all(text, '(?i){}')) AS INTEGER)"
 CHECKS["keyword_search"] = f"""
 SELECT doc_id, source, {_MATCHES.format(q.KEYWORD)} AS matches FROM documents WHERE text ILIKE '%{q.KEYWORD}%'
 """
@@ -514,7 +517,7 @@ WHERE regexp_matches(text, '(?i){q.PATTERN}')
 
 _TERMS = f"""
 runs AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS term FROM documents),
-postings AS (SELECT term, doc_id, count(*) AS tf FROM runs
+postings AS (SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf FROM runs
              WHERE length(term) >= 2 AND term NOT IN ({STOP}) GROUP BY term, doc_id)
 """
 
@@ -522,7 +525,7 @@ CHECKS["inverted_index"] = f"WITH {_TERMS} SELECT term, doc_id, tf FROM postings
 
 CHECKS["fulltext_search"] = f"""
 WITH {_TERMS.replace(f"AND term NOT IN ({STOP})", "")}
-SELECT doc_id, sum(tf) AS hits FROM postings WHERE term IN ({_list(q.FULLTEXT)})
+SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM postings WHERE term IN ({_list(q.FULLTEXT)})
 GROUP BY doc_id HAVING count(*) = {len(set(q.FULLTEXT))}
 """
 
@@ -596,7 +599,7 @@ SELECT count(sentiment_score) AS n, min(sentiment_score) AS min, max(sentiment_s
        round(avg(sentiment_score), 6) AS mean
 FROM scored
 """
-CHECKS["sentiment_vocab"] = f"WITH {_MODEL} SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index FROM voc"
+CHECKS["sentiment_vocab"] = f"WITH {_MODEL} SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index FROM voc"
 CHECKS["keyword_sentiment"] = f"""
 WITH {_MODEL},
 said AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS keyword FROM documents)
@@ -624,11 +627,11 @@ CHECKS["score_histogram"] = f"""
 WITH {_MODEL},
 binned AS (SELECT label, CAST(least(floor(sentiment_score * 20) + 1, 20) AS BIGINT) AS bin
            FROM reviews WHERE stars <> 3 AND sentiment_score IS NOT NULL)
-SELECT label, bin, count(*) AS n, round((bin - 1) * 0.05, 6) AS bin_lo FROM binned GROUP BY label, bin
+SELECT label, bin, count(*) AS n, round(CAST((bin - 1) * 0.05 AS DOUBLE), 6) AS bin_lo FROM binned GROUP BY label, bin
 """
 _TAILS = [1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 15 / 16, 31 / 32]
 CHECKS["score_letters"] = f"WITH {_MODEL} " + " UNION ALL ".join(
-    f"SELECT stars, {round(p, 6)} AS prob, round(quantile_cont(CAST(sentiment_score AS DOUBLE), {p}), 6) AS value "
+    f"SELECT stars, CAST({round(p, 6)} AS DOUBLE) AS prob, round(quantile_cont(CAST(sentiment_score AS DOUBLE), {p}), 6) AS value "
     "FROM reviews GROUP BY stars"
     for p in _TAILS
 )

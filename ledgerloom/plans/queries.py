@@ -487,8 +487,7 @@ def exclusive_words(t: Tables) -> DataFrame:
 
 @query
 def vocabulary(t: Tables) -> DataFrame:
-    tokens = t.documents.select(clean_tokens("text").alias("tokens"))
-    return sentiment.vocabulary(tokens, sentiment.MIN_DF, 8000)
+    return sentiment.vocabulary(views.texts(t), "text", sentiment.MIN_DF, 8000)
 
 
 @query
@@ -512,22 +511,22 @@ def export_hits(t: Tables) -> DataFrame:
 
 @query
 def inverted_index(t: Tables) -> DataFrame:
-    return search.inverted_index(t.documents, F.col("text"))
+    return search.inverted_index(views.texts(t), F.col("text"))
 
 
 @query
 def fulltext_search(t: Tables) -> DataFrame:
-    return search.fulltext_search(search.inverted_index(t.documents, F.col("text")), FULLTEXT)
+    return search.fulltext_search(search.inverted_index(views.texts(t), F.col("text")), FULLTEXT)
 
 
 @query
 def tfidf_search(t: Tables) -> DataFrame:
-    return _round(search.tfidf_search(t.documents, QUESTION))
+    return _round(search.tfidf_search(views.texts(t), QUESTION))
 
 
 @query
 def tfidf_scores(t: Tables) -> DataFrame:
-    return _round(search.tfidf_scores(t.documents, QUESTION))
+    return _round(search.tfidf_scores(views.texts(t), QUESTION))
 
 
 @query
@@ -550,12 +549,12 @@ def mentioned_tickers(t: Tables) -> DataFrame:
 def _fitted(t: Tables) -> sentiment.SentimentModel:
     """Fitted on the clear ratings of the training part."""
     rows = sentiment.clear_ratings(views.reviews(t))
-    return sentiment.fit(rows.filter(sentiment.train_part("doc_id", TRAIN_SHARE)))
+    return sentiment.fit(rows.filter(sentiment.train_part("doc_id", TRAIN_SHARE)), "doc_id")
 
 
 def _held_out(t: Tables) -> DataFrame:
     rows = views.reviews(t).filter(~sentiment.train_part("doc_id", TRAIN_SHARE))
-    return _fitted(t).transform(rows)
+    return _fitted(t).predict(rows, "doc_id").join(rows.select("doc_id", "label"), "doc_id")
 
 
 @query
@@ -565,12 +564,12 @@ def sentiment_train(t: Tables) -> DataFrame:
 
 @query
 def sentiment_score(t: Tables) -> DataFrame:
-    return _fitted(t).score(t.documents).select("doc_id", "sentiment_score")
+    return _fitted(t).score(views.texts(t), "doc_id")
 
 
 @query
 def sentiment_summary(t: Tables) -> DataFrame:
-    return _round(sentiment.score_summary(_fitted(t).score(t.documents)))
+    return _round(sentiment.score_summary(_fitted(t).score(views.texts(t), "doc_id")))
 
 
 @query
@@ -578,20 +577,20 @@ def sentiment_vocab(t: Tables) -> DataFrame:
     """The vocabulary of a model that was saved and loaded, exported as JSON."""
     folder, out = fresh_dir(t.spark, "model"), fresh_dir(t.spark, "vocab")
     _fitted(t).save(folder)
-    words = sentiment.SentimentModel.load(folder).vocabulary()
-    t.spark.createDataFrame(list(enumerate(words)), "term_index int, term string").write.json(out)
+    sentiment.SentimentModel.load(t.spark, folder).vocabulary().write.json(out)
     return t.spark.read.schema("term string, term_index int").json(out)
 
 
 @query
 def keyword_sentiment(t: Tables) -> DataFrame:
     """Mean score of the documents that hold a keyword."""
-    scored = _fitted(t).score(t.documents.select("doc_id", "text"))
+    texts = views.texts(t)
     held = F.filter(
         F.array(*[F.lit(k) for k in KEYWORDS]), lambda k: F.array_contains(F.col("words"), k)
     )
-    hits = unnest(scored.withColumn("words", word_tokens("text", None)), ["sentiment_score"], held, "keyword")
-    return _round(sentiment.keyword_sentiment(hits), 4)
+    words = texts.select("doc_id", word_tokens("text", None).alias("words"))
+    hits = unnest(words, ["doc_id"], held, "keyword")
+    return _round(sentiment.keyword_sentiment(hits.join(_fitted(t).score(texts, "doc_id"), "doc_id")), 4)
 
 
 @query
@@ -605,7 +604,8 @@ def class_report(t: Tables) -> DataFrame:
 
 
 def _scored_reviews(t: Tables) -> DataFrame:
-    return _fitted(t).score(views.reviews(t)).select("doc_id", "label", "stars", "sentiment_score")
+    rows = views.reviews(t)
+    return _fitted(t).score(rows, "doc_id").join(rows.select("doc_id", "label", "stars"), "doc_id")
 
 
 @query
@@ -642,7 +642,7 @@ def run_transforms(t: Tables) -> DataFrame:
 
     runner = (
         TransformRunner(t.spark, fresh_dir(t.spark, "transforms"))
-        .add("sentiment", lambda rows: model.score(rows, "content").select("id", "sentiment_score"))
+        .add("sentiment", lambda rows: model.score(rows, "id", "content"))
         .add("broken", broken)
         .add("entity_extraction", lambda rows: entities.mentions(rows, table))
     )

@@ -12,7 +12,7 @@ from ledgerloom import schemas
 from ledgerloom.functions.text import or_null, truncate
 from ledgerloom.operators import risk
 from ledgerloom.operators.sentiment import stars_label
-from ledgerloom.session import fresh_dir, stage
+from ledgerloom.session import fresh_dir, spread, stage
 from ledgerloom.sources import market
 
 DOC_HOST = "https://docs.example/"
@@ -93,8 +93,13 @@ def document_rows(t: Tables) -> DataFrame:
     )
 
 
+def texts(t: Tables) -> DataFrame:
+    """Documents for jobs that work hard on every text."""
+    return spread(t.documents, "doc_id")
+
+
 def documents_as_articles(t: Tables) -> DataFrame:
-    return t.documents.select(
+    return texts(t).select(
         F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("content")
     )
 
@@ -369,7 +374,7 @@ def reviews(t: Tables) -> DataFrame:
     """Labelled documents as reviews of one to five stars."""
     stars = (F.lit(1) + 3 * F.col("quality") + (1 - F.col("toxic"))).alias("stars")
     rated = t.labels.select("doc_id", stars)
-    return t.documents.select("doc_id", "text").join(rated, "doc_id").withColumn(
+    return texts(t).select("doc_id", "text").join(rated, "doc_id").withColumn(
         "label", stars_label()
     )
 

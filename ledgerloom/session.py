@@ -49,6 +49,17 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give heavy work per row at least one partition per core.
+
+    A small table in a few files would otherwise be parsed by a few tasks. An
+    input with enough partitions is returned as it is; ``key`` must be spread
+    evenly (an id).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
