@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerloom.operators.dedup import first_per_key, without_stored
+from ledgerloom.operators.dedup import without_stored
 
 
 class BatchStore:
@@ -30,12 +30,20 @@ class BatchStore:
     def insert(self, rows: DataFrame, batch_id: str, seq: str | None = None, dry_run: bool = False) -> int:
         """Insert the rows whose key is new and return how many there were.
 
-        Repeats inside the batch go first (the smallest ``seq`` wins; without a
-        ``seq`` the rows are plain keys), so copies never reach the join.
+        Repeats inside the batch go first (the smallest ``seq``, unique per row,
+        wins; without a ``seq`` the rows are plain keys), so copies never reach
+        the join. Only keys are grouped and compared with the stored ones; the
+        other columns are read for the winners alone, which the planner
+        broadcasts when they are few.
         """
         stored = self.read().filter(F.col("batch_id") != batch_id)
-        unique = rows.dropDuplicates(self.keys) if seq is None else first_per_key(rows, self.keys, seq)
-        fresh = without_stored(unique, stored, self.keys).select(*self.columns)
+        if seq is None:
+            fresh = without_stored(rows.select(*self.columns).dropDuplicates(self.keys), stored, self.keys)
+        else:
+            first = rows.groupBy(*self.keys).agg(F.min(seq).alias(seq))
+            winners = without_stored(first, stored, self.keys).select(seq)
+            fresh = rows.join(winners, seq, "left_semi")
+        fresh = fresh.select(*self.columns)
         if dry_run:
             return fresh.count()
         batch = f"{self.path}/batch_id={batch_id}"
