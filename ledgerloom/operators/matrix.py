@@ -48,15 +48,16 @@ def multiply(
 
     def block_product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if x.empty or y.empty:
-            return pd.DataFrame({"i": [], "j": [], "v": []})
-        k = pd.Index(x["k"].unique()).union(pd.Index(y["k"].unique()))
-        i, j = pd.Index(x["i"].unique()), pd.Index(y["j"].unique())
-        p, q = np.zeros((len(i), len(k))), np.zeros((len(k), len(j)))
-        p[i.get_indexer(x["i"]), k.get_indexer(x["k"])] = x["v"]
-        q[k.get_indexer(y["k"]), j.get_indexer(y["j"])] = y["v"]
-        return pd.DataFrame(
-            {"i": np.repeat(i.to_numpy(), len(j)), "j": np.tile(j.to_numpy(), len(i)), "v": (p @ q).ravel()}
-        )
+            return pd.DataFrame({"i": [], "j": [], "v": []}, dtype=object)
+        at_k, _ = pd.factorize(pd.concat([x["k"], y["k"]]).astype(object))
+        at_i, i = pd.factorize(x["i"].astype(object))
+        at_j, j = pd.factorize(y["j"].astype(object))
+        width = at_k.max() + 1
+        p, q = np.zeros((len(i), width)), np.zeros((width, len(j)))
+        p[at_i, at_k[: len(x)]] = x["v"]
+        q[at_k[len(x) :], at_j] = y["v"]
+        i, j = np.asarray(i, dtype=object), np.asarray(j, dtype=object)
+        return pd.DataFrame({"i": np.repeat(i, len(j)), "j": np.tile(j, len(i)), "v": (p @ q).ravel()})
 
     types = {"i": a.schema["i"].dataType.simpleString(), "j": b.schema["j"].dataType.simpleString()}
     parts = (

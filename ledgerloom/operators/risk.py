@@ -82,7 +82,7 @@ def random_weights(tickers: DataFrame, n_portfolios: int = 1000, seed: int = 7)
     """Long-only weights drawn uniformly from the simplex (Dirichlet of ones).
 
     The draws hash (seed, portfolio, ticker), so every run and every recomputed
-    task gives the same weights.
+    task draws the same numbers.
     """
     cells = tickers.select("ticker").distinct().withColumn(
         "portfolio_id", F.explode(F.sequence(F.lit(0), F.lit(n_portfolios - 1)))
