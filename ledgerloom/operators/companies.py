@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions.text import join_non_empty, or_null, truncate
+from ledgerloom.operators.joins import lookup_join
 
 STATUSES = ["insert", "no symbol", "no exchange", "duplicate"]
 
@@ -122,11 +123,15 @@ def load_audit(profiles: DataFrame, exchanges: DataFrame, stored: DataFrame) ->
 
 
 def company_insiders(exchanges: DataFrame, companies: DataFrame, insiders: DataFrame) -> DataFrame:
-    """Insiders with their company and its exchange."""
-    listed = companies.join(exchanges, "exchange_code").select(
+    """Insiders with their company and its exchange.
+
+    One exchange lists very many companies and one company may have very many
+    insiders, so both lookups are balanced.
+    """
+    listed = lookup_join(companies, exchanges, "exchange_code", "id").select(
         F.col("id").alias("company_id"), F.col("name").alias("company"), "ticker", "exchange_code", "exchange"
     )
-    return insiders.join(listed, "company_id").select(
+    return lookup_join(insiders, listed, "company_id", "name").select(
         "exchange_code",
         "exchange",
         "ticker",

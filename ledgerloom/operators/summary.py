@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.joins import is_bounded
 from ledgerloom.session import stage
@@ -31,9 +31,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: tuple[flo
     # Few keys are broadcast; with many, the planner's skew join does the rest.
     few = is_bounded(cuts, MAX_BROADCAST_KEYS)
     small = F.broadcast if few else (lambda d: d)
-    placed = cells.join(small(cuts), keys).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
+    slice_no = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    placed = stage(cells.join(small(cuts), keys).withColumn("_slice", slice_no).drop("_cuts"), "cells")
     sizes = placed.groupBy(*keys, "_slice").agg(F.sum("n").alias("_rows"))
     per_key = sizes.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("_slice", "_rows"))).alias("_all"), F.sum("_rows").alias("_total")
@@ -53,21 +52,31 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: tuple[flo
             (F.col("_before") <= F.ceil("_rank")) & (F.col("_before") + F.col("_rows") > F.floor("_rank"))
         )
     )
-    inside = placed.join(small(targets), [*keys, "_slice"])
-    ordered = inside.groupBy(*keys, "prob", "_rank", "_before").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), "n"))).alias("_vals")
+    targets = stage(targets, "targets")
+    # Running counts inside the wanted slices: a spilling sort, nothing collected.
+    wanted_slices = targets.select(*keys, "_slice", "_before").distinct()
+    running = Window.partitionBy(*keys, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    inside = (
+        placed.join(small(wanted_slices), [*keys, "_slice"])
+        .withColumn("_end", F.col("_before") + F.sum("n").over(running))
+        .select(*keys, "_slice", F.col(value).cast("double").alias("_v"), (F.col("_end") - F.col("n")).alias("_from"), "_end")
     )
-    ends = F.expr(
-        "aggregate(_vals, struct(_before as at, cast(null as double) as lo, cast(null as double) as hi), (a, x) -> "
-        "struct(a.at + x.n as at, "
-        "if(a.at <= floor(_rank) and floor(_rank) < a.at + x.n, cast(x.v as double), a.lo) as lo, "
-        "if(a.at <= ceil(_rank) and ceil(_rank) < a.at + x.n, cast(x.v as double), a.hi) as hi))"
-    )
-    found = ordered.withColumn("_e", ends).groupBy(*keys, "prob", "_rank").agg(
-        F.max("_e.lo").alias("lo"), F.max("_e.hi").alias("hi")
+    lo_rank, hi_rank = F.floor("_rank"), F.ceil("_rank")
+
+    def covers(rank: Column) -> Column:
+        return (F.col("_from") <= rank) & (rank < F.col("_end"))
+
+    found = (
+        inside.join(small(targets.drop("_before", "_rows", "_total")), [*keys, "_slice"])
+        .filter(covers(lo_rank) | covers(hi_rank))
+        .groupBy(*keys, "prob", "_rank")
+        .agg(
+            F.max(F.when(covers(lo_rank), F.col("_v"))).alias("lo"),
+            F.max(F.when(covers(hi_rank), F.col("_v"))).alias("hi"),
+        )
     )
     return found.select(
-        *keys, "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("_rank") - F.floor("_rank"))).alias("value")
+        *keys, "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("_rank") - lo_rank)).alias("value")
     )
 
 
