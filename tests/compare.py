@@ -46,8 +46,9 @@ def differences(spark_df, con, sql: str) -> str | None:
     if got_cols != want_cols:
         return f"columns {got_cols} / {want_cols}"
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:3]
-        only_want = [r for r in want if r not in set(got)][:3]
+        in_got, in_want = set(got), set(want)
+        only_got = [r for r in got if r not in in_want][:3]
+        only_want = [r for r in want if r not in in_got][:3]
         return f"{len(got)} / {len(want)} rows; only spark {str(only_got)[:900]}; only sql {str(only_want)[:900]}"
     return None
 
