@@ -11,6 +11,7 @@ from ledgerloom.functions.dates import feed_date, history_date
 from ledgerloom.functions.text import or_null, strip_html
 from ledgerloom.operators.dedup import first_per_key
 
+# The names stored as the source of an article.
 FEED_SOURCE = "rss"
 HISTORY_SOURCE = "huggingface_fnspid"
 

@@ -29,13 +29,15 @@ def _day(value: str | Column) -> Column:
 
 
 def bars_from_ticks(
-    ticks: DataFrame, ticker: str, ts: str, value: str, order: str
+    ticks: DataFrame, ticker: str, ts: str, value: str, order: str | None = None
 ) -> DataFrame:
     """Open, high, low, close and count per ticker and day.
 
-    ``order`` breaks ties between ticks of one instant.
+    ``order`` breaks ties between ticks of one instant, at the price of a sort in
+    the map tasks; where instants are unique, leave it out and the aggregate is
+    a plain hash aggregate.
     """
-    when = F.struct(ts, order)
+    when = F.col(ts) if order is None else F.struct(ts, order)
     return ticks.groupBy(F.col(ticker).alias("ticker"), F.to_date(ts).alias("Date")).agg(
         F.min_by(value, when).alias("Open"),
         F.max(value).alias("High"),

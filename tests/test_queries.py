@@ -19,7 +19,27 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
-    assert differences(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    result = entry.queries()[name](spark, FOLDER)
+    assert differences(result, con, entry.oracle_sql()[name]) is None
+    plan = result._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(p_brand,Brand#17)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan
+
+
+def test_scoring_shuffles_one_row_per_text(spark):
+    """The only exchange of a scoring plan carries the sums of the map tasks."""
+    from ledgerloom.operators import sentiment
+
+    rows = [(1, "good film", "pos"), (2, "bad film", "neg")]
+    train = spark.createDataFrame(rows, "id int, text string, label string")
+    plan = sentiment.fit(train, "id", min_df=1).score(train, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan.split("Exchange hashpartitioning")[1]
 
 
 def test_entry(spark):
