@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, quality
+from ledgerloom.llm import chat, frames, jaccard, packing, quality, repeats
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -22,7 +23,8 @@ CONFLICT = "</s>[INST] ok [/INST]"
 
 def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    own = spark.createDataFrame([(-1, 0, "user", CONFLICT), (-1, 1, "assistant", CONFLICT)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(CONFLICT).alias("text"))
     back = chat.read_chats(chat.format_chats(rows.unionByName(own)))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss_texts", "")
@@ -36,7 +38,28 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return frames.read(frames.write(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(_read(spark, folder, "documents"))
+
+
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove(_read(spark, folder, "documents"))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op4_quality_rules": quality_rules,
     "op5_chat_formatting": chat_formatting,
+    "op6_jaccard_join": jaccard_join,
+    "op7_token_files": token_files,
+    "op8_packing": packed,
+    "op10_repeats": repeated_passages,
 }
