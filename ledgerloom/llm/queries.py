@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, frames, jaccard, packing, quality, repeats
+from ledgerloom.llm import chat, frames, jaccard, packing, pii, pivots, quality, repeats, warc
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -55,11 +55,31 @@ def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    back = warc.read(warc.write(_read(spark, folder, "pages")), with_payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_k(_read(spark, folder, "embeddings"))
+
+
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_read(spark, folder, "documents"))
+    line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kind: F.filter("base", lambda s: s["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
+
+
 QUERIES = {
+    "op1_warc": warc_archives,
+    "op2_top_k": top_k,
     "op4_quality_rules": quality_rules,
     "op5_chat_formatting": chat_formatting,
     "op6_jaccard_join": jaccard_join,
     "op7_token_files": token_files,
     "op8_packing": packed,
+    "op9_personal_data": personal_data,
     "op10_repeats": repeated_passages,
 }
