@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, frames, jaccard, packing, pii, pivots, quality, repeats, warc
+from ledgerloom.llm import bpe, chat, frames, jaccard, packing, pii, pivots, quality, repeats, warc
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -72,9 +72,21 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
 
 
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coder = bpe.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = coder.encode(_read(spark, folder, "documents"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(coder.as_bytes(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(coder.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_warc": warc_archives,
     "op2_top_k": top_k,
+    "op3_byte_bpe": byte_bpe,
     "op4_quality_rules": quality_rules,
     "op5_chat_formatting": chat_formatting,
     "op6_jaccard_join": jaccard_join,
