@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.quality import held_back
 from ledgerloom.session import stage
 
 KINDS = ("email", "ip", "card", "phone", "number", "secret")
@@ -159,7 +160,8 @@ def estimate(patterns: DataFrame, iterations: int = ITERATIONS) -> tuple[float,
 
 def train(docs: DataFrame, text: str = "text") -> dict:
     """Reliabilities and the classifier, from all candidates of ``docs``. Holds a few hundred numbers."""
-    df = _annotated(docs.select(F.col(text).alias("_text")), "_text").filter((F.size("_base") > 0) | (F.size("_other") > 0))
+    df = _annotated(docs.select(F.col(text).alias("_text")), "_text")
+    df = df.withColumn("_any", held_back((F.size("_base") > 0) | (F.size("_other") > 0))).filter("_any")
     spans = df.select("_whole", F.explode(F.concat("_base", "_other")).alias("_span"))
     seen = spans.select(_described(F.col("_span"), F.col("_whole")).alias("d")).select("d.*")
     table = stage(seen.groupBy(*LABELERS, *FEATURES).agg(F.count("*").alias("n")), "pii-patterns")

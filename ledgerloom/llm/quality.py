@@ -92,6 +92,14 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("_repeats", F.size(F.array_distinct(F.flatten(starts))))
 
 
+def held_back(condition: Column) -> Column:
+    """The same condition, which a filter on it cannot carry below the projections it is computed in.
+
+    The optimizer would write the whole computation into the filter once for every mention of a column.
+    """
+    return condition & (F.monotonically_increasing_id() >= 0)
+
+
 def _judged(docs: DataFrame, text: str, min_words: int, max_repeat: int, max_loss: int) -> DataFrame:
     """``docs`` with the measures, ``_base_failed``, ``_kept`` and the cleaned text ``_clean``."""
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -128,5 +136,6 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: in
 def clean(docs: DataFrame, text: str = "text", min_words: int = 50, max_repeat: int = 50, max_loss: int = 40) -> DataFrame:
     """The documents kept, their text cleaned; the other columns as they were."""
     df = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    df = _judged(df, "_text", min_words, max_repeat, max_loss).filter("_kept")
+    df = _judged(df, "_text", min_words, max_repeat, max_loss)
+    df = df.withColumn("_kept", held_back(F.col("_kept"))).filter("_kept")
     return df.select(*[(F.col("_clean") if x == text else F.col("_row")[x]).alias(x) for x in docs.columns])

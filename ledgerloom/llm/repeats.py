@@ -345,7 +345,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _without(text: pd.Series, ranges: pd.Series) -> pd.DataFrame:
-    kept, spans = [], []
+    kept, spans, texts = [], [], []
     for value, cuts in zip(text, ranges, strict=True):
         out, at, count = [], 0, 0
         for start, end in sorted((x["start"], x["start"] + x["length"]) for x in cuts):
@@ -355,7 +355,8 @@ def _without(text: pd.Series, ranges: pd.Series) -> pd.DataFrame:
             at = max(at, end)
         kept.append(b"".join([*out, value[at:]]))
         spans.append(count)
-    return pd.DataFrame({"kept": kept, "spans": spans})
+        texts.append(kept[-1].decode(errors="ignore"))
+    return pd.DataFrame({"kept": kept, "spans": spans, "text": texts})
 
 
 def find(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 100, k: int = 32) -> DataFrame:
@@ -386,17 +387,26 @@ def _keyed(rows: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def remove(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 100, k: int = 32) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (its columns), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (bytes)."""
+    """One row per row of ``docs``: ``row`` (its columns), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes) and ``text``.
+
+    The text is what is kept without characters that a removed range cuts into; null stays null.
+    """
     ranges = stage(find(docs, id, text, window, k), "repeats-ranges")
     rows = _keyed(docs.select(F.struct("*").alias("_row"), F.col(id).alias("_id"), F.col(text).alias("_text")), "_id", "_text")
-    rows = sieve(rows, "_key", ranges, "id").select("_row", "_key", "_tag", F.encode("_whole", "UTF-8").alias("_bytes"), "_maybe")
+    rows = sieve(rows, "_key", ranges, "id").select("_row", "_key", "_tag", "_text", F.encode("_whole", "UTF-8").alias("_bytes"), "_maybe")
     cuts = ranges.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "length")).alias("_cuts"))
     touched = rows.filter("_maybe").join(cuts, (F.col("_key") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
     none = F.array().cast("array<struct<start:bigint,length:int>>")
-    without = F.pandas_udf(_without, "struct<kept binary, spans long>")
+    without = F.pandas_udf(_without, "struct<kept binary, spans long, text string>")
     touched = touched.withColumn("_left", without("_bytes", F.coalesce("_cuts", none)))
     fields = [F.col("_row").alias("row"), F.octet_length("_bytes").cast("long").alias("n_bytes")]
-    one = touched.select(*fields, F.col("_left.spans").alias("n_spans"), F.col("_left.kept").alias("kept"))
-    two = rows.filter(~F.col("_maybe")).select(*fields, F.lit(0).cast("long").alias("n_spans"), F.col("_bytes").alias("kept"))
+    one = touched.select(*fields, F.col("_left.spans").alias("n_spans"), F.col("_left.kept").alias("kept"), F.when(F.col("_text").isNotNull(), F.col("_left.text")).alias("text"))
+    two = rows.filter(~F.col("_maybe")).select(*fields, F.lit(0).cast("long").alias("n_spans"), F.col("_bytes").alias("kept"), F.col("_text").alias("text"))
     both = one.unionByName(two)
-    return both.select("row", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans", "kept")
+    return both.select("row", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans", "kept", "text")
+
+
+def clean(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 100, k: int = 32) -> DataFrame:
+    """``docs`` with repeated passages cut out of the text; no row goes."""
+    cut_out = remove(docs, id, text, window, k)
+    return cut_out.select(*[(F.col("text") if x == text else F.col("row")[x]).alias(x) for x in docs.columns])
