@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.text import full_text, unnest
 from ledgerloom.operators.joins import lookup_join
@@ -27,19 +27,20 @@ def mentions(
     key: str = "id",
     title: str = "title",
     content: str = "content",
-    max_words: int = 1,
 ) -> DataFrame:
     """Unique ``(key, ticker)`` pairs of articles that name a ticker's alias.
 
-    ``max_words`` is the length of the longest alias in words. Phrases are made
-    unique inside each row; the alias table is broadcast when its checked size
-    allows, so texts are not shuffled.
+    Phrases of up to as many words as the longest alias are made unique inside each
+    row; the alias table is broadcast when its checked size allows, so texts are not
+    shuffled.
     """
     text = F.lower(full_text(title, content))
     words = articles.filter(F.col(content).isNotNull()).select(
         key, F.filter(F.split(text, _WORD_BREAK), lambda w: w != "").alias("w")
     )
-    grams = F.array_distinct(F.flatten(F.array(*[_grams(n) for n in range(1, max_words + 1)])))
+    longest = aliases.agg(F.coalesce(F.max(F.size(F.split("phrase", " "))), F.lit(1)).alias("n")).scalar()
+    words = words.withColumn("longest", longest)
+    grams = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.col("longest")), _grams)))
     phrases = unnest(words, [key], grams, "phrase")
     return (
         lookup_join(phrases, aliases, "phrase", key)
@@ -48,10 +49,9 @@ def mentions(
     )
 
 
-def _grams(n: int):
-    if n == 1:
-        return F.col("w")
-    starts = F.slice("w", 1, F.greatest(F.size("w") - (n - 1), F.lit(0)))
+def _grams(n: Column) -> Column:
+    """All phrases of ``n`` words."""
+    starts = F.slice("w", F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(0)))
     return F.transform(starts, lambda _, i: F.array_join(F.slice("w", i + 1, n), " "))
 
 

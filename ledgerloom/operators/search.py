@@ -31,12 +31,19 @@ def inverted_index(
     return unnest(counted, [key], F.col("terms"), "x").select("x.term", key, "x.tf")
 
 
-def fulltext_search(index: DataFrame, terms: list[str], key: str = "doc_id") -> DataFrame:
+def fulltext_search(
+    index: DataFrame, terms: list[str], key: str = "doc_id", stopwords: list[str] | None = STOPWORDS
+) -> DataFrame:
     """Documents holding every term, with how often they hold them.
 
-    Only the postings of the terms are read; they join nothing.
+    Terms are cut as the index cuts texts, so stop words and marks of the query
+    ask for nothing; without any other term nothing is found. Only the postings
+    of the terms are read; they join nothing.
     """
-    wanted = sorted({t.lower() for t in terms})
+    asked = index.sparkSession.range(1).select(F.explode(word_tokens(F.lit(" ".join(terms)), stopwords)).alias("term"))
+    wanted = sorted({r["term"] for r in asked.collect()})  # a handful of words
+    if not wanted:
+        return index.groupBy(key).agg(F.sum("tf").alias("hits")).limit(0)
     return (
         index.filter(F.col("term").isin(wanted))
         .groupBy(key)

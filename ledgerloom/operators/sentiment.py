@@ -48,9 +48,9 @@ def exclusive_words(freq: DataFrame, label: str = "label") -> DataFrame:
 
 
 def vocabulary(
-    docs: DataFrame, text: str = "text", min_df: int = MIN_DF, max_features: int | None = MAX_FEATURES
+    docs: DataFrame, text: str = "text", min_df: int = MIN_DF, max_features: int | None = None
 ) -> DataFrame:
-    """Terms in ``min_df`` texts or more, the most frequent ``max_features``.
+    """Terms in ``min_df`` texts or more; with ``max_features``, the most frequent ones.
 
     ``term_index`` is the alphabetical position. Terms are counted inside each
     row, so only (term, counts) is shuffled.
@@ -66,10 +66,9 @@ def vocabulary(
 
 def _choose(counts: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
     kept = counts.filter(F.col("df") >= min_df)
-    if max_features is None:
-        return kept.withColumn("term_index", F.lit(None).cast("int"))
-    kept = kept.orderBy(F.desc("freq"), "term").limit(max_features)
-    # At most max_features rows, so one ordered pass is cheap.
+    if max_features is not None:
+        kept = kept.orderBy(F.desc("freq"), "term").limit(max_features)
+    # One row per distinct term: small beside the texts, with or without a limit.
     return kept.withColumn("term_index", F.row_number().over(Window.orderBy("term")) - 1)
 
 
@@ -134,7 +133,7 @@ def fit(
     text: str = "text",
     label: str = "label",
     min_df: int = MIN_DF,
-    max_features: int | None = MAX_FEATURES,
+    max_features: int | None = None,
 ) -> SentimentModel:
     """Bag of words, smooth TF-IDF of unit length, multinomial naive Bayes.
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerloom.operators.dedup import without_stored
+from ledgerloom.operators.dedup import arrival, first_per_key, without_stored
+from ledgerloom.session import remove, stage
 
 
 class BatchStore:
@@ -30,20 +33,19 @@ class BatchStore:
     def insert(self, rows: DataFrame, batch_id: str, seq: str | None = None, dry_run: bool = False) -> int:
         """Insert the rows whose key is new and return how many there were.
 
-        Repeats inside the batch go first (the smallest ``seq``, unique per row,
-        wins; without a ``seq`` the rows are plain keys), so copies never reach
-        the join. Only keys are grouped and compared with the stored ones; the
-        other columns are read for the winners alone, which the planner
-        broadcasts when they are few.
+        Of rows with the same key the one that arrived first (``seq``, rows without
+        one last, then a hash of the row) is the one that counts. The input is
+        evaluated once, when it is written with a number for each row; only keys are
+        grouped and compared with the stored ones, and the numbers of the winners,
+        unique by construction, pick their rows.
         """
         stored = self.read().filter(F.col("batch_id") != batch_id)
-        if seq is None:
-            fresh = without_stored(rows.select(*self.columns).dropDuplicates(self.keys), stored, self.keys)
-        else:
-            first = rows.groupBy(*self.keys).agg(F.min(seq).alias(seq))
-            winners = without_stored(first, stored, self.keys).select(seq)
-            fresh = rows.join(winners, seq, "left_semi")
-        fresh = fresh.select(*self.columns)
+        names = list(dict.fromkeys([*self.columns, *([seq] if seq else [])]))
+        rows = stage(rows.select(*names).withColumn("_row", F.monotonically_increasing_id()), "insert")
+        order = F.struct(arrival(names, seq).alias("arrival"), F.col("_row"))
+        first = rows.groupBy(*self.keys).agg(F.min(order).alias("_first")).select(*self.keys, "_first._row")
+        winners = without_stored(stage(first, "insert-keys"), stored, self.keys).select("_row")
+        fresh = rows.join(winners, "_row", "left_semi").select(*self.columns)
         if dry_run:
             return fresh.count()
         batch = f"{self.path}/batch_id={batch_id}"
@@ -52,10 +54,16 @@ class BatchStore:
         return self.spark.read.schema(fresh.schema).parquet(batch).count()
 
     def truncate_and_load(self, rows: DataFrame, batch_id: str) -> None:
-        """Replace the whole content."""
-        rows.select(*self.columns).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("batch_id").parquet(self.path)
+        """Replace the whole content; of rows with the same key the first counts.
+
+        The new batch is complete before the old ones go, so a load that fails
+        leaves the old content as it was.
+        """
+        batch = f"{self.path}/batch_id={batch_id}-{uuid.uuid4().hex}"
+        old = [b["batch_id"] for b in self.read().select("batch_id").distinct().collect()]
+        first_per_key(rows.select(*self.columns), self.keys, None).write.parquet(batch)
+        for name in old:
+            remove(self.spark, f"{self.path}/batch_id={name}")
 
     def seed_if_empty(self, rows: DataFrame) -> bool:
         """Write ``rows`` only when the table holds none."""

@@ -84,7 +84,7 @@ SELECT doc_id AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM label
 """
 
 CHECKS["stream_ingest"] = f"""
-WITH {_DOC_ROWS} SELECT DISTINCT url, ticker, 'stream-0' AS batch_id FROM docs
+WITH {_DOC_ROWS} SELECT DISTINCT url, ticker, 'first' AS stream, '0' AS batch FROM docs
 """
 
 # Sources -----------------------------------------------------------------------
@@ -523,10 +523,11 @@ postings AS (SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf FROM runs
 
 CHECKS["inverted_index"] = f"WITH {_TERMS} SELECT term, doc_id, tf FROM postings"
 
+_WANTED = sorted({w.lower() for w in q.FULLTEXT if w.lower() not in STOPWORDS})
 CHECKS["fulltext_search"] = f"""
 WITH {_TERMS.replace(f"AND term NOT IN ({STOP})", "")}
-SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM postings WHERE term IN ({_list(q.FULLTEXT)})
-GROUP BY doc_id HAVING count(*) = {len(set(q.FULLTEXT))}
+SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM postings WHERE term IN ({_list(_WANTED)})
+GROUP BY doc_id HAVING count(*) = {len(_WANTED)}
 """
 
 _ASKED = [w for w in q.QUESTION.lower().split() if len(w) > 1 and w not in STOPWORDS]
@@ -550,11 +551,16 @@ WITH {_COSINE} SELECT doc_id, round(score, 6) AS score FROM scores ORDER BY scor
 """
 
 _MENTIONS = """
+names AS (SELECT 'T' || item_id AS ticker, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
 aliases AS (
-  SELECT DISTINCT 'T' || item_id AS ticker, alias
-  FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS alias FROM benchmark)
-  WHERE length(alias) >= 8),
-spoken AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS alias FROM documents),
+  SELECT ticker, unnest(w) AS alias FROM names
+  UNION SELECT ticker, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM names),
+told AS (
+  SELECT doc_id, regexp_extract_all(lower(source || ' ' || lang || ' ' || text), '[\\p{L}\\p{N}]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+spoken AS (
+  SELECT doc_id, unnest(w) AS alias FROM told
+  UNION SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM told),
 mentions AS (SELECT DISTINCT doc_id AS id, ticker FROM spoken JOIN aliases USING (alias))
 """
 
@@ -636,7 +642,11 @@ CHECKS["score_letters"] = f"WITH {_MODEL} " + " UNION ALL ".join(
     for p in _TAILS
 )
 CHECKS["run_transforms"] = f"""
-WITH {_MENTIONS}
-SELECT 'sentiment' AS transform, 'ok' AS status, count(*) AS n FROM documents
-UNION ALL SELECT 'entity_extraction', 'ok', count(*) FROM mentions
+WITH {_MENTIONS},
+one AS (
+  SELECT 'sentiment' AS transform, 'ok' AS status, count(*) AS n FROM documents
+  UNION ALL SELECT 'broken', 'failed', 0
+  UNION ALL SELECT 'entity_extraction', 'ok', count(*) FROM mentions
+  UNION ALL SELECT 'links', 'stored', count(*) FROM mentions)
+SELECT run, transform, status, n FROM one, (VALUES (1), (2)) AS r(run)
 """

@@ -100,7 +100,7 @@ def texts(t: Tables) -> DataFrame:
 
 def documents_as_articles(t: Tables) -> DataFrame:
     return texts(t).select(
-        F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("content")
+        F.col("doc_id").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), F.col("text").alias("content")
     )
 
 
@@ -380,10 +380,8 @@ def reviews(t: Tables) -> DataFrame:
 
 
 def aliases(t: Tables) -> DataFrame:
-    """Long benchmark words as company names of their item."""
-    words = F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("alias")
-    return (
-        t.benchmark.select(F.concat(F.lit("T"), F.col("item_id").cast("string")).alias("ticker"), words)
-        .filter(F.length("alias") >= 8)
-        .distinct()
-    )
+    """All words of the benchmark, and all pairs of neighbouring words, as company names of their item."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    rows = t.benchmark.select(F.concat(F.lit("T"), F.col("item_id").cast("string")).alias("ticker"), words.alias("w"))
+    pairs = F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.get("w", i + 1)))
+    return rows.select("ticker", F.explode(F.concat("w", pairs)).alias("alias")).distinct()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_LOCAL_ROOTS: dict[str, str] = {}
+_ROOTS: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -28,20 +27,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be invisible to the other executors.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The shared folder named by ``spark.checkpoint.dir``, or else by ``set_scratch``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.get(spark.sparkContext.applicationId)
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="ledgerloom-")
-    return _LOCAL_ROOTS[app]
+    return named.rstrip("/")
+
+
+def set_scratch(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session that was built without ``spark.checkpoint.dir``."""
+    _ROOTS[spark.sparkContext.applicationId] = folder
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -69,3 +64,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, wherever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -62,12 +62,17 @@ def read_watchlist(spark: SparkSession, path: str, multi_line: bool = False) ->
     return rows.withColumn("Ticker", ticker)
 
 
+# Plain numbers only: casts also take NaN, which sorts above every number, and suffixes such as d.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def symbol_universe(*lists: DataFrame) -> DataFrame:
     """Listed symbols worth following, from any number of lists."""
     rows = lists[0]
     for other in lists[1:]:
         rows = rows.unionByName(other, allowMissingColumns=True)
-    cap = F.col("marketCap").try_cast("double")
+    text = F.trim(F.col("marketCap").cast("string"))
+    cap = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return rows.filter(
         ~F.contains("symbol", F.lit("^"))
         & (cap > schemas.MIN_MARKET_CAP)

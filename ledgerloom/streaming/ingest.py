@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerloom import schemas
 from ledgerloom.operators.news import resolve_links
 from ledgerloom.operators.store import BatchStore
+from ledgerloom.session import stage
 from ledgerloom.sources.articles import quarantine
 
 _STORED_ARTICLE = T.StructType(
@@ -32,8 +34,10 @@ class NewsWarehouse:
         """Store the new articles and links of one batch.
 
         Links are keyed by url, which stands for the article. Repeating a batch
-        id replaces that batch, so a replay after a failure adds nothing.
+        id replaces that batch, so a replay after a failure adds nothing. The batch
+        is written once and read for each table.
         """
+        rows = stage(rows, "batch")
         good, bad = quarantine(rows)
         bad.write.mode("overwrite").parquet(f"{self.path}/quarantine/batch_id={batch_id}")
         inserted = self.articles.insert(good, batch_id, seq="seq")
@@ -52,21 +56,24 @@ def stream_ingest(
 ) -> None:
     """Ingest the files that arrived since the last run, then stop.
 
-    The checkpoint remembers the files; a replayed micro-batch keeps its id and
-    so replaces its own rows.
+    The checkpoint remembers the files and the stream's own id. A batch is named
+    by that id and its number, so a replayed micro-batch replaces its own rows and
+    no other stream's; a stream with a new checkpoint has a new id.
     """
     reader = spark.readStream.schema(schemas.ARTICLE_ROW)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    started: Future[str] = Future()  # the first batch may come before start() returns
     query = (
         reader.parquet(landing)
-        .writeStream.foreachBatch(lambda rows, n: _ingest_batch(warehouse, rows, n))
+        .writeStream.foreachBatch(lambda rows, n: _ingest_batch(warehouse, rows, f"{started.result()}-{n}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    started.set_result(query.id)
     query.awaitTermination()
 
 
-def _ingest_batch(warehouse: NewsWarehouse, rows: DataFrame, n: int) -> None:
-    warehouse.ingest(rows, f"stream-{n}")
+def _ingest_batch(warehouse: NewsWarehouse, rows: DataFrame, name: str) -> None:
+    warehouse.ingest(rows, f"stream-{name}")

@@ -69,7 +69,7 @@ def test_entities(spark):
         [(1, "GENERAL  Steel rises", "text"), (2, None, "steel, steel."), (3, "steel", None), (4, "generals", "steels")],
         "id int, title string, content string",
     )
-    pairs = entities.mentions(arts, table, max_words=2)
+    pairs = entities.mentions(arts, table)
     assert sorted(map(tuple, pairs.collect())) == [(1, "G2"), (1, "GS"), (1, "ST"), (2, "ST")]
     full = {r["id"]: r["mentioned_tickers"] for r in entities.mentioned_tickers(arts, pairs).collect()}
     assert full == {1: ["G2", "GS", "ST"], 2: ["ST"], 3: [], 4: []}

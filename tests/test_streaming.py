@@ -79,7 +79,29 @@ def test_transforms(spark, path):
     assert runner.output("a").count() == 2
     with pytest.raises(KeyError):
         runner.run(articles, only="zzz")
-    log = runner.log_rows(articles.filter("id = 1"), "a")
-    assert runner.run(articles, only="a", log=log) == {"a": "ok"}
-    assert [r["id"] for r in runner.output("a").collect()] == [2]
-    assert runner.output("c").count() == 2
+    more = articles.unionByName(spark.createDataFrame([(3, "z")], articles.schema))
+    assert runner.run(more, only="a", incremental=True) == {"a": "ok"}
+    assert sorted(r["id"] for r in runner.output("a").collect()) == [1, 2, 3]
+    assert sorted(r["article_id"] for r in runner.log("a").collect()) == [1, 2, 3]
+    assert runner.run(more, only="a", log=runner.log_rows(more, "a")) == {"a": "ok"}
+    assert runner.output("a").count() == 3 and runner.output("c").count() == 2
+
+
+def test_failed_run_keeps_the_output(spark, path):
+    articles = spark.createDataFrame([(1, "x"), (2, "y")], "id long, content string")
+    TransformRunner(spark, path).add("a", lambda d: d.select("id")).run(articles)
+    broken = TransformRunner(spark, path).add("a", lambda d: d.select(F.raise_error(F.lit("no")).alias("id")))
+    assert broken.run(articles)["a"].startswith("failed")
+    assert sorted(r["id"] for r in broken.output("a").collect()) == [1, 2]
+
+
+def test_two_streams_and_a_new_checkpoint_lose_and_repeat_nothing(spark, path):
+    w = NewsWarehouse(spark, path)
+    one, two, offsets = (fresh_dir(spark, n) for n in ("landing", "landing", "offsets"))
+    batch(spark, ROWS).write.parquet(one)
+    batch(spark, MORE).write.parquet(two)
+    stream_ingest(spark, one, w, offsets)
+    stream_ingest(spark, two, w, fresh_dir(spark, "offsets"))
+    stream_ingest(spark, one, w, fresh_dir(spark, "offsets"))
+    assert state(w) == WANT
+    assert w.articles.read().groupBy("url").count().filter("count > 1").isEmpty()

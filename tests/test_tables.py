@@ -34,6 +34,26 @@ def test_insert_is_idempotent(spark, path):
     assert [r["k"] for r in store.read().collect()] == ["n"]
 
 
+def test_rows_without_or_with_equal_seq(spark, path):
+    store = BatchStore(spark, path, KV, ["k"])
+    rows = spark.createDataFrame([("a", "x", None), ("b", "y", None), ("a", "x", 5), ("a", "z", 5), ("c", "w", 5)], KV)
+    assert store.insert(rows, "0", seq="seq") == 3
+    assert store.insert(rows.unionByName(kv(spark, [("d", "v")])), "1", seq="seq") == 1
+    assert sorted(r["k"] for r in store.read().collect()) == ["a", "b", "c", "d"]
+    assert {r["seq"] for r in store.read().filter("k = 'a'").collect()} == {5}
+    got = first_per_key(rows, ["k"], "seq").collect()
+    assert {(r["k"], r["v"]) for r in got if r["k"] != "a"} == {("b", "y"), ("c", "w")}
+
+
+def test_failed_load_keeps_the_table(spark, path):
+    store = BatchStore(spark, path, KV, ["k"])
+    store.insert(kv(spark, [("a", "x")]), "0")
+    with pytest.raises(Exception):  # noqa: B017
+        store.truncate_and_load(kv(spark, [("b", "y")]).withColumn("v", F.raise_error(F.lit("no"))), "bad")
+    store.truncate_and_load(kv(spark, [("c", "y"), ("c", "z")]), "good")
+    assert [r["k"] for r in store.read().collect()] == ["c"]
+
+
 def test_seed_only_when_empty(spark, path):
     store = BatchStore(spark, path, KV, ["k"])
     assert store.seed_if_empty(kv(spark, [("a", "x")]))
