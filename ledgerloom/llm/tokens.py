@@ -14,19 +14,21 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 LONG = 100  # characters; longer pieces are not remembered
+MARK = "\x01"
 BATCH = 2_000_000  # characters looked at together
 
 
 class PieceEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        (self._mark,) = self._ids(MARK)
         self._limit = limit
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
@@ -45,16 +47,32 @@ class PieceEncoder:
         known = self._known
         if len(known) > self._limit:
             known.clear()
-        new = list(set().union(*held).difference(known))
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            for piece, found in zip(part, self._library.encode_batch(part, add_special_tokens=False), strict=True):
-                known[piece] = np.asarray(found.ids, "<u4").tobytes()
+        new = set().union(*held).difference(known)
+        # a full stop or comma after a letter is a word of its own, whatever stands before
+        tails = {p: (p[:-1], p[-1]) for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
+        cores = {core for core, _ in tails.values()} | ({".", ","} if tails else set())
+        self._learn([p for p in (new - tails.keys()) | cores if p not in known])
+        for piece, (core, tail) in tails.items():
+            known[piece] = known[core] + known[tail]
         for pieces in held:
             yield b"".join(map(known.__getitem__, pieces))
-        for piece in new:
-            if len(piece) > LONG:
-                del known[piece]
+        for piece in [p for p in new | cores if len(p) > LONG]:
+            known.pop(piece, None)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode ``pieces``, many in one text with a mark between them, which is one id that no other word has."""
+        plain = [p for p in pieces if MARK not in p]
+        for piece in set(pieces).difference(plain):
+            self._known[piece] = np.asarray(self._ids(piece), "<u4").tobytes()
+        for at in range(0, len(plain), 4096):
+            part = plain[at : at + 4096]
+            ids = np.asarray(self._ids(f" {MARK} ".join(part)), "<u4")
+            edges = [-1, *np.flatnonzero(ids == self._mark).tolist(), len(ids)]
+            for piece, low, high in zip(part, edges[:-1], edges[1:], strict=True):
+                self._known[piece] = ids[low + 1 : high].tobytes()
+
+    def _ids(self, text: str) -> list[int]:
+        return self._library.encode(text, add_special_tokens=False).ids
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
