@@ -168,12 +168,9 @@ def top_portfolios(risk: DataFrame, n: int = 5) -> DataFrame:
     return reduce(DataFrame.unionByName, lists)
 
 
-def with_weights(portfolios: DataFrame, weights: DataFrame, tickers: list[str]) -> DataFrame:
-    """One weight column per ticker beside the portfolio figures."""
-    wide = (
-        weights.join(portfolios.select("portfolio_id").distinct(), "portfolio_id", "left_semi")
-        .groupBy("portfolio_id")
-        .pivot("ticker", tickers)
-        .agg(F.max("weight"))
-    )
-    return portfolios.join(wide, "portfolio_id")
+def with_weights(portfolios: DataFrame, weights: DataFrame) -> DataFrame:
+    """The weights of the portfolios beside their figures, one row per ticker.
+
+    The portfolios are the best few; the weights are scanned once.
+    """
+    return weights.select("portfolio_id", "ticker", "weight").join(portfolios, "portfolio_id")

@@ -151,13 +151,10 @@ def fit(
     weighted = lookup_join(postings, terms.select("term", "idf"), "term", key).withColumn(
         "w", F.col("tf") * F.col("idf")
     )
-    # A document's list is bounded by its own length.
-    docs = weighted.groupBy(key, "pos").agg(
-        F.collect_list(F.struct("term", "w")).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
-    )
-    unit = docs.select("pos", "norm", F.explode("ws").alias("x")).select(
-        "pos", "x.term", (F.col("x.w") / F.col("norm")).alias("u")
-    )
+    # One number per text, summed in the map tasks first, goes back to the texts, not to their terms.
+    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    scaled = unnest(counted.join(norms, key), [key, "pos", "norm"], F.col("terms"), "x").select(key, "pos", "norm", "x.term", "x.tf")
+    unit = lookup_join(scaled, terms.select("term", "idf"), "term", key).withColumn("u", F.col("tf") * F.col("idf") / F.col("norm"))
     zero = F.lit(0.0)
     sums = stage(
         unit.groupBy("term").agg(

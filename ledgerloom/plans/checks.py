@@ -453,19 +453,16 @@ SELECT '{q.BENCHMARK_TICKER}' AS ticker, round(r, 6) AS annual_return, round(v,
 FROM figures
 """
 
-_EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-_WIDE = ", ".join(f"round(max(weight) FILTER (ticker = '{e}'), 6) AS \"{e}\"" for e in _EVENT_TYPES)
 CHECKS["top_portfolios"] = f"""
 WITH {_RISK},
 figures AS (SELECT portfolio_id, r, v, r / v AS s FROM gains JOIN spread USING (portfolio_id)),
 best AS (
   SELECT * FROM (SELECT *, 'sharpe' AS ranking FROM figures ORDER BY s DESC, portfolio_id LIMIT 5)
   UNION ALL SELECT * FROM (SELECT *, 'return' AS ranking FROM figures ORDER BY r DESC, portfolio_id LIMIT 5)
-  UNION ALL SELECT * FROM (SELECT *, 'volatility' AS ranking FROM figures ORDER BY v, portfolio_id LIMIT 5)),
-wide AS (SELECT portfolio_id, {_WIDE} FROM weights GROUP BY portfolio_id)
+  UNION ALL SELECT * FROM (SELECT *, 'volatility' AS ranking FROM figures ORDER BY v, portfolio_id LIMIT 5))
 SELECT portfolio_id, round(r, 6) AS portfolio_return, round(v, 6) AS portfolio_volatility,
-       round(s, 6) AS sharpe_ratio, ranking, {', '.join(f'"{e}"' for e in _EVENT_TYPES)}
-FROM best JOIN wide USING (portfolio_id)
+       round(s, 6) AS sharpe_ratio, ranking, ticker, round(weight, 6) AS weight
+FROM best JOIN weights USING (portfolio_id)
 """
 
 # Text ----------------------------------------------------------------------------------

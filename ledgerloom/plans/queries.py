@@ -470,8 +470,7 @@ def benchmark_risk(t: Tables) -> DataFrame:
 def top_portfolios(t: Tables) -> DataFrame:
     figures, weights = _risk(t)
     best = risk.top_portfolios(stage(figures, "risk"))
-    tickers = [r["ticker"] for r in weights.select("ticker").distinct().orderBy("ticker").collect()]
-    return _round(risk.with_weights(best, weights, tickers))
+    return _round(risk.with_weights(best, weights))
 
 
 # Text ----------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom import schemas
 from ledgerloom.functions.dates import feed_date, history_date
@@ -33,18 +33,72 @@ def conform(rows: DataFrame) -> DataFrame:
     )
 
 
+def arrival_number(position: Column) -> Column:
+    """When a row's file was landed (milliseconds), then its place in the file (up to a million)."""
+    landed = F.unix_millis(F.col("_metadata.file_modification_time"))
+    return (landed * (1 << 20) + F.least(position, F.lit((1 << 20) - 1))).cast("long")
+
+
 def read_feeds(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
-    """Landed feed files. A malformed item does not stop the others."""
+    """Landed feed items on the engine's own layout.
+
+    Every field is read as text, so none can fail to parse; an item without a link
+    stays, and ``feed_articles`` leaves it out.
+    """
     return (
         spark.read.format("xml")
         .option("rowTag", row_tag)
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
         .option("ignoreSurroundingSpaces", "false")
-        .schema(schemas.FEED_ITEM)
+        .schema(_TEXT_ITEM)
         .load(path)
+        .withColumn("seq", F.trim("seq").try_cast("long"))
+    )
+
+
+_TEXT_ITEM = T.StructType(
+    [T.StructField(f.name, T.StringType() if f.name == "seq" else f.dataType) for f in schemas.FEED_ITEM.fields]
+)
+
+
+def read_rss(spark: SparkSession, path: str) -> DataFrame:
+    """Landed RSS 2.0 files as feed items; a file is one row until its items are taken apart."""
+    channels = _xml(spark, "channel", schemas.RSS_CHANNEL).load(path)
+    return channels.select("title", "_metadata", F.posexplode("item").alias("place", "i")).select(
+        F.trim("i.link").alias("link"),
+        F.col("i.title").alias("title"),
+        F.coalesce("i.creator", "i.author").alias("author"),
+        F.coalesce("i.pubDate", "i.date").alias("published"),
+        F.when(F.col("i.encoded").isNotNull(), F.array(F.struct(F.col("i.encoded").alias("value")))).alias("content"),
+        F.col("i.description").alias("summary"),
+        F.col("title").alias("feed_title"),
+        F.col("_metadata.file_path").alias("feed_url"),
+        arrival_number(F.col("place")).alias("seq"),
     )
 
 
+def read_atom(spark: SparkSession, path: str) -> DataFrame:
+    """Landed Atom files as feed items; the link is the alternate one, or the first."""
+    feeds = _xml(spark, "feed", schemas.ATOM_FEED).load(path)
+    own = F.filter("e.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(F.get(own, F.lit(0)), F.get("e.link", F.lit(0)))["_href"]
+    return feeds.select("title", "_metadata", F.posexplode("entry").alias("place", "e")).select(
+        link.alias("link"),
+        F.col("e.title").alias("title"),
+        F.col("e.author.name").alias("author"),
+        F.coalesce("e.published", "e.updated").alias("published"),
+        F.when(F.col("e.content").isNotNull(), F.array(F.struct(F.col("e.content").alias("value")))).alias("content"),
+        F.col("e.summary").alias("summary"),
+        F.col("title").alias("feed_title"),
+        F.col("_metadata.file_path").alias("feed_url"),
+        arrival_number(F.col("place")).alias("seq"),
+    )
+
+
+def _xml(spark: SparkSession, row_tag: str, schema: T.StructType):
+    return spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).schema(schema)
+
+
 def feed_articles(items: DataFrame) -> DataFrame:
     """Feed items to articles: linked items only, the first of each link."""
     raw = F.coalesce(
@@ -68,11 +122,14 @@ def feed_articles(items: DataFrame) -> DataFrame:
     return conform(tag_source(parsed, FEED_SOURCE).withColumn("mentioned_tickers", F.array().cast("array<string>")))
 
 
-def read_history(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
-    """Landed historical news rows (CSV with header, or Parquet)."""
+def read_history(spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = False) -> DataFrame:
+    """Landed historical news rows (CSV with header, or Parquet).
+
+    ``multi_line`` for values with line breaks; a file is one task then.
+    """
     reader = spark.read.schema(schemas.NEWS_HISTORY)
     if file_format == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return reader.format(file_format).load(path)
 
 

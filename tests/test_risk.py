@@ -74,7 +74,7 @@ def test_portfolios(returns, mode):
     np.testing.assert_allclose(got["sharpe_ratio"], (ret - (0 if mode == "reference" else 0.03)) / vol)
     best = risk.top_portfolios(risk.portfolio_risk(df, weights, rf_mode=mode), 3)
     assert best.count() == 9
-    assert risk.with_weights(best, weights, list("ABCDEFG")).columns[-7:] == list("ABCDEFG")
+    assert risk.with_weights(best, weights).count() == 9 * 7
 
 
 def test_unknown_mode(returns):

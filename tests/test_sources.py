@@ -197,3 +197,31 @@ def test_reviews_and_labelled_tree(spark, path):
     write(f"{path}/tree/neg", "2.txt", "bad")
     got = {tuple(r) for r in records.read_labelled_documents(spark, f"{path}/tree").collect()}
     assert got == {("pos", "pos/1.txt", "good\nfilm"), ("neg", "neg/2.txt", "bad")}
+
+
+RSS = """<?xml version="1.0"?>
+<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/" xmlns:dc="http://purl.org/dc/elements/1.1/">
+<channel><title>Daily</title>
+<item><title>One</title><link>http://a/1</link><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate><dc:creator>Ann</dc:creator>
+<description>short</description><content:encoded><![CDATA[<p>long text</p>]]></content:encoded></item>
+<item><title>Two</title><link>http://a/2</link><pubDate>Mon, 01 Jan 2024 11:00:00 GMT</pubDate><description>only this</description></item>
+</channel></rss>"""
+ATOM = """<?xml version="1.0"?>
+<feed xmlns="http://www.w3.org/2005/Atom"><title>Weekly</title>
+<entry><title>Three</title><link rel="self" href="http://b/self"/><link rel="alternate" href="http://b/3"/><updated>2024-01-02T10:00:00Z</updated>
+<author><name>Bob</name></author><summary>brief</summary></entry>
+<entry><title>Four</title><link href="http://b/4"/><updated>2024-01-02T11:00:00Z</updated><content type="html">words</content></entry>
+</feed>"""
+
+
+@pytest.mark.parametrize("read, text, want", [
+    (articles.read_rss, RSS, {"http://a/1": ("One", "Ann", "Daily", "long text"), "http://a/2": ("Two", None, "Daily", "only this")}),
+    (articles.read_atom, ATOM, {"http://b/3": ("Three", "Bob", "Weekly", "brief"), "http://b/4": ("Four", None, "Weekly", "words")}),
+])
+def test_plain_feed_files(spark, path, read, text, want):
+    spark.sparkContext._jvm.java.io.File(path).mkdirs()
+    with open(f"{path}/feed.xml", "w") as out:
+        out.write(text)
+    rows = articles.feed_articles(read(spark, path)).collect()
+    assert {r["url"]: (r["title"], r["author"], r["publisher"], r["content"]) for r in rows} == want
+    assert all(r["published_at"] is not None and r["seq"] is not None for r in rows)
