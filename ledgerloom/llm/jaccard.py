@@ -9,9 +9,9 @@ the whole corpus, of fixed size; any order all sets share gives the same links.
 2. Lists are expanded to the members. In each of ``ROUNDS`` rounds one member of a list is paired with the members of other
    components, the pairs are verified, and components are joined. A list whose members are in one component is done. So a large
    group of copies costs a pair a member and round, not all its pairs.
-3. What is left is compared block by block, members of one component left out; a block pair emits only pairs that pass all filters.
+3. What is left is compared block by block, members of one component left out; a block pair emits only pairs that pass the filters.
 
-Filters (all exact): sizes; places of a shared shingle in both orders; and an upper bound on the intersection by parity bitmaps.
+Filters (all exact): sizes, and places of a shared shingle in both orders; then an upper bound on the intersection by parity bitmaps.
 Pairs that pass are verified on the whole sets, recomputed from the texts.
 
 Defined results: a text without words, empty or null has an empty set and links with nothing; with fewer words than a shingle the
@@ -34,10 +34,11 @@ from ledgerloom.llm.shared import ship
 from ledgerloom.llm.sieve import sieve
 from ledgerloom.session import stage
 
-ROUNDS = 3
+ROUNDS = 2
 CELLS = 22  # 2^CELLS counters
 BLOCK = 1 << 14  # counters merged together
 LIST_BLOCK = 512
+LANES = 16
 NONE = -(1 << 63)  # the number of documents without one
 
 
@@ -182,54 +183,102 @@ def _enough(n1, n2, percent: int):
     return -(-percent * (n1 + n2) // (100 + percent))
 
 
-def _plausible(percent: int):
+def _dealer(buckets: int):
+    """Postings of sets (token, group, size, place) as packed columns, by bucket of their token."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = zip(batch.column("n1").to_pylist(), batch.column("n2").to_pylist(), strict=True)
-            maps = zip(batch.column("map1").to_pylist(), batch.column("map2").to_pylist(), strict=True)
-            keep = [_overlap_bound(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), n1, n2) >= _enough(n1, n2, percent) for (n1, n2), (x, y) in zip(n, maps, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            prefix = batch.column("prefix")
+            sizes = np.diff(np.asarray(prefix.offsets))
+            token = np.asarray(prefix.flatten()).view(np.uint64)
+            row = np.repeat(np.arange(len(batch)), sizes)
+            place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            bucket = (token % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(edges))
+            columns = [token[order], np.asarray(batch.column("id"))[row][order], np.asarray(batch.column("n"))[row][order], place[order]]
+            blobs = []
+            for b in full:
+                part = [x[edges[b] : edges[b + 1]] for x in columns]
+                blobs.append(part[0].tobytes() + zstandard.compress(b"".join(x.astype(np.int64).tobytes() for x in part[1:]), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(np.diff(edges)[full], pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "count", "blob"])
 
     return run
 
 
-def _set_rows(width: int):
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings of tokens that more than one document has: that is, of two groups or more."""
+    current, held = None, []
+
+    def done() -> pa.RecordBatch:
+        token = np.concatenate([x[0] for x in held])
+        order = np.argsort(token, kind="stable")
+        token = token[order]
+        new = np.concatenate([[True], token[1:] != token[:-1]])
+        many = (np.bincount(np.cumsum(new) - 1) > 1)[np.cumsum(new) - 1]
+        columns = [np.concatenate([x[k] for x in held])[order][many] for k in (1, 2, 3)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (token[many].view(np.int64), *columns)], ["token", "group", "n", "place"])
+
+    for batch in batches:
+        for bucket, count, blob in zip(*[batch.column(n).to_pylist() for n in ("bucket", "count", "blob")], strict=True):
+            if held and bucket != current:
+                yield done()
+                held = []
+            current = bucket
+            rest = np.frombuffer(zstandard.decompress(blob[8 * count :]), np.int64).reshape(3, count)
+            held.append((np.frombuffer(blob, np.uint64, count), *rest))
+    if held:
+        yield done()
+
+
+def _plausible(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(x, width).tobytes() for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "hashes"])
+            n = zip(batch.column("n1").to_pylist(), batch.column("n2").to_pylist(), strict=True)
+            maps = zip(batch.column("map1").to_pylist(), batch.column("map2").to_pylist(), strict=True)
+            keep = [_overlap_bound(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), n1, n2) >= _enough(n1, n2, percent) for (n1, n2), (x, y) in zip(n, maps, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _verify(percent: int):
+def _verify(width: int, percent: int):
+    """Pairs that are similar enough; rows come sorted by (a, lane), the text of a first, then those of its partners."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, firsts = None, []
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set1"), batch.column("set2"), strict=True):
-                one, two = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(bool(both) and 100 * both >= percent * (len(one) + len(two) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            a, b = [], []
+            for one, lane, two, text in zip(*[batch.column(n).to_pylist() for n in ("a", "lane", "b", "text")], strict=True):
+                if (one, lane) != current:
+                    current, firsts = (one, lane), []
+                hashes = shingles(text, width)
+                if two is None:
+                    firsts.append(hashes)
+                    continue
+                for first in firsts:  # more than one only if documents share an id
+                    both = len(np.intersect1d(first, hashes, assume_unique=True))
+                    if both and 100 * both >= percent * (len(first) + len(hashes) - both):
+                        a.append(one)
+                        b.append(two)
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component): the smallest id that can be reached over ``edges`` (a, b), for every id that has one.
+    """(id, component): the smallest id that can be reached over ``edges`` (a, b), for ids that reach a smaller one.
 
-    Large and small stars in turn until nothing changes; each step is written, and no node's edges meet in one place but
-    as a minimum.
+    Large and small stars in turn until every id points at one that points nowhere; each step is written, and no node's
+    edges meet in one place but as a minimum.
     """
-    both = edges.filter("a != b")
-    now = stage(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = None
+    now = stage(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     while True:
-        sign = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if sign == seen:
-            return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct().join(now.select(F.col("u").alias("id")), "id", "left_anti"))
-        seen = sign
+        size = now.agg(F.count("*").alias("n"), F.count_distinct("u").alias("ids")).first()
+        if size["n"] == size["ids"] and now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
         around = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
@@ -243,6 +292,7 @@ class _Join:
         self.texts, self.width, self.percent = texts, width, percent
         spark = texts.sparkSession
         ship(spark)
+        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         common = spark.sparkContext.broadcast(levels(texts, width))
         signed = texts.mapInArrow(_signer(width, percent, common), SIGNED)
         self.signed = stage(signed, "jaccard-signed")
@@ -262,25 +312,35 @@ class _Join:
         hopeful = stage(pairs.join(one, "a").join(two, "b").mapInArrow(_plausible(self.percent), "a long, b long").distinct(), "jaccard-pairs")
         ids = hopeful.select(F.col("a").alias("id")).unionByName(hopeful.select(F.col("b").alias("id"))).distinct()
         some = sieve(self.texts, "id", ids, "id").filter("_maybe").select("id", "text").join(ids, "id", "left_semi")
-        sets = stage(some.mapInArrow(_set_rows(self.width), "id long, hashes binary"), "jaccard-sets")
-        one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("set1"))
-        two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("set2"))
-        return hopeful.join(one, "a").join(two, "b").mapInArrow(_verify(self.percent), "a long, b long").distinct()
+        texts = stage(some, "jaccard-texts")
+        lane = F.pmod(F.xxhash64("b"), F.lit(LANES)).cast("int")  # the partners of one document spread over lanes
+        laned = hopeful.withColumn("lane", lane)
+        heads = laned.select("a", "lane").distinct().join(texts, F.col("a") == F.col("id")).select("a", "lane", F.lit(None).cast("long").alias("b"), "text")
+        others = laned.join(texts, F.col("b") == F.col("id")).select("a", "lane", "b", "text")
+        rows = heads.unionByName(others).repartition(self.parts, "a", "lane").sortWithinPartitions("a", "lane", F.col("b").asc_nulls_first())
+        return rows.mapInArrow(_verify(self.width, self.percent), "a long, b long").distinct()
 
     def run(self) -> DataFrame:
-        """(id, component) for every document that is linked or has a twin."""
+        """(id, component) for every document that is linked to one with a smaller id, or has such a twin."""
         small = self.signed.filter("n > 0").select("id", "n", "set_key", "prefix_key")
         nodes = small.groupBy("set_key").agg(F.min("id").alias("node"), F.first("prefix_key").alias("prefix_key"))
         twins = small.join(nodes.select("set_key", "node"), "set_key").filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-        self.edges = stage(twins, "jaccard-links")
+        self.labels = stage(twins.select(F.col("a").alias("id"), F.col("b").alias("component")).distinct(), "jaccard-labels")
         groups = nodes.groupBy("prefix_key").agg(F.min("node").alias("group"), F.count("*").alias("members"))
         groups = stage(nodes.select("node", "prefix_key").join(groups, "prefix_key").select("node", "group", "members"), "jaccard-groups")
-        heads = groups.filter("node = group").select(F.col("group").alias("id"), "members")
-        listed = self.signed.select("id", "n", "prefix").join(heads, "id")
-        listed = listed.select(F.col("id").alias("group"), "n", "members", F.posexplode("prefix").alias("place", "token"))
-        shared = listed.groupBy("token").agg(F.sum("members").alias("all")).filter("all > 1").select("token")
-        lists = listed.join(shared, "token").select("token", "group", "n", "place")
-        self.lists = stage(lists.join(groups.select("group", "node"), "group").select("token", "node", "n", "place"), "jaccard-lists")
+        # all but the heads of groups: few, so that most sets are never shuffled
+        rest = stage(small.select("id").join(groups.filter("node = group").select(F.col("node").alias("id")), "id", "left_anti"), "jaccard-rest")
+        listed = sieve(self.signed.filter("n > 0").select("id", "n", "prefix"), "id", rest, "id")
+        heads = listed.filter(~F.col("_maybe")).unionByName(listed.filter("_maybe").join(rest, "id", "left_anti").select(listed.columns))
+        dealt = heads.select("id", "n", "prefix").mapInArrow(_dealer(self.parts), "bucket int, count int, blob binary")
+        dealt = dealt.repartition(self.parts, "bucket").sortWithinPartitions("bucket")
+        lists = stage(dealt.mapInArrow(_shared, "token long, group long, n long, place long"), "jaccard-shared")
+        member = groups.filter("members > 1")
+        sizes = sieve(self.signed.select("id", "n"), "id", member, "node").filter("_maybe").select(F.col("id").alias("node"), "n").distinct()
+        # the members of a group share their whole prefix: one list under a number of the group
+        inside = member.join(sizes, "node").select(F.xxhash64(F.lit("group"), "group").alias("token"), "node", "n", F.lit(0).cast("long").alias("place"))
+        across = lists.join(groups.select("group", "node"), "group").select("token", "node", "n", "place")
+        self.lists = stage(across.unionByName(inside), "jaccard-lists")
         tried = None
         for turn in range(ROUNDS):
             now = self._active()
@@ -294,26 +354,35 @@ class _Join:
             if pairs.isEmpty():
                 break
             tried = pairs if tried is None else tried.unionByName(pairs)
-            self.edges = stage(self.edges.unionByName(self.links(pairs)), "jaccard-links")
+            self._link(self.links(pairs))
         rest = self._blocks(self._active())
         if tried is not None:
             rest = rest.join(tried, ["a", "b"], "left_anti")
-        self.edges = stage(self.edges.unionByName(self.links(stage(rest, "jaccard-rest"))), "jaccard-links")
-        return components(self.edges)
+        self._link(self.links(stage(rest, "jaccard-rest")))
+        return self.labels
+
+    def _link(self, links: DataFrame) -> None:
+        """Join the components that ``links`` connect."""
+        one = self.labels.select(F.col("id").alias("a"), F.col("component").alias("la"))
+        two = self.labels.select(F.col("id").alias("b"), F.col("component").alias("lb"))
+        between = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        joined = components(between)
+        moved = joined.select(F.col("id").alias("component"), F.col("component").alias("least"))
+        old = self.labels.join(moved, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+        self.labels = stage(old.unionByName(joined), "jaccard-labels")
 
     def _active(self) -> DataFrame:
         """Lists whose members are in several components, with the members' components."""
-        labels = components(self.edges).select(F.col("id").alias("node"), F.col("component").alias("_c"))
+        labels = self.labels.select(F.col("id").alias("node"), F.col("component").alias("_c"))
         now = stage(self.lists.join(labels, "node", "left").select("token", "node", "n", "place", F.coalesce("_c", "node").alias("component")), "jaccard-active")
         open_ = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low != high")
         return stage(now.join(open_.select("token", "size"), "token"), "jaccard-open")
 
     def _blocks(self, now: DataFrame) -> DataFrame:
         """Pairs of members of different components that pass all filters, found block against block."""
-        maps = self.signed.select(F.col("id").alias("node"), "bitmap")
         spot = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / LIST_BLOCK)).cast("int")
-        member = F.struct("node", "n", "place", "component", "bitmap")
-        blocks = stage(now.join(maps, "node").withColumn("block", spot).groupBy("token", "block").agg(F.collect_list(member).alias("members")), "jaccard-blocks")
+        member = F.struct("node", "n", "place", "component")
+        blocks = stage(now.withColumn("block", spot).groupBy("token", "block").agg(F.collect_list(member).alias("members")), "jaccard-blocks")
         one = blocks.select("token", F.col("block").alias("x"), F.col("members").alias("left"))
         two = blocks.select("token", F.col("block").alias("y"), F.col("members").alias("right"))
         both = one.join(two, "token").filter("x <= y").select("left", "right")
@@ -327,16 +396,13 @@ def _block_pairs(percent: int):
                 sides = []
                 for name in ("left", "right"):
                     v = batch.column(name)[k].values
-                    maps = [np.frombuffer(x.as_buffer(), np.uint8) for x in v.field("bitmap")]
-                    sides.append([v.field(x).to_numpy() for x in ("node", "n", "place", "component")] + [maps])
-                (node1, n1, p1, c1, maps1), (node2, n2, p2, c2, maps2) = sides
+                    sides.append([v.field(x).to_numpy() for x in ("node", "n", "place", "component")])
+                (node1, n1, p1, c1), (node2, n2, p2, c2) = sides
                 need = _enough(n1[:, None], n2[None, :], percent)
                 good = (c1[:, None] != c2[None, :]) & (np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent)
                 good &= (n1 - p1)[:, None] >= need
                 good &= (n2 - p2)[None, :] >= need
                 i, j = np.nonzero(good)
-                keep = [_overlap_bound(maps1[x], maps2[y], int(n1[x]), int(n2[y])) >= need[x, y] for x, y in zip(i.tolist(), j.tolist(), strict=True)]
-                i, j = i[keep], j[keep]
                 a, b = np.minimum(node1[i], node2[j]), np.maximum(node1[i], node2[j])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
