@@ -59,11 +59,11 @@ class BatchStore:
         The new batch is complete before the old ones go, so a load that fails
         leaves the old content as it was.
         """
-        batch = f"{self.path}/batch_id={batch_id}-{uuid.uuid4().hex}"
         old = [b["batch_id"] for b in self.read().select("batch_id").distinct().collect()]
-        first_per_key(rows.select(*self.columns), self.keys, None).write.parquet(batch)
-        for name in old:
-            remove(self.spark, f"{self.path}/batch_id={name}")
+        name = f"{batch_id}-{uuid.uuid4().hex}" if batch_id in old else batch_id
+        first_per_key(rows.select(*self.columns), self.keys, None).write.mode("overwrite").parquet(f"{self.path}/batch_id={name}")
+        for other in old:
+            remove(self.spark, f"{self.path}/batch_id={other}")
 
     def seed_if_empty(self, rows: DataFrame) -> bool:
         """Write ``rows`` only when the table holds none."""
