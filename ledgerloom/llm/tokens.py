@@ -2,14 +2,16 @@
 
 A text is cut at spaces and line feeds, which the word vocabulary drops and never joins over; each piece
 between them passes the library's whole normaliser, splitter and merges. A piece met before is looked up, so
-the library works once per distinct piece while the table of pieces lasts. The table is emptied when it
-holds ``limit`` pieces: it saves work and never changes a result.
+the library works once per distinct piece while the table of pieces lasts. A table of ``limit`` pieces becomes the
+older one, of which only pieces met again are carried on: it saves work and never changes a result.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from string import punctuation
+from unicodedata import normalize
 
 import numpy as np
 
@@ -18,6 +20,19 @@ MARK = "\x01"
 BATCH = 2_000_000  # characters looked at together
 
 
+def _parts(piece: str) -> tuple[str, str]:
+    """A piece that many others share, and what follows it.
+
+    Marks after a letter or digit are a word of their own, and ASCII letters are lowered
+    by the vocabulary anyway.
+    """
+    core = piece.rstrip(punctuation)
+    # some letters end in a mark once they are normalised and lowered, and marks join what follows
+    if not core or not normalize("NFC", core[-1]).lower()[-1].isalnum():
+        core = piece
+    return core.lower() if core.isascii() else core, piece[len(core) :]
+
+
 class PieceEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -28,6 +43,7 @@ class PieceEncoder:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         (self._mark,) = self._ids(MARK)
         self._limit = limit
 
@@ -44,16 +60,22 @@ class PieceEncoder:
         yield from self._flush(held)
 
     def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
-        known = self._known
-        if len(known) > self._limit:
-            known.clear()
+        if len(self._known) > self._limit:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
         new = set().union(*held).difference(known)
-        # a full stop or comma after a letter is a word of its own, whatever stands before
-        tails = {p: (p[:-1], p[-1]) for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
-        cores = {core for core, _ in tails.values()} | ({".", ","} if tails else set())
-        self._learn([p for p in (new - tails.keys()) | cores if p not in known])
-        for piece, (core, tail) in tails.items():
-            known[piece] = known[core] + known[tail]
+        for piece in new.intersection(older):
+            known[piece] = older[piece]
+        new = new.difference(known)
+        parts = {piece: _parts(piece) for piece in new}
+        cores = set()
+        for core, tail in parts.values():
+            cores.add(core)
+            cores.add(tail)
+        cores.discard("")
+        self._learn([p for p in cores if p not in known])
+        for piece, (core, tail) in parts.items():
+            known[piece] = known[core] + known[tail] if tail else known[core] if core else b""
         for pieces in held:
             yield b"".join(map(known.__getitem__, pieces))
         for piece in [p for p in new | cores if len(p) > LONG]:
