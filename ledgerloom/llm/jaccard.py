@@ -11,7 +11,7 @@ the whole corpus, of fixed size; any order all sets share gives the same links.
    group of copies costs a pair a member and round, not all its pairs.
 3. What is left is compared block by block, members of one component left out; a block pair emits only pairs that pass the filters.
 
-Filters (all exact): sizes, and places of a shared shingle in both orders; then an upper bound on the intersection by parity bitmaps.
+Filters (all exact): sizes, places of a shared shingle in both orders, and upper bounds on the intersection by parity bitmaps.
 Pairs that pass are verified on the whole sets, recomputed from the texts.
 
 Defined results: a text without words, empty or null has an empty set and links with nothing; with fewer words than a shingle the
@@ -136,13 +136,15 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def _bitmap(hashes: np.ndarray) -> bytes:
-    bits = max(256, 1 << int(2 * len(hashes) - 1).bit_length()) if len(hashes) else 256
+def _bitmap(hashes: np.ndarray, bits: int | None = None) -> bytes:
+    """Whether an odd number of shingles falls on each bit; by default with two bits or more for a shingle."""
+    bits = bits or (max(256, 1 << int(2 * len(hashes) - 1).bit_length()) if len(hashes) else 256)
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-SIGNED = "id long, n long, set_key binary, prefix_key binary, prefix array<long>, bitmap binary"
+SMALL = 512  # bits of the bitmap that lists carry
+SIGNED = "id long, n long, set_key binary, prefix_key binary, prefix array<long>, bitmap binary, small binary"
 
 
 def _signer(width: int, percent: int, common):
@@ -158,13 +160,13 @@ def _signer(width: int, percent: int, common):
                 prefix = hashes[np.argsort(rank, kind="stable")[: prefix_length(n, percent)]]
                 head = prefix.tobytes()
                 key = xxhash.xxh3_128_digest(head + n.to_bytes(8, "little"))
-                out.append((id_, n, xxhash.xxh3_128_digest(hashes.tobytes()), key, prefix.view(np.int64), _bitmap(hashes)))
+                out.append((id_, n, xxhash.xxh3_128_digest(hashes.tobytes()), key, prefix.view(np.int64), _bitmap(hashes), _bitmap(hashes, SMALL)))
             if out:
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary()),
-                     pa.array(columns[4], pa.list_(pa.int64())), pa.array(columns[5], pa.binary())],
-                    ["id", "n", "set_key", "prefix_key", "prefix", "bitmap"],
+                     pa.array(columns[4], pa.list_(pa.int64())), pa.array(columns[5], pa.binary()), pa.array(columns[6], pa.binary())],
+                    ["id", "n", "set_key", "prefix_key", "prefix", "bitmap", "small"],
                 )
 
     return run
@@ -379,10 +381,11 @@ class _Join:
         return stage(now.join(open_.select("token", "size"), "token"), "jaccard-open")
 
     def _blocks(self, now: DataFrame) -> DataFrame:
-        """Pairs of members of different components that pass all filters, found block against block."""
+        """Pairs of members of different components that pass the filters, found block against block."""
         spot = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / LIST_BLOCK)).cast("int")
-        member = F.struct("node", "n", "place", "component")
-        blocks = stage(now.withColumn("block", spot).groupBy("token", "block").agg(F.collect_list(member).alias("members")), "jaccard-blocks")
+        member = F.struct("node", "n", "place", "component", "small")
+        maps = self.signed.select(F.col("id").alias("node"), "small")
+        blocks = stage(now.join(maps, "node").withColumn("block", spot).groupBy("token", "block").agg(F.collect_list(member).alias("members")), "jaccard-blocks")
         one = blocks.select("token", F.col("block").alias("x"), F.col("members").alias("left"))
         two = blocks.select("token", F.col("block").alias("y"), F.col("members").alias("right"))
         both = one.join(two, "token").filter("x <= y").select("left", "right")
@@ -396,13 +399,17 @@ def _block_pairs(percent: int):
                 sides = []
                 for name in ("left", "right"):
                     v = batch.column(name)[k].values
-                    sides.append([v.field(x).to_numpy() for x in ("node", "n", "place", "component")])
-                (node1, n1, p1, c1), (node2, n2, p2, c2) = sides
+                    words = np.frombuffer(b"".join(v.field("small").to_pylist()), np.uint64).reshape(len(v), SMALL // 64)
+                    sides.append([v.field(x).to_numpy() for x in ("node", "n", "place", "component")] + [words])
+                (node1, n1, p1, c1, map1), (node2, n2, p2, c2, map2) = sides
                 need = _enough(n1[:, None], n2[None, :], percent)
                 good = (c1[:, None] != c2[None, :]) & (np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent)
                 good &= (n1 - p1)[:, None] >= need
                 good &= (n2 - p2)[None, :] >= need
                 i, j = np.nonzero(good)
+                apart = np.bitwise_count(map1[i] ^ map2[j]).sum(1)
+                keep = (n1[i] + n2[j] - apart) // 2 >= need[i, j]
+                i, j = i[keep], j[keep]
                 a, b = np.minimum(node1[i], node2[j]), np.maximum(node1[i], node2[j])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
