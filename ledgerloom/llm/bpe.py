@@ -82,20 +82,26 @@ def _with(value: Column, body) -> Column:
 
 
 def _merge(ranks: Column, state: Column) -> Column:
-    """One step: join the leftmost pair of the least rank."""
-    least = F.array_min(state["ranks"])
-    at = F.array_position(state["ranks"], least).cast("int")  # from 1
-    parts = state["parts"]
-    made = F.concat(F.get(parts, at - 1), F.get(parts, at))
+    """One step: join the leftmost pair of the least rank. Variables keep what is mentioned often from being computed as often."""
+    parts, pairs = state["parts"], state["ranks"]
     rank = lambda x: F.coalesce(_look(ranks, x), F.lit(NEVER))
-    left = F.when(at > 1, F.array(rank(F.concat(F.get(parts, at - 2), made)))).otherwise(F.array().cast("array<int>"))
-    right = F.when(at + 1 < F.size(parts), F.array(rank(F.concat(made, F.get(parts, at + 1))))).otherwise(F.array().cast("array<int>"))
-    size = F.size(parts)
-    joined = F.struct(
-        F.concat(F.slice(parts, 1, at - 1), F.array(made), F.slice(parts, at + 2, size)).alias("parts"),
-        F.concat(F.slice(state["ranks"], 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(state["ranks"], at + 2, size)).alias("ranks"),
-    )
-    return F.when(least < NEVER, joined).otherwise(state)
+    none = F.array().cast("array<int>")
+
+    def joined(at: Column, made: Column) -> Column:
+        size = F.size(parts)
+        left = F.when(at > 1, F.array(rank(F.concat(F.get(parts, at - 2), made)))).otherwise(none)
+        right = F.when(at + 1 < size, F.array(rank(F.concat(made, F.get(parts, at + 1))))).otherwise(none)
+        return F.struct(
+            F.concat(F.slice(parts, 1, at - 1), F.array(made), F.slice(parts, at + 2, size)).alias("parts"),
+            F.concat(F.slice(pairs, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(pairs, at + 2, size)).alias("ranks"),
+        )
+
+    def at_least(least: Column) -> Column:
+        spot = F.array_position(pairs, least).cast("int")  # from 1
+        step = _with(spot, lambda at: _with(F.concat(F.get(parts, at - 1), F.get(parts, at)), lambda made: joined(at, made)))
+        return F.when(least < NEVER, step).otherwise(state)
+
+    return _with(F.array_min(pairs), at_least)
 
 
 def _fold(ranks: Column, word: Column) -> Column:
@@ -110,8 +116,9 @@ def _fold(ranks: Column, word: Column) -> Column:
     steps = F.sequence(F.lit(2), F.length(word))
     folded = F.aggregate(steps, state, lambda acc, _: F.when(F.size(acc["ranks"]) > 0, _merge(ranks, acc)).otherwise(acc), lambda acc: acc["parts"])
     ids = F.transform(folded, lambda x: _look(ranks, x))
-    whole = _look(ranks, word)
-    return F.when(whole.isNotNull(), F.array(whole)).when(F.length(word) < 2, F.transform(parts, lambda x: _look(ranks, x))).otherwise(ids)
+    single = F.transform(parts, lambda x: _look(ranks, x))
+    many = F.when(F.length(word) < 2, single).otherwise(ids)
+    return _with(_look(ranks, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(many))
 
 
 class ByteBPE:
@@ -142,7 +149,7 @@ class ByteBPE:
         if least is None:
             return {}
         often = counts.filter(F.col("n") >= least).select("word")
-        ids = _with(self.ranks, lambda ranks: _fold(ranks, latin(F.col("word"))))
+        ids = _with(self.ranks, lambda ranks: _with(latin(F.col("word")), lambda word: _fold(ranks, word)))
         return {r["word"]: r["ids"] for r in often.select("word", ids.alias("ids")).collect()}
 
     def encode(self, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,7 +157,7 @@ class ByteBPE:
         base = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
         known = _table(self.frequent("_text", base), "array<int>")
         tables = F.struct(known.alias("known"), self.ranks.alias("ranks"))
-        ids = lambda t: F.flatten(F.transform("_words", lambda w: F.coalesce(_look(t["known"], w), _fold(t["ranks"], latin(w)))))
+        ids = lambda t: F.flatten(F.transform("_words", lambda w: F.coalesce(_look(t["known"], w), _with(latin(w), lambda word: _fold(t["ranks"], word)))))
         return base.select("_id", self.words(F.col("_text")).alias("_words")).select(F.col("_id").alias(id), _with(tables, ids).alias("ids"))
 
     def as_bytes(self, ids: Column) -> Column:
