@@ -372,8 +372,8 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int =
     firsts = found.filter("first")
     wanted = firsts.groupBy("id", "tag").agg(F.collect_list(F.struct("bucket", "start", "length", "place")).alias("wanted"))
     some = sieve(texts, "_key", firsts, "id").filter("_maybe").select("_key", "_tag", F.encode("_whole", "UTF-8").alias("bytes"))
-    # a document listed twice gives its strings once
-    some = some.join(wanted, (F.col("_key") == F.col("id")) & (F.col("_tag") == F.col("tag")))
+    # a document listed twice gives its strings once; map tasks collapse its rows, and the join needs no other shuffle
+    some = some.dropDuplicates(["_key", "_tag"]).join(wanted, (F.col("_key") == F.col("id")) & (F.col("_tag") == F.col("tag")))
     strings = some.select("id", "tag", "bytes", "wanted").mapInArrow(_fetch, "bucket int, id long, tag long, start long, place int, string binary")
     strings = strings.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     more = strings.mapInArrow(_indexer(window, k), "id long, tag long, start long, length int")

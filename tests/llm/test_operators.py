@@ -187,6 +187,18 @@ def test_repeats(spark, docs, rows):
     assert sorted(r.n_removed for r in repeats.remove(twice).collect())[-1] == len(text)
 
 
+def test_repeats_of_a_document_listed_twice(spark):
+    """Rows equal in id and text lose the same bytes, and a passage they share with another keeps its first occurrence."""
+    rng = random.Random(8)
+    shared = prose(rng, 60)
+    first, other, copy = f"{prose(rng, 40)} {shared} {prose(rng, 40)}", f"{prose(rng, 40)} {shared} {prose(rng, 40)}", f"{prose(rng, 50)} {shared}"
+    table = [(1, first), (1, first), (2, other), (None, copy), (None, copy)]
+    want = {(r[0], r[1]): r[1:] for r in brute.repeats([(None, copy), (1, first), (2, other)])}
+    got = repeats.remove(spark.createDataFrame(table, "doc_id long, text string")).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    same(got, [(i, *want[i, len(t.encode())]) for i, t in table])
+    assert sum(r.n_removed for r in got if r.doc_id is None) == 0 < min(r.n_removed for r in got if r.doc_id)
+
+
 def test_column_index_orders_suffixes():
     rng = np.random.default_rng(5)
     strings = [bytes(rng.integers(97, 99, 20).astype(np.uint8)) for _ in range(40)]
