@@ -327,7 +327,7 @@ class _Join:
         small = self.signed.filter("n > 0").select("id", "n", "set_key", "prefix_key")
         nodes = small.groupBy("set_key").agg(F.min("id").alias("node"), F.first("prefix_key").alias("prefix_key"))
         twins = small.join(nodes.select("set_key", "node"), "set_key").filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-        self.labels = stage(twins.select(F.col("a").alias("id"), F.col("b").alias("component")).distinct(), "jaccard-labels")
+        self.labels = components(twins)  # an id with several texts may have several twins
         groups = nodes.groupBy("prefix_key").agg(F.min("node").alias("group"), F.count("*").alias("members"))
         groups = stage(nodes.select("node", "prefix_key").join(groups, "prefix_key").select("node", "group", "members"), "jaccard-groups")
         # all but the heads of groups: few, so that most sets are never shuffled
@@ -427,12 +427,27 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 4
     return rows.select(known(F.col("id")).alias(id), F.col("n").alias("n_shingles"), known(label).alias("component_id"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Of ``rows`` equal in key and tag one, with a number (``_number``) in the order of both."""
+    places = rows.select("_key", "_tag").distinct().orderBy("_key", "_tag").withColumn("_number", F.monotonically_increasing_id())
+    one = rows.dropDuplicates(["_key", "_tag"])
+    return stage(one.join(stage(places, "jaccard-numbers"), ["_key", "_tag"]), "jaccard-numbered")
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that have a near duplicate with a smaller id in their component."""
-    number = F.coalesce(F.col(id).cast("long"), F.lit(NONE))
-    work = _Join(docs.select(number.alias("id"), F.col(text).alias("text")), width, percent)
+    """The documents without those that have a near duplicate with a smaller id in their component.
+
+    Where rows share an id, one row of those equal in text too stays, and unlike texts are documents of their own, ordered by a
+    hash of the text.
+    """
+    key = F.coalesce(F.col(id).cast("long"), F.lit(NONE))
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"), F.xxhash64(text).alias("_tag"))
+    if rows.groupBy("_key").count().filter("count > 1").isEmpty():
+        rows = rows.withColumn("_number", F.col("_key"))
+    else:
+        rows = _numbered(rows)
+    work = _Join(rows.select(F.col("_number").alias("id"), F.col("_row")[text].alias("text")), width, percent)
     gone = stage(work.run().filter("id != component").select("id"), "jaccard-gone")
-    rows = docs.select(F.struct("*").alias("_row"), number.alias("_key"))
-    rows = sieve(rows, "_key", gone, "id")
-    kept = rows.filter(~F.col("_maybe")).unionByName(rows.filter("_maybe").join(gone, F.col("_key") == F.col("id"), "left_anti"))
+    rows = sieve(rows, "_number", gone, "id")
+    kept = rows.filter(~F.col("_maybe")).unionByName(rows.filter("_maybe").join(gone, F.col("_number") == F.col("id"), "left_anti"))
     return kept.select(*[F.col("_row")[x].alias(x) for x in docs.columns])

@@ -159,6 +159,18 @@ def test_jaccard(spark, docs, rows):
     assert kept == {i for i, _, c in brute.near(rows, 5, 80) if i == c}
 
 
+def test_jaccard_of_shared_ids(spark):
+    """Rows with one id are one document for links and give a row each; of rows alike one stays, and unlike ones stay all."""
+    rng = random.Random(9)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    near = f"{d} more"
+    frame = lambda *rows: spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.join(frame((3, a), (4, b), (5, a), (5, b), (6, c), (6, d), (7, near), (8, c), (9, "one two"))).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (4, 3), (5, 3), (5, 3), (6, 6), (6, 6), (7, 6), (8, 6), (9, 9)]
+    kept = jaccard.keep_one(frame((5, a), (5, b), (3, a), (6, c), (6, c), (6, None), (6, ""), (7, d), (8, near), (8, a), (None, b), (None, b), (None, ""), (9, "x"))).collect()
+    same(kept, [(3, a), (6, c), (6, None), (6, ""), (7, d), (None, b), (None, ""), (9, "x")])
+
+
 def test_jaccard_without_rounds_compares_all_blocks(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(jaccard, "ROUNDS", 0)
     monkeypatch.setattr(jaccard, "LIST_BLOCK", 3)
