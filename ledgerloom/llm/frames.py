@@ -117,10 +117,11 @@ class TokenFile:
         return b"".join(out)
 
 
-def write(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 1, docs_per_file: int = 8192, folder: str | None = None) -> DataFrame:
+def write(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 1, docs_per_file: int = 8192, folder: str | None = None, special_as_text: bool = True) -> DataFrame:
     """Write token files to the shared folder; returns the staged list of files, in order of ids.
 
-    File bounds are quantiles of the ids alone. Each file is written by one task, from a sorted range.
+    File bounds are quantiles of the ids alone. Each file is written by one task, from a sorted range. ``special_as_text`` is
+    explained in ``tokens``.
     """
     spark = docs.sparkSession
     shared.ship(spark)
@@ -148,7 +149,7 @@ def write(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "tex
 
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            coded = tokens.encoder(vocabulary).encode(batch.column("text").to_pylist())
+            coded = tokens.encoder(vocabulary, special_as_text).encode(batch.column("text").to_pylist())
             for file, doc, ids in zip(batch.column("file").to_pylist(), batch.column("id").to_pylist(), coded, strict=True):
                 if file != current:
                     if writer:

@@ -95,8 +95,9 @@ class Packer:
 def pack(
     docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 2, capacity: int = 4096,
     linear: float = 4096.0, quadratic: float = 1.0, block: int = 1 << 20, with_ids: bool = True,
+    special_as_text: bool = True,
 ) -> DataFrame:
-    """One row per piece: its document, place in it, place in a sequence, checksum and (``with_ids``) its ids."""
+    """One row per piece: its document, place in it, place in a sequence, checksum and (``with_ids``) its ids; ``special_as_text`` as in ``tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(capacity, linear, quadratic, TaskContext.get().partitionId() << 40)
@@ -116,7 +117,7 @@ def pack(
                 yield pa.RecordBatch.from_pydict(out, ARROW)
 
         for batch in batches:
-            coded = tokens.encoder(vocabulary).encode(batch.column("text").to_pylist())
+            coded = tokens.encoder(vocabulary, special_as_text).encode(batch.column("text").to_pylist())
             for key, ids in zip(batch.column("id").to_pylist(), coded, strict=True):
                 ids += end
                 n = len(ids) // 4

@@ -39,11 +39,11 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
-    return frames.read(frames.write(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+    return frames.read(frames.write(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), special_as_text=False))
 
 
 def packed(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False, special_as_text=False)
 
 
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,9 @@ A text is cut at spaces and line feeds, which the word vocabulary drops and neve
 between them passes the library's whole normaliser, splitter and merges. A piece met before is looked up, so
 the library works once per distinct piece while the table of pieces lasts. A table of ``limit`` pieces becomes the
 older one, of which only pieces met again are carried on: it saves work and never changes a result.
+
+Special tokens of the vocabulary that a text holds are one id each, as in the library, or with ``special_as_text`` text as any
+other. A piece that holds one, in whatever case, is given to the library as it is.
 """
 
 from __future__ import annotations
@@ -36,12 +39,16 @@ def _parts(piece: str) -> tuple[str, str]:
 class PieceEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 600_000, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        self._library.encode_special_tokens = special_as_text
+        added = [] if special_as_text else self._library.get_added_tokens_decoder().values()
+        self._special = [t.content.lower() for t in added if t.special]
+        if any(" " in t or "\n" in t for t in self._special):
+            raise ValueError("texts are cut at spaces and line feeds, which no special token may hold")
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         (self._mark,) = self._ids(MARK)
@@ -67,7 +74,7 @@ class PieceEncoder:
         for piece in new.intersection(older):
             known[piece] = older[piece]
         new = new.difference(known)
-        parts = {piece: _parts(piece) for piece in new}
+        parts = {piece: (piece, "") if self._holds_special(piece) else _parts(piece) for piece in new}
         cores = set()
         for core, tail in parts.values():
             cores.add(core)
@@ -81,6 +88,12 @@ class PieceEncoder:
         for piece in [p for p in new | cores if len(p) > LONG]:
             known.pop(piece, None)
 
+    def _holds_special(self, piece: str) -> bool:
+        if not self._special:
+            return False
+        low = piece.lower()
+        return any(t in low for t in self._special)
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode ``pieces``, many in one text with a mark between them, which is one id that no other word has."""
         plain = [p for p in pieces if MARK not in p]
@@ -97,11 +110,11 @@ class PieceEncoder:
         return self._library.encode(text, add_special_tokens=False).ids
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """One encoder for each vocabulary and Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, special_as_text: bool = True) -> PieceEncoder:
+    """One encoder for each vocabulary, way with special tokens and Python worker."""
+    if (path, special_as_text) not in _ENCODERS:
+        _ENCODERS[path, special_as_text] = PieceEncoder(path, special_as_text=special_as_text)
+    return _ENCODERS[path, special_as_text]

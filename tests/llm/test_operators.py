@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import zlib
 
 import numpy as np
 import pytest
@@ -13,7 +14,8 @@ import brute  # noqa: E402
 import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from ledgerloom.llm import bpe, chat, frames, jaccard, packing, pii, pivots, quality, repeats, shared, warc  # noqa: E402
+from ledgerloom.llm import bpe, chat, frames, jaccard, packing, pii, pivots, quality, repeats, shared, tokens, warc  # noqa: E402
+from ledgerloom.llm.queries import QUERIES  # noqa: E402
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SYLLABLES = "tion ing er an re the ou st ea ble ly ti ha wh or É ü ño 日本".split()
@@ -136,6 +138,23 @@ def test_token_file_reads_only_the_frames_of_a_document(spark, docs, rows):
         file.document(0)
 
 
+def test_special_tokens_as_in_the_library(spark, path):
+    """The queries' ids are those of the library, whose only setting is add_special_tokens=False."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORD_BPE)
+    texts = ["hi <|endoftext|> there", "a<|endoftext|>b,<|startoftext|>\n<|ENDOFTEXT|>x <|EndOfText|>", "<|endoftext|>\u0301 É<|endoftext|>, <|endoftext", "plain text."]
+    ids = [np.asarray(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert ids[0] == np.asarray([1883, 49407, 997], "<u4").tobytes()
+    assert list(tokens.PieceEncoder(WORD_BPE, special_as_text=False).encode(texts)) == ids
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{path}/documents.parquet")
+    of = lambda end: [zlib.crc32(x + np.asarray([end], "<u4").tobytes()) for x in ids]
+    assert [r[3] for r in sorted(QUERIES["op7_token_files"](spark, path).collect(), key=lambda r: r.start)] == of(1)
+    pieces = QUERIES["op8_packing"](spark, path).collect()
+    assert {r.doc_id: r.doc_tokens for r in pieces} == {k: len(x) // 4 + 1 for k, x in enumerate(ids)}
+    assert all(r.ids_crc32 == of(2)[r.doc_id] for r in pieces if r.length == r.doc_tokens)
+
+
 def test_packing(spark, docs, rows):
     pieces = [r.asDict() for r in packing.pack(docs.repartition(3), WORD_BPE, block=5000).collect()]
     assert brute.check_packing(pieces, rows, WORD_BPE) == 0
