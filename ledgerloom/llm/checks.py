@@ -49,7 +49,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+VECTOR_DUPLICATES = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+_ASSIGNED = """
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, arg_min(e, d * 64 + e) AS e, min(d) AS d
+  FROM (SELECT vec_id, p, e, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+        FROM parts JOIN book{k} USING (p)) GROUP BY vec_id, p)"""
+
+_MOVED = """
+mean{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, floor(sum(x[i]) / count(*))::BIGINT AS m
+    FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM near{k} JOIN parts USING (vec_id, p)) GROUP BY p, e, i) GROUP BY p, e),
+book{next} AS MATERIALIZED (SELECT p, e, coalesce(mean{k}.c, book{k}.c) AS c FROM book{k} LEFT JOIN mean{k} USING (p, e))"""
+
+VECTOR_CODES = (
+    """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS x FROM kept, range(16) AS r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, rank - 1 AS e, x AS c FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rank FROM kept) USING (vec_id) WHERE rank <= 64),"""
+    + ",".join(x.format(k=k, next=k + 1) for k, x in [(0, _ASSIGNED), (0, _MOVED), (1, _ASSIGNED), (1, _MOVED), (2, _ASSIGNED)])
+    + """,
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM near2 JOIN kept USING (vec_id) GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+)
+
 CHECKS = {
     "op4_quality_rules": QUALITY_RULES,
     "op5_chat_formatting": CHAT_FORMATTING,
+    "op11_vector_duplicates": VECTOR_DUPLICATES,
+    "op13_vector_codes": VECTOR_CODES,
 }

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, frames, jaccard, packing, pii, pivots, quality, repeats, warc
+from ledgerloom.llm import bpe, chat, codes, frames, jaccard, packing, pii, pivots, quality, repeats, runs, tiles, warc
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -83,6 +85,43 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vector_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return tiles.near_duplicates(_read(spark, folder, "embeddings"))
+
+
+def planted_period(id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document, those of every tenth one (by the checksum of its id) periodic from some word on."""
+    h = zlib.crc32(str(id).encode())
+    if id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find(_read(spark, folder, "documents"), rewrite=planted_period)
+    more = lambda a, b: b["length"] * a["period"] > a["length"] * b["period"]
+    best = F.aggregate("runs", F.col("runs")[0], lambda a, b: F.when(more(a, b), b).otherwise(a))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{x}").alias(x) for x in ("start", "length", "period")],
+        F.expr("(best.length * 1000) div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded = codes.fit(_read(spark, folder, "embeddings"))
+    return coded.with_label_error().select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     "op1_warc": warc_archives,
     "op2_top_k": top_k,
@@ -94,4 +133,7 @@ QUERIES = {
     "op8_packing": packed,
     "op9_personal_data": personal_data,
     "op10_repeats": repeated_passages,
+    "op11_vector_duplicates": vector_duplicates,
+    "op12_periodic_runs": periodic_runs,
+    "op13_vector_codes": vector_codes,
 }

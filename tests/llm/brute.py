@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 
@@ -182,5 +183,100 @@ def personal(text):
     return out
 
 
+def finite(vector):
+    return vector is not None and all(x is not None and np.isfinite(x) for x in vector)
+
+
+def near_vectors(rows, threshold=0.98):
+    """(vec_id, vector, label) -> (vec_id, n_links, component_id, kept)."""
+    good = [k for k, (_, v, label) in enumerate(rows) if label is not None and finite(v) and any(v)]
+    width = max([len(rows[k][1]) for k in good], default=0)
+    unit = {}
+    for k in good:
+        x = np.zeros(width)
+        x[: len(rows[k][1])] = rows[k][1]
+        unit[k] = x / abs(x).max() / np.linalg.norm(x / abs(x).max())
+    links = {k: [j for j in good if j != k and rows[j][2] == rows[k][2] and unit[k] @ unit[j] >= threshold] for k in good}
+    out, seen = {}, set()
+    for k, (i, _, _) in enumerate(rows):
+        if k in seen:
+            continue
+        reached, todo = {k}, [k]
+        while todo:
+            for j in links.get(todo.pop(), []):
+                if j not in reached:
+                    reached.add(j)
+                    todo.append(j)
+        seen |= reached
+        least = min((rows[j][0] for j in reached if rows[j][0] is not None), default=None)
+        for j in reached:
+            out[j] = (rows[j][0], len(links.get(j, [])), least, rows[j][0] == least)
+    return [out[k] for k in range(len(rows))]
+
+
+def vector_codes(rows, parts=16, entries=64, rounds=2, scale=256):
+    """(vec_id, vector, label) -> ((vec_id, code, error, label_error), codebooks)."""
+    kept = sorted(((i, list(v), label) for i, v, label in rows if finite(v)), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = max(1, -(-max([len(v) for _, v, _ in kept], default=0) // parts))
+    whole = [[int(np.floor(float(x) * scale)) for x in v] + [0] * (width * parts - len(v)) for _, v, _ in kept]
+    books = [[w[p * width : (p + 1) * width] for w in whole[:entries]] for p in range(parts)]
+
+    def nearest(p):
+        return [min((sum((a - b) ** 2 for a, b in zip(w[p * width : (p + 1) * width], c, strict=True)), e) for e, c in enumerate(books[p])) for w in whole]
+
+    for _ in range(rounds if kept else 0):
+        moved = []
+        for p in range(parts):
+            found = nearest(p)
+            book = []
+            for e, old in enumerate(books[p]):
+                own = [w[p * width : (p + 1) * width] for w, (_, x) in zip(whole, found, strict=True) if x == e]
+                book.append([sum(c) // len(own) for c in zip(*own, strict=True)] if own else old)
+            moved.append(book)
+        books = moved
+    found = [nearest(p) for p in range(parts)] if kept else []
+    out, labels = [], {}
+    for k, (i, _, label) in enumerate(kept):
+        error = sum(f[k][0] for f in found)
+        out.append([i, "".join(f"{f[k][1]:02x}" for f in found), error, label])
+        labels[label] = labels.get(label, 0) + error
+    return [(i, code, error, labels[label]) for i, code, error, label in out], books
+
+
+def word_runs(words, times=4, least=6):
+    """(start, length, period) by start, then period."""
+    n, out = len(words), set()
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            size = j + q - i
+            if size >= max(least, times * q) and not any(words[i : j + q - d] == words[i + d : j + q] for d in range(1, q)):
+                out.add((i, size, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic(rows):
+    """(doc_id, text) -> the digest row of op12."""
+    out = []
+    for i, t in rows:
+        w = words(t)
+        h, n = zlib.crc32(str(i).encode()), len(w)
+        if i is not None and h % 10 == 0 and n:
+            a = h // 10 % n
+            p = 1 + (n - a) // (3 + h // 10 % 8)
+            w = [w[k] if k < a else w[a + (k - a) % p] for k in range(n)]
+        runs = word_runs(w)
+        gone = {k for s, m, q in runs for k in range(s + q, s + m)}
+        best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if runs else (None,) * 3
+        lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        milli = 1000 * best[1] // best[2] if runs else None
+        out.append((i, len(runs), *best, milli, sha(lines), sha(" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return out
+
+
 def spans_text(spans, kinds=KINDS):
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (kinds.index(x[0]), x[1])))
