@@ -1,4 +1,4 @@
-"""Append-only Parquet tables with idempotent batches."""
+"""Parquet tables with a commit log: idempotent batches, several writers, numbers for new rows."""
 
 from __future__ import annotations
 
@@ -6,68 +6,149 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerloom.operators.dedup import arrival, first_per_key, without_stored
+from ledgerloom.operators.commits import CommitLog
+from ledgerloom.operators.dedup import arrival, first_per_key
+from ledgerloom.operators.keyindex import lookup, read_index, write_index
+from ledgerloom.operators.numbering import dense_numbers
 from ledgerloom.session import remove, stage
 
+INDEXES = 16  # folders of the key index before they are merged into one
+BATCH = T.StructField("batch_id", T.StringType())
+
 
 class BatchStore:
     """A table whose rows are unique on ``keys``.
 
-    Every batch is written to its own ``batch_id=`` folder in overwrite mode, so
-    repeating a batch after a failure replaces its own rows and nothing else.
-    One writer at a time: plain Parquet has no transactions.
+    A batch is written to a folder of its own and becomes part of the table by a commit that lists the folder. A batch that
+    failed is listed nowhere; one that was committed is not written again, so repeating it adds nothing. Writers that commit at
+    the same time are put in order: the one that comes second compares its keys again, with what the first one added.
+    Readers keep the folders of the version they started with.
+
+    With ``id`` the table numbers its rows in that column: 1, 2, ... in the order rows arrive, never used twice.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str]):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], id: str | None = None):
         self.spark = spark
         self.path = path
         self.keys = keys
+        self.id = id
         self.columns = schema.fieldNames()
-        self.schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
-        # An empty batch makes the table readable before the first insert.
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=init")
+        numbered = [T.StructField(id, T.LongType())] if id else []
+        self.schema = T.StructType(numbered + schema.fields + [BATCH])
+        self._index = T.StructType(numbered + [schema[k] for k in keys])
+        self._log = CommitLog(spark, f"{path}/_commits")
+
+    def versions(self) -> list[int]:
+        return self._log.versions()
+
+    def batches(self) -> dict[str, int]:
+        """The batches the table is made of, and their rows."""
+        return {b["name"]: b["rows"] for b in self._log.read()[1]["batches"]}
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The newest version, or an older one that is still known."""
+        state = self._log.read(version)[1]
+        folders = [f"{self.path}/data/{b['folder']}" for b in state["batches"] if b["rows"]]
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+    def known(self, rows: DataFrame) -> DataFrame:
+        """Stored keys (and ids) among the keys of ``rows``; reads the buckets of the key index that may hold one."""
+        batch = stage(rows.select(*self.keys).distinct(), "known-keys")
+        return self._lookup(batch, self._log.read()[1])
+
+    def _lookup(self, batch: DataFrame, state: dict) -> DataFrame:
+        return lookup(batch, self.keys, self._index, f"{self.path}/index", state.get("index", []))
+
+    def _write(self, rows: DataFrame, batch_id: str, state: dict, order: str | None) -> dict:
+        """Write a batch and its index; returns its entry in the commit."""
+        folder = uuid.uuid4().hex
+        if self.id:
+            rows = dense_numbers(rows, self.id, *([order] if order else self.keys), first=state["next_id"])
+        named = rows.select(*([self.id] if self.id else []), *self.columns, F.lit(batch_id).alias("batch_id"))
+        named.write.parquet(f"{self.path}/data/{folder}")
+        # counted from the file footers of what was really written
+        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{folder}")
+        count = written.count()
+        index = write_index(written.select(self._index.fieldNames()), self.keys, count, f"{self.path}/index", folder) if count else None
+        return {"name": batch_id, "folder": folder, "rows": count, "index": index}
+
+    def _commit(self, version: int, state: dict, batches: list[dict], index: list[dict], added: int) -> bool:
+        if len(index) > INDEXES:
+            merged = read_index(self.spark, self._index, f"{self.path}/index", index)
+            index = [write_index(merged, self.keys, sum(e["rows"] for e in index), f"{self.path}/index", uuid.uuid4().hex)]
+        content = {"batches": batches, "index": index, "next_id": state["next_id"] + added}
+        return self._log.commit(version + 1, content)
 
     def insert(self, rows: DataFrame, batch_id: str, seq: str | None = None, dry_run: bool = False) -> int:
         """Insert the rows whose key is new and return how many there were.
 
-        Of rows with the same key the one that arrived first (``seq``, rows without
-        one last, then a hash of the row) is the one that counts. The input is
-        evaluated once, when it is written with a number for each row; only keys are
-        grouped and compared with the stored ones, and the numbers of the winners,
-        unique by construction, pick their rows.
+        Of rows with the same key the one that arrived first (``seq``, rows without one last, then a hash of the row) is the one
+        that counts. The input is evaluated once, when it is written with a number for each row; only keys are grouped and looked
+        up in the key index, and the numbers of the winners, unique by construction, pick their rows.
         """
-        stored = self.read().filter(F.col("batch_id") != batch_id)
+        done = self.batches().get(batch_id)
+        if done is not None and not dry_run:
+            return done
         names = list(dict.fromkeys([*self.columns, *([seq] if seq else [])]))
         rows = stage(rows.select(*names).withColumn("_row", F.monotonically_increasing_id()), "insert")
         order = F.struct(arrival(names, seq).alias("arrival"), F.col("_row"))
         first = rows.groupBy(*self.keys).agg(F.min(order).alias("_first")).select(*self.keys, "_first._row")
-        winners = without_stored(stage(first, "insert-keys"), stored, self.keys).select("_row")
-        fresh = rows.join(winners, "_row", "left_semi").select(*self.columns)
-        if dry_run:
-            return fresh.count()
-        batch = f"{self.path}/batch_id={batch_id}"
-        fresh.write.mode("overwrite").parquet(batch)
-        # Counted from the file footers of what was really written.
-        return self.spark.read.schema(fresh.schema).parquet(batch).count()
+        first = stage(first, "insert-keys")
+        while True:
+            version, state = self._log.read()
+            done = {b["name"]: b["rows"] for b in state["batches"]}.get(batch_id)
+            if done is not None and not dry_run:
+                return done  # another writer of the same batch
+            winners = first.join(self._lookup(first, state), self.keys, "left_anti").select("_row")
+            fresh = rows.join(winners, "_row", "left_semi")
+            if dry_run:
+                return fresh.count()
+            entry = self._write(fresh, batch_id, state, "_row")
+            index = state.get("index", []) + ([entry.pop("index")] if entry["rows"] else [])
+            entry.pop("index", None)
+            if self._commit(version, state, [*state["batches"], entry], index, entry["rows"]):
+                return entry["rows"]
+            self._drop(entry["folder"])
 
     def truncate_and_load(self, rows: DataFrame, batch_id: str) -> None:
         """Replace the whole content; of rows with the same key the first counts.
 
-        The new batch is complete before the old ones go, so a load that fails
-        leaves the old content as it was.
+        The new batch is complete before it is listed, so a load that fails leaves the old content as it was, and a reader sees
+        the old content or the new. Old folders stay for readers until ``vacuum``.
         """
-        old = [b["batch_id"] for b in self.read().select("batch_id").distinct().collect()]
-        name = f"{batch_id}-{uuid.uuid4().hex}" if batch_id in old else batch_id
-        first_per_key(rows.select(*self.columns), self.keys, None).write.mode("overwrite").parquet(f"{self.path}/batch_id={name}")
-        for other in old:
-            remove(self.spark, f"{self.path}/batch_id={other}")
+        rows = stage(first_per_key(rows.select(*self.columns), self.keys, None), "load")
+        while True:
+            version, state = self._log.read()
+            entry = self._write(rows, batch_id, state, None)
+            index = entry.pop("index")
+            if self._commit(version, state, [entry], [index] if index else [], entry["rows"]):
+                return
+            self._drop(entry["folder"])
+
+    def _drop(self, folder: str) -> None:
+        remove(self.spark, f"{self.path}/data/{folder}")
+        remove(self.spark, f"{self.path}/index/{folder}")
+
+    def vacuum(self, hours: float = 24.0) -> int:
+        """Delete folders that no known version lists and that are older than any job still running; returns how many."""
+        used = set()
+        for version in self.versions():
+            state = self._log.read(version)[1]
+            used |= {b["folder"] for b in state["batches"]} | {e["folder"] for e in state.get("index", [])}
+        gone = 0
+        for part in ("data", "index"):
+            top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+            files = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            now = self.spark._jvm.System.currentTimeMillis()
+            for status in files.listStatus(top) if files.exists(top) else []:
+                if status.getPath().getName() not in used and now - status.getModificationTime() >= hours * 3_600_000:
+                    files.delete(status.getPath(), True)
+                    gone += 1
+        return gone
 
     def seed_if_empty(self, rows: DataFrame) -> bool:
         """Write ``rows`` only when the table holds none."""
-        if not self.read().isEmpty():
+        if any(self.batches().values()):
             return False
         self.truncate_and_load(rows, "seed")
         return True

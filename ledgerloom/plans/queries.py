@@ -120,8 +120,8 @@ def stream_ingest(t: Tables) -> DataFrame:
             rows.write.mode("append").parquet(landing)
             run_stream(t.spark, landing, warehouse, checkpoint)
     run_stream(t.spark, landing, warehouse, fresh_dir(t.spark, "offsets"))
-    stored = warehouse.articles.read().filter("url IS NOT NULL").select("url", "batch_id")
-    linked = stored.join(warehouse.links.read().select("url", "ticker"), "url")
+    stored = warehouse.articles.read().select("id", "url", "batch_id")
+    linked = stored.join(warehouse.links.read().select(F.col("article_id").alias("id"), "ticker"), "id")
     streams = stored.select(F.regexp_extract("batch_id", "^stream-(.+)-[0-9]+$", 1).alias("s")).distinct()
     only = streams.agg(F.when(F.count(F.lit(1)) == 1, "first").otherwise("several")).scalar()
     batch = F.regexp_extract("batch_id", "-([0-9]+)$", 1).alias("batch")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import Future
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators.news import resolve_links
@@ -13,37 +13,34 @@ from ledgerloom.operators.store import BatchStore
 from ledgerloom.session import stage
 from ledgerloom.sources.articles import quarantine
 
-_STORED_ARTICLE = T.StructType(
-    [f for f in schemas.ARTICLE_ROW.fields if f.name != "mentioned_tickers"]
-)
-_STORED_LINK = T.StructType([T.StructField("url", T.StringType()), T.StructField("ticker", T.StringType())])
-
-
 @dataclass
 class NewsWarehouse:
-    """The article, link and quarantine tables under one folder."""
+    """The article, link and quarantine tables under one folder.
+
+    Articles are numbered by the table (``id``) and stamped with the time they came (``fetched_at``); a link is an article's
+    number and a ticker.
+    """
 
     spark: SparkSession
     path: str
 
     def __post_init__(self) -> None:
-        self.articles = BatchStore(self.spark, f"{self.path}/articles", _STORED_ARTICLE, ["url"])
-        self.links = BatchStore(self.spark, f"{self.path}/links", _STORED_LINK, ["url", "ticker"])
+        self.articles = BatchStore(self.spark, f"{self.path}/articles", schemas.ARTICLES.schema, ["url"], id="id")
+        self.links = BatchStore(self.spark, f"{self.path}/links", schemas.ARTICLE_TICKERS.schema, ["article_id", "ticker"])
 
     def ingest(self, rows: DataFrame, batch_id: str) -> int:
         """Store the new articles and links of one batch.
 
-        Links are keyed by url, which stands for the article. Repeating a batch
-        id replaces that batch, so a replay after a failure adds nothing. The batch
-        is written once and read for each table.
+        A repeated batch id adds nothing, whichever table a failure came before. The batch is written once and read for each
+        table; numbers of articles that were stored before are looked up by the batch's own urls.
         """
         rows = stage(rows, "batch")
         good, bad = quarantine(rows)
         bad.write.mode("overwrite").parquet(f"{self.path}/quarantine/batch_id={batch_id}")
-        inserted = self.articles.insert(good, batch_id, seq="seq")
-        stored = self.articles.read().select("url", F.col("url").alias("id"))
-        pairs = resolve_links(good, stored).withColumnRenamed("article_id", "url")
-        self.links.insert(pairs, batch_id)
+        stamped = good.withColumn("fetched_at", F.current_timestamp().cast("timestamp_ntz"))
+        inserted = self.articles.insert(stamped, batch_id, seq="seq")
+        linked = good.filter(F.size("mentioned_tickers") > 0)
+        self.links.insert(resolve_links(linked, self.articles.known(linked)), batch_id)
         return inserted
 
 

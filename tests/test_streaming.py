@@ -28,7 +28,7 @@ MORE = [("u1", ["D"], False), ("u4", ["A", "E"], False), ("", ["Z"], False)]
 def state(w):
     return (
         {(r["url"], r["title"]) for r in w.articles.read().collect()},
-        {(r["url"], r["ticker"]) for r in w.links.read().collect()},
+        {(r["url"], r["ticker"]) for r in w.links.read().join(w.articles.read(), F.col("article_id") == F.col("id")).collect()},
     )
 
 

@@ -1,12 +1,15 @@
 """Stores, companies, links, integrity, joins."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.operators import companies, integrity, joins, news
+from ledgerloom.operators import commits, companies, integrity, joins, keyindex, news, store as store_module
 from ledgerloom.operators.dedup import first_per_key
+from ledgerloom.operators.numbering import dense_numbers
 from ledgerloom.operators.store import BatchStore
 from ledgerloom.plans.views import seed_exchanges
 from ledgerloom.schemas import LONG, STRING, _struct
@@ -154,3 +157,73 @@ def test_salted_join_is_the_plain_join(spark, how):
     small = joins.lookup_join(left, right, "k", "id", how, max_rows=5)
     assert small.count() == plain.count()
     assert "BroadcastHashJoin" in joins.lookup_join(left, right, "k", "id", how)._jdf.queryExecution().toString()
+
+
+def test_two_writers_lose_and_repeat_nothing(spark, path):
+    """The second of two writers that started from one version compares again, and ids stay unique."""
+    rows = [kv(spark, [(f"k{i}", str(w)) for i in range(w * 5, w * 5 + 10)]) for w in range(4)]
+    BatchStore(spark, path, KV, ["k"], id="id")
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda w: BatchStore(spark, path, KV, ["k"], id="id").insert(rows[w], f"w{w}", seq="seq"), range(4)))
+    stored = BatchStore(spark, path, KV, ["k"], id="id").read().collect()
+    assert sum(counts) == 25 and {r["k"] for r in stored} == {f"k{i}" for i in range(25)} and len(stored) == 25
+    assert sorted(r["id"] for r in stored) == list(range(1, 26))
+
+
+def test_a_lost_race_is_run_again(spark, path):
+    """Another writer commits between this one's comparison and its commit."""
+    store, other = (BatchStore(spark, path, KV, ["k"], id="id") for _ in range(2))
+    commit = store._commit
+
+    def late(*args):
+        other.insert(kv(spark, [("a", "other")]), "other") if not other.batches() else None
+        return commit(*args)
+
+    store._commit = late
+    assert store.insert(kv(spark, [("a", "mine"), ("b", "mine")]), "mine", seq="seq") == 1
+    assert {(r["id"], r["k"], r["v"]) for r in store.read().collect()} == {(1, "a", "other"), (2, "b", "mine")}
+
+
+def test_a_reader_keeps_its_version(spark, path):
+    store = BatchStore(spark, path, KV, ["k"])
+    store.insert(kv(spark, [("a", "x")]), "0")
+    before, version = store.read(), max(store.versions())
+    store.truncate_and_load(kv(spark, [("b", "y")]), "1")
+    assert [r["k"] for r in before.collect()] == ["a"] and [r["k"] for r in store.read().collect()] == ["b"]
+    assert [r["k"] for r in store.read(version).collect()] == ["a"]
+    assert store.vacuum(0) == 0  # all versions are still known
+    commits.KEPT, kept = 1, commits.KEPT
+    try:
+        store.insert(kv(spark, [("c", "z")]), "2")
+    finally:
+        commits.KEPT = kept
+    assert store.vacuum(0) == 2 and sorted(r["k"] for r in store.read().collect()) == ["b", "c"]
+
+
+def test_indexes_are_merged(spark, path, monkeypatch):
+    monkeypatch.setattr(store_module, "INDEXES", 2)
+    store = BatchStore(spark, path, KV, ["k"], id="id")
+    for n in range(4):
+        assert store.insert(kv(spark, [(f"a{n}", ""), (f"b{n}", ""), ("a0", "")]), str(n), seq="seq") == 2
+    assert len(store._log.read()[1]["index"]) <= 2
+    assert {r["k"]: r["id"] for r in store.known(kv(spark, [("a0", ""), ("b3", ""), ("zz", "")])).collect()} == {"a0": 1, "b3": 8}
+
+
+def test_a_small_batch_opens_few_buckets(spark, path, monkeypatch):
+    """The share of the index that is opened grows with the batch, not with the table."""
+    monkeypatch.setattr(keyindex, "BUCKET_ROWS", 100)
+    store = BatchStore(spark, path, _struct(k=STRING), ["k"])
+    store.insert(spark.range(10_000).select(F.concat(F.lit("k"), "id").alias("k")), "0")
+    (entry,) = store._log.read()[1]["index"]
+    assert entry["buckets"] == 100
+    opened = lambda low, high: keyindex.opened(spark.range(low, high).select(F.concat(F.lit("k"), "id").alias("k")), ["k"], f"{path}/index", [entry])
+    assert len(opened(20_000, 20_050)) <= 5  # new keys
+    assert 1 <= len(opened(0, 3)) <= 3
+    assert 60 <= len(opened(0, 500)) <= 100
+
+
+def test_dense_numbers(spark):
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
+    got = dense_numbers(rows, "n", "x", first=5).collect()
+    assert sorted((r["x"], r["n"]) for r in got) == [(k, k + 5) for k in range(1000)]
+    assert dense_numbers(rows.limit(0), "n", "x").collect() == []
