@@ -5,11 +5,13 @@ two sets that are similar enough share a shingle of their prefixes. How common a
 the whole corpus, of fixed size; any order all sets share gives the same links.
 
 1. Documents with equal sets collapse into one node, and nodes with equal prefix and size into one group. Groups are listed under
-   each shingle of their prefix; shingles with one member in all are dropped.
-2. Lists are expanded to the members. In each of ``ROUNDS`` rounds one member of a list is paired with the members of other
-   components, the pairs are verified, and components are joined. A list whose members are in one component is done. So a large
-   group of copies costs a pair a member and round, not all its pairs.
-3. What is left is compared block by block, members of one component left out; a block pair emits only pairs that pass the filters.
+   each shingle of their prefix; shingles with one group in all are dropped, and lists of the same groups become one.
+2. Pairs of groups are filtered by size and place, then expanded to members and verified. In each of ``ROUNDS`` rounds a list pairs
+   one of its groups with its others, and one member of each group stands for it: a large group of copies costs a few pairs a
+   member and round. Components are joined after each round; a list whose documents are in one component is done.
+3. What is left is compared block by block: pairs of groups again, filtered, expanded, and members of one component left out. A
+   pair of blocks with few pairs of members that pass emits them to be verified; one with more than it has members is named, gets
+   the whole sets of its members, verifies in place and returns a spanning forest. So no output grows with the square of a group.
 
 Filters (all exact): sizes, places of a shared shingle in both orders, and upper bounds on the intersection by parity bitmaps.
 Pairs that pass are verified on the whole sets, recomputed from the texts.
@@ -32,12 +34,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import ship
 from ledgerloom.llm.sieve import sieve
+from ledgerloom.llm.vectors import attach
 from ledgerloom.session import stage
 
 ROUNDS = 2
 CELLS = 22  # 2^CELLS counters
 BLOCK = 1 << 14  # counters merged together
-LIST_BLOCK = 512
+LIST_BLOCK = 512  # members of a block
+MASS = 1 << 18  # shingles of a piece of a block whose members are verified where they meet
 LANES = 16
 NONE = -(1 << 63)  # the number of documents without one
 
@@ -325,44 +329,75 @@ class _Join:
     def run(self) -> DataFrame:
         """(id, component) for every document that is linked to one with a smaller id, or has such a twin."""
         small = self.signed.filter("n > 0").select("id", "n", "set_key", "prefix_key")
-        nodes = small.groupBy("set_key").agg(F.min("id").alias("node"), F.first("prefix_key").alias("prefix_key"))
-        twins = small.join(nodes.select("set_key", "node"), "set_key").filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
+        nodes = small.groupBy("set_key").agg(F.min("id").alias("node"), F.first("prefix_key").alias("prefix_key"), F.count("*").alias("copies"))
+        nodes = stage(nodes, "jaccard-nodes")
+        several = nodes.filter("copies > 1").select("set_key", "node", "copies")
+        twins = attach(small.select("id", "set_key"), several, ["set_key"], "copies").filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
         self.labels = components(twins)  # an id with several texts may have several twins
-        groups = nodes.groupBy("prefix_key").agg(F.min("node").alias("group"), F.count("*").alias("members"))
-        groups = stage(nodes.select("node", "prefix_key").join(groups, "prefix_key").select("node", "group", "members"), "jaccard-groups")
-        # all but the heads of groups: few, so that most sets are never shuffled
-        rest = stage(small.select("id").join(groups.filter("node = group").select(F.col("node").alias("id")), "id", "left_anti"), "jaccard-rest")
-        listed = sieve(self.signed.filter("n > 0").select("id", "n", "prefix"), "id", rest, "id")
-        heads = listed.filter(~F.col("_maybe")).unionByName(listed.filter("_maybe").join(rest, "id", "left_anti").select(listed.columns))
-        dealt = heads.select("id", "n", "prefix").mapInArrow(_dealer(self.parts), "bucket int, count int, blob binary")
-        dealt = dealt.repartition(self.parts, "bucket").sortWithinPartitions("bucket")
-        lists = stage(dealt.mapInArrow(_shared, "token long, group long, n long, place long"), "jaccard-shared")
-        member = groups.filter("members > 1")
-        sizes = sieve(self.signed.select("id", "n"), "id", member, "node").filter("_maybe").select(F.col("id").alias("node"), "n").distinct()
-        # the members of a group share their whole prefix: one list under a number of the group
-        inside = member.join(sizes, "node").select(F.xxhash64(F.lit("group"), "group").alias("token"), "node", "n", F.lit(0).cast("long").alias("place"))
-        across = lists.join(groups.select("group", "node"), "group").select("token", "node", "n", "place")
-        self.lists = stage(across.unionByName(inside), "jaccard-lists")
+        groups = stage(nodes.groupBy("prefix_key").agg(F.min("node").alias("group"), F.count("*").alias("members")), "jaccard-prefixes")
+        self.groups = stage(attach(nodes.select("node", "prefix_key"), groups, ["prefix_key"], "members").select("node", "group", "members"), "jaccard-groups")
+        self.lists = stage(self._merged(self._listed(small)), "jaccard-lists")
         tried = None
         for turn in range(ROUNDS):
-            now = self._active()
-            first = now.groupBy("token").agg(F.min(F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), "component", "node", "n", "place")).alias("first"))
-            named = first.select("token", *[F.col(f"first.{x}").alias(f"{x}0") for x in ("component", "node", "n", "place")])
-            pairs = now.join(named, "token").filter("component != component0").filter(self._sized("n", "n0")).filter(self._placed("n", "place", "n0", "place0"))
-            pairs = pairs.select(F.least("node", "node0").alias("a"), F.greatest("node", "node0").alias("b")).distinct()
+            now = self._open()
+            first = now.groupBy("token").agg(F.min(F.struct(F.xxhash64("low", F.lit(turn)).alias("h"), "group", "n", "place", "low", "high")).alias("first"))
+            named = first.select("token", *[F.col(f"first.{x}").alias(f"{x}0") for x in ("group", "n", "place", "low", "high")])
+            apart = (F.col("low") != F.col("low0")) | (F.col("low") != F.col("high")) | (F.col("low0") != F.col("high0"))
+            pairs = now.join(named, "token").filter(apart).filter(self._sized("n", "n0")).filter(self._placed("n", "place", "n0", "place0"))
+            pairs = pairs.select(F.col("group0").alias("g"), F.col("group").alias("h")).distinct()
             if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = stage(pairs, "jaccard-tried")
+                pairs = pairs.join(tried, ["g", "h"], "left_anti")
+            pairs = stage(pairs, "jaccard-group-pairs")
             if pairs.isEmpty():
                 break
             tried = pairs if tried is None else tried.unionByName(pairs)
-            self._link(self.links(pairs))
-        rest = self._blocks(self._active())
-        if tried is not None:
-            rest = rest.join(tried, ["a", "b"], "left_anti")
-        self._link(self.links(stage(rest, "jaccard-rest")))
+            self._link(self.links(stage(self._expanded(pairs, turn), "jaccard-expanded")))
+        pairs, dense, blocks = self._blocks(self._open())
+        self._link(self.links(pairs).unionByName(self._dense(dense, blocks)))
         return self.labels
 
+    def _listed(self, small: DataFrame) -> DataFrame:
+        """Groups (token, group, n, place) under the shingles of their prefix that another group has too, and large groups under their own number."""
+        # all but the heads of groups: few, so that most sets are never shuffled
+        rest = stage(small.select("id").join(self.groups.filter("node = group").select(F.col("node").alias("id")), "id", "left_anti"), "jaccard-rest")
+        listed = sieve(self.signed.filter("n > 0").select("id", "n", "prefix"), "id", rest, "id")
+        heads = listed.filter(~F.col("_maybe")).unionByName(listed.filter("_maybe").join(rest, "id", "left_anti").select(listed.columns))
+        dealt = heads.select("id", "n", "prefix").mapInArrow(_dealer(self.parts), "bucket int, count int, blob binary")
+        dealt = dealt.repartition(self.parts, "bucket").sortWithinPartitions("bucket")
+        lists = dealt.mapInArrow(_shared, "token long, group long, n long, place long")
+        many = self.groups.filter("members > 1").select("group").distinct()
+        sizes = sieve(self.signed.select("id", "n"), "id", many, "group").filter("_maybe").select(F.col("id").alias("group"), "n").distinct()
+        inside = many.join(sizes, "group").select(F.xxhash64(F.lit("group"), "group").alias("token"), "group", "n", F.lit(0).cast("long").alias("place"))
+        return stage(lists.unionByName(inside), "jaccard-shared")
+
+    def _merged(self, lists: DataFrame) -> DataFrame:
+        """Lists of the same groups as one; a group's place is its first one, so the filter by places lets no fewer pairs pass."""
+        marks = [F.bit_xor(F.xxhash64("group", F.lit(k))).alias(f"mark{k}") for k in (0, 1)]
+        same = lists.groupBy("token").agg(F.count("*").alias("size"), *marks)
+        leaders = same.groupBy("size", "mark0", "mark1").agg(F.min("token").alias("leader"), F.count("*").alias("lists"))
+        leaders = stage(same.join(leaders.filter("lists > 1"), ["size", "mark0", "mark1"]).select("token", "leader"), "jaccard-leaders")
+        token = F.coalesce("leader", "token").alias("token")
+        return lists.join(leaders, "token", "left").groupBy(token, "group", "n").agg(F.min("place").alias("place"))
+
+    def _open(self) -> DataFrame:
+        """Lists whose documents are in several components; each group with the least and the greatest component of its members."""
+        labels = self.labels.select(F.col("id").alias("node"), F.col("component").alias("_c"))
+        own = self.groups.join(labels, "node", "left").withColumn("_c", F.coalesce("_c", "node"))
+        state = stage(own.groupBy("group").agg(F.min("_c").alias("low"), F.max("_c").alias("high"), F.count("*").alias("members")), "jaccard-state")
+        now = stage(self.lists.join(state, "group"), "jaccard-active")
+        open_ = now.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.sum("members").alias("size")).filter("least != most")
+        return stage(now.join(open_.select("token", "size"), "token"), "jaccard-open")
+
+    def _expanded(self, pairs: DataFrame, turn: int) -> DataFrame:
+        """Pairs of groups (g, h) as pairs of members: one member of each with all of the other."""
+        members = self.groups.select("group", "node")
+        one = self.groups.groupBy("group").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("one"))
+        out = []
+        for g, h in (("g", "h"), ("h", "g")):
+            named = pairs.join(one.withColumnRenamed("group", g), g).join(members.withColumnRenamed("group", h), h)
+            out.append(named.filter("one != node").select(F.least("one", "node").alias("a"), F.greatest("one", "node").alias("b")))
+        return out[0].unionByName(out[1]).distinct()
+
     def _link(self, links: DataFrame) -> None:
         """Join the components that ``links`` connect."""
         one = self.labels.select(F.col("id").alias("a"), F.col("component").alias("la"))
@@ -373,44 +408,145 @@ class _Join:
         old = self.labels.join(moved, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
         self.labels = stage(old.unionByName(joined), "jaccard-labels")
 
-    def _active(self) -> DataFrame:
-        """Lists whose members are in several components, with the members' components."""
+    def _blocks(self, now: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What is left, block against block: pairs of members that pass the filters; pairs of blocks (token, x, y) with more of them than members; the blocks."""
         labels = self.labels.select(F.col("id").alias("node"), F.col("component").alias("_c"))
-        now = stage(self.lists.join(labels, "node", "left").select("token", "node", "n", "place", F.coalesce("_c", "node").alias("component")), "jaccard-active")
-        open_ = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low != high")
-        return stage(now.join(open_.select("token", "size"), "token"), "jaccard-open")
-
-    def _blocks(self, now: DataFrame) -> DataFrame:
-        """Pairs of members of different components that pass the filters, found block against block."""
-        spot = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / LIST_BLOCK)).cast("int")
-        member = F.struct("node", "n", "place", "component", "small")
-        maps = self.signed.select(F.col("id").alias("node"), "small")
-        blocks = stage(now.join(maps, "node").withColumn("block", spot).groupBy("token", "block").agg(F.collect_list(member).alias("members")), "jaccard-blocks")
-        one = blocks.select("token", F.col("block").alias("x"), F.col("members").alias("left"))
-        two = blocks.select("token", F.col("block").alias("y"), F.col("members").alias("right"))
-        both = one.join(two, "token").filter("x <= y").select("left", "right")
-        return both.mapInArrow(_block_pairs(self.percent), "a long, b long").distinct()
+        wanted = self.groups.join(now.select("group").distinct(), "group", "left_semi")
+        maps = self.signed.select(F.col("id").alias("node"), "small")  # of an id with several texts all
+        own = wanted.join(labels, "node", "left").join(maps, "node").withColumn("component", F.coalesce("_c", "node"))
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / LIST_BLOCK)).cast("int")
+        parts = own.groupBy("group", part.alias("part")).agg(F.collect_list(F.struct("node", "component", "small")).alias("members"))
+        entries = now.select("token", "group", "n", "place", "size").join(stage(parts, "jaccard-parts"), "group")
+        spot = F.pmod(F.xxhash64("group", "part"), F.ceil(F.col("size") / LIST_BLOCK)).cast("int")
+        entry = F.struct("n", "place", "members")
+        blocks = stage(entries.groupBy("token", spot.alias("block")).agg(F.collect_list(entry).alias("entries")), "jaccard-blocks")
+        one = blocks.select("token", F.col("block").alias("x"), F.col("entries").alias("left"))
+        two = blocks.select("token", F.col("block").alias("y"), F.col("entries").alias("right"))
+        both = one.join(two, "token").filter("x <= y")
+        found = stage(both.mapInArrow(_block_pairs(self.percent), "a long, b long, token long, x int, y int"), "jaccard-found")
+        return stage(found.filter("a is not null").select("a", "b").distinct(), "jaccard-left"), found.filter("a is null").select("token", "x", "y"), blocks
+
+    def _dense(self, dense: DataFrame, blocks: DataFrame) -> DataFrame:
+        """Links inside pairs of blocks that have many: verified on whole sets where the blocks meet, and returned as a spanning forest."""
+        dense = stage(dense, "jaccard-dense")
+        if dense.isEmpty():
+            return self.texts.sparkSession.createDataFrame([], "a long, b long")
+        ends = dense.select("token", F.col("x").alias("block")).unionByName(dense.select("token", F.col("y").alias("block"))).distinct()
+        entries = blocks.join(ends, ["token", "block"]).select("token", "block", F.explode("entries").alias("e"))
+        members = stage(entries.select("token", "block", "e.n", "e.place", F.explode("e.members").alias("m")).select("token", "block", "n", "place", "m.node", "m.component"), "jaccard-members")
+        nodes = members.select("node").distinct()
+        some = sieve(self.texts, "id", nodes, "node").filter("_maybe").select("id", "text").join(nodes, F.col("id") == F.col("node"), "left_semi")
+        sets = stage(some.mapInArrow(_sets(self.width), "node long, shingles binary"), "jaccard-sets")
+        mass = members.groupBy("token", "block").agg(F.ceil(F.sum("n") / MASS).cast("int").alias("pieces"))
+        placed = members.join(mass, ["token", "block"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+        member = F.struct("n", "place", "node", "component", "shingles")
+        pieces = stage(placed.join(sets, "node").groupBy("token", "block", "piece").agg(F.collect_list(member).alias("members")), "jaccard-pieces")
+        one = pieces.select("token", F.col("block").alias("x"), F.col("piece").alias("p"), F.col("members").alias("left"))
+        two = pieces.select("token", F.col("block").alias("y"), F.col("piece").alias("q"), F.col("members").alias("right"))
+        both = dense.join(one, ["token", "x"]).join(two, ["token", "y"]).filter("x < y OR p <= q").select("left", "right")
+        spread = both.repartition(max(self.parts, dense.count()))
+        return stage(spread.mapInArrow(_dense_links(self.percent), "a long, b long"), "jaccard-dense-links")
+
+
+def _passing(n1, p1, c1, map1, n2, p2, c2, map2, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs that sizes, places of the shared shingle, components and bitmaps allow."""
+    need = _enough(n1[:, None], n2[None, :], percent)
+    good = (c1[:, None] != c2[None, :]) & (np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent)
+    good &= (n1 - p1)[:, None] >= need
+    good &= (n2 - p2)[None, :] >= need
+    i, j = np.nonzero(good)
+    apart = np.bitwise_count(map1[i] ^ map2[j]).sum(1)
+    keep = (n1[i] + n2[j] - apart) // 2 >= need[i, j]
+    return i[keep], j[keep]
 
 
 def _block_pairs(percent: int):
+    """Groups of one block against those of another: filtered as groups by size and place, then expanded to members and filtered by bitmaps."""
+
+    def side(entries) -> tuple:
+        n, place = entries.field("n").to_numpy(), entries.field("place").to_numpy()
+        members = entries.field("members")
+        sizes = np.diff(np.asarray(members.offsets))
+        v = members.flatten()
+        words = np.frombuffer(b"".join(v.field("small").to_pylist()), np.uint64).reshape(len(v), SMALL // 64)
+        starts = np.cumsum(sizes) - sizes
+        return n, place, sizes, starts, v.field("node").to_numpy(), v.field("component").to_numpy(), words
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                sides = []
-                for name in ("left", "right"):
-                    v = batch.column(name)[k].values
-                    words = np.frombuffer(b"".join(v.field("small").to_pylist()), np.uint64).reshape(len(v), SMALL // 64)
-                    sides.append([v.field(x).to_numpy() for x in ("node", "n", "place", "component")] + [words])
-                (node1, n1, p1, c1, map1), (node2, n2, p2, c2, map2) = sides
+                token, x, y = (batch.column(c)[k].as_py() for c in ("token", "x", "y"))
+                n1, p1, s1, at1, node1, c1, map1 = side(batch.column("left")[k].values)
+                n2, p2, s2, at2, node2, c2, map2 = side(batch.column("right")[k].values)
                 need = _enough(n1[:, None], n2[None, :], percent)
-                good = (c1[:, None] != c2[None, :]) & (np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent)
-                good &= (n1 - p1)[:, None] >= need
-                good &= (n2 - p2)[None, :] >= need
-                i, j = np.nonzero(good)
-                apart = np.bitwise_count(map1[i] ^ map2[j]).sum(1)
-                keep = (n1[i] + n2[j] - apart) // 2 >= need[i, j]
-                i, j = i[keep], j[keep]
+                good = np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent
+                good &= ((n1 - p1)[:, None] >= need) & ((n2 - p2)[None, :] >= need)
+                if x == y:
+                    good = np.triu(good)
+                found: list[tuple[np.ndarray, np.ndarray]] = []
+                g, h = np.nonzero(good)
+                single = (s1[g] == 1) & (s2[h] == 1)
+                if single.any():  # most groups have one member
+                    i, j = at1[g[single]], at2[h[single]]
+                    apart = np.bitwise_count(map1[i] ^ map2[j]).sum(1)
+                    keep = (c1[i] != c2[j]) & ((n1[g[single]] + n2[h[single]] - apart) // 2 >= need[g[single], h[single]])
+                    found.append((i[keep], j[keep]))
+                for u, w in zip(g[~single].tolist(), h[~single].tolist(), strict=True):
+                    a, b = slice(at1[u], at1[u] + s1[u]), slice(at2[w], at2[w] + s2[w])
+                    ones, twos = np.full(s1[u], n1[u]), np.full(s2[w], n2[w])
+                    i, j = _passing(ones, np.zeros_like(ones), c1[a], map1[a], twos, np.zeros_like(twos), c2[b], map2[b], percent)
+                    found.append((i + at1[u], j + at2[w]))
+                i, j = (np.concatenate([f[e] for f in found]) if found else np.zeros(0, np.int64) for e in (0, 1))
                 a, b = np.minimum(node1[i], node2[j]), np.maximum(node1[i], node2[j])
+                if len(a) > (len(node1) + len(node2)) // 2:
+                    columns = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([token], pa.int64()), pa.array([x], pa.int32()), pa.array([y], pa.int32())]
+                else:
+                    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "token", "x", "y"])
+
+    return run
+
+
+def _sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return run
+
+
+def _dense_links(percent: int):
+    """Members of two blocks, with their sets: the links that join components not joined before, in the order they are found."""
+
+    def side(v) -> tuple:
+        sets = [np.frombuffer(x, np.uint64) for x in v.field("shingles").to_pylist()]
+        maps = np.frombuffer(b"".join(_bitmap(x, 4 * SMALL) for x in sets), np.uint64).reshape(len(sets), SMALL // 16)
+        return *[v.field(c).to_numpy() for c in ("n", "place", "component")], maps, v.field("node").to_numpy(), sets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                one, two = side(batch.column("left")[k].values), side(batch.column("right")[k].values)
+                i, j = _passing(*one[:4], *two[:4], percent)
+                parent: dict[int, int] = {}
+
+                def top(x: int) -> int:
+                    while (up := parent.setdefault(x, x)) != x:
+                        parent[x] = x = parent[up]
+                    return x
+
+                a, b = [], []
+                for u, w in zip(i.tolist(), j.tolist(), strict=True):
+                    x, y = top(int(one[2][u])), top(int(two[2][w]))
+                    if x == y:
+                        continue
+                    first, second = one[5][u], two[5][w]
+                    both = len(np.intersect1d(first, second, assume_unique=True))
+                    if 100 * both >= percent * (len(first) + len(second) - both):
+                        parent[x] = y
+                        a.append(int(one[4][u]))
+                        b.append(int(two[4][w]))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run

@@ -196,6 +196,29 @@ def test_jaccard_without_rounds_compares_all_blocks(spark, docs, rows, monkeypat
     same(jaccard.join(docs).collect(), brute.near(rows))
 
 
+def test_jaccard_of_a_dense_group(spark, monkeypatch):
+    """Copies that differ in many places, so that few pairs of a large group of one prefix are links, are verified where blocks meet."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for _ in range(rng.randrange(5, 11)):
+            words[rng.randrange(380)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for rounds, block, mass in ((2, 512, 1 << 18), (0, 32, 4000)):
+        monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+        monkeypatch.setattr(jaccard, "LIST_BLOCK", block)
+        monkeypatch.setattr(jaccard, "MASS", mass)
+        seen = []
+        original = jaccard._Join._dense
+        monkeypatch.setattr(jaccard._Join, "_dense", lambda self, dense, blocks, original=original, seen=seen: (seen.append(dense.count()), original(self, dense, blocks))[1])
+        same(jaccard.join(frame).collect(), brute.near(rows))
+        assert rounds or seen[0]
+        monkeypatch.setattr(jaccard._Join, "_dense", original)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 140)]
