@@ -11,6 +11,7 @@ other. A piece that holds one, in whatever case, is given to the library as it i
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterable, Iterator
 from string import punctuation
@@ -20,7 +21,7 @@ import numpy as np
 
 LONG = 100  # characters; longer pieces are not remembered
 MARK = "\x01"
-BATCH = 2_000_000  # characters looked at together
+BATCH = 4_000_000  # characters looked at together
 
 
 def _parts(piece: str) -> tuple[str, str]:
@@ -30,6 +31,10 @@ def _parts(piece: str) -> tuple[str, str]:
     by the vocabulary anyway.
     """
     core = piece.rstrip(punctuation)
+    if piece.isascii():
+        if not core or not core[-1].isalnum():
+            core = piece
+        return core.lower(), piece[len(core) :]
     # some letters end in a mark once they are normalised and lowered, and marks join what follows
     if not core or not normalize("NFC", core[-1]).lower()[-1].isalnum():
         core = piece
@@ -39,7 +44,7 @@ def _parts(piece: str) -> tuple[str, str]:
 class PieceEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 600_000, special_as_text: bool = True):
+    def __init__(self, path: str, limit: int = 450_000, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,20 +58,25 @@ class PieceEncoder:
         self._older: dict[str, bytes] = {}
         (self._mark,) = self._ids(MARK)
         self._limit = limit
+        suffix = json.loads(self._library.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self._library.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, id in vocabulary.items() if suffix else ():
+            self._ends[id] = token.endswith(suffix)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        held: list[list[str]] = []
+        held: list[str] = []
         size = 0
         for text in texts:
-            pieces = (text or "").replace("\n", " ").split(" ")
-            held.append(pieces)
-            size += len(text or "")
+            held.append(text or "")
+            size += len(held[-1])
             if size >= BATCH:
                 yield from self._flush(held)
                 held, size = [], 0
         yield from self._flush(held)
 
-    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
+    def _flush(self, texts: list[str]) -> Iterator[bytes]:
+        held = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self._known) > self._limit:
             self._known, self._older = {}, self._known
         known, older = self._known, self._older
@@ -74,15 +84,24 @@ class PieceEncoder:
         for piece in new.intersection(older):
             known[piece] = older[piece]
         new = new.difference(known)
-        parts = {piece: (piece, "") if self._holds_special(piece) else _parts(piece) for piece in new}
+        # whole texts are searched for special tokens first, and single pieces only if one is there
+        special = {p for p in new if self._holds_special(p)} if any(map(self._holds_special, texts)) else ()
+        cut: list[tuple[str, str, str]] = []  # pieces that are not their own core
         cores = set()
-        for core, tail in parts.values():
+        for piece in new:
+            if piece.isalpha() and piece.isascii() and piece.islower() or piece in special:
+                cores.add(piece)
+                continue
+            core, tail = _parts(piece)
             cores.add(core)
-            cores.add(tail)
+            if tail or core != piece:
+                cores.add(tail)
+                cut.append((piece, core, tail))
         cores.discard("")
-        self._learn([p for p in cores if p not in known])
-        for piece, (core, tail) in parts.items():
-            known[piece] = known[core] + known[tail] if tail else known[core] if core else b""
+        self._learn(list(cores.difference(known)))
+        known[""] = b""
+        for piece, core, tail in cut:
+            known[piece] = known[core] + known[tail] if tail else known[core]
         for pieces in held:
             yield b"".join(map(known.__getitem__, pieces))
         for piece in [p for p in new | cores if len(p) > LONG]:
@@ -95,19 +114,39 @@ class PieceEncoder:
         return any(t in low for t in self._special)
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode ``pieces``, many in one text with a mark between them, which is one id that no other word has."""
-        plain = [p for p in pieces if MARK not in p]
-        for piece in set(pieces).difference(plain):
-            self._known[piece] = np.asarray(self._ids(piece), "<u4").tobytes()
+        """Encode ``pieces``, many in one text: words of ASCII letters side by side, as each has one id that ends a word, others with
+        a mark between them, which is one id that no other word has."""
+        plain = []
+        words = []
+        for piece in pieces:
+            if piece.isalpha() and piece.isascii():
+                words.append(piece)
+            elif MARK in piece:
+                self._known[piece] = np.asarray(self._ids(piece), "<u4").tobytes()
+            else:
+                plain.append(piece)
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            ids = np.asarray(self._ids(" ".join(part)), "<u4")
+            ends = np.flatnonzero(self._ends[ids]) + 1 if self._ends.any() else ()
+            if len(ends) != len(part):  # another kind of vocabulary
+                plain += part
+                continue
+            self._keep(part, ids, [0, *ends.tolist()[:-1]], ends.tolist())
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
             ids = np.asarray(self._ids(f" {MARK} ".join(part)), "<u4")
-            edges = [-1, *np.flatnonzero(ids == self._mark).tolist(), len(ids)]
-            for piece, low, high in zip(part, edges[:-1], edges[1:], strict=True):
-                self._known[piece] = ids[low + 1 : high].tobytes()
+            marks = np.flatnonzero(ids == self._mark).tolist()
+            self._keep(part, ids, [0, *[m + 1 for m in marks]], [*marks, len(ids)])
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, lows: list[int], highs: list[int]) -> None:
+        data = ids.tobytes()
+        for piece, low, high in zip(pieces, lows, highs, strict=True):
+            self._known[piece] = data[4 * low : 4 * high]
 
     def _ids(self, text: str) -> list[int]:
-        return self._library.encode(text, add_special_tokens=False).ids
+        # without offsets, which nothing here needs
+        return self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
