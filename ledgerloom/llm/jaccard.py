@@ -64,7 +64,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes."""
     words = (text or "").encode().lower().split()  # bytes: lower() maps A-Z alone, split() knows the six blanks alone
-    if len(_WORDS) > 500_000:
+    if len(_WORDS) > 250_000:
         _WORDS.clear()
     n = len(words)
     known = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
