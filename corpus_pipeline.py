@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept; all but the last return the columns
 of ``documents``. ``run`` writes each result to the shared folder and reads it again for the next stage.
+
+Defined results: a null, empty or blank text fails the quality rules and goes with its document; a null id is kept through all
+stages, comes last among near duplicates' smallest ids and last in the order in which repeated passages stay; of rows repeated whole
+one stays after the near duplicates; rows that share an id but not a text are documents of their own; of texts that tie, the smallest
+id stays; very long texts are judged, cut and packed whole; an empty table gives an empty result; further columns, whatever
+their names, are carried to the last stage, which returns pieces alone.
 """
 
 from __future__ import annotations
