@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom import schemas
 from ledgerloom.functions.text import join_non_empty, or_null, truncate
 from ledgerloom.operators.joins import lookup_join
-
-STATUSES = ["insert", "no symbol", "no exchange", "duplicate"]
-
+from ledgerloom.operators.store import BatchStore
 
 def exchange_code(source_code: Column) -> Column:
     """The warehouse code of a profile's exchange code, or null."""
@@ -83,6 +81,18 @@ def load_companies(profiles: DataFrame, exchanges: DataFrame, stored: DataFrame,
     return to_company(classify(profiles, exchanges, stored, seq).filter(F.col("status") == "insert"))
 
 
+def append_companies(profiles: DataFrame, exchanges: DataFrame, store: BatchStore, batch_id: str, seq: str = "seq", dry_run: bool = False) -> int:
+    """Add the companies that are not stored yet; returns how many. A repeated batch adds nothing.
+
+    The store looks its keys up by the load's own, so only valid rows are made into companies and no stored row is read.
+    """
+    codes = exchanges.select(F.col("code").alias("exchange_code"))
+    rows = profiles.withColumn("ticker", truncate(or_null("symbol"), schemas.COMPANIES.lengths["ticker"])).withColumn("exchange_code", exchange_code(F.col("exchange")))
+    known = F.broadcast(codes.filter(F.col("exchange_code").isin(list(schemas.EXCHANGE_CODES.values()))))
+    valid = rows.filter(F.col("ticker").isNotNull()).join(known, "exchange_code", "left_semi")
+    return store.insert(to_company(valid.withColumnRenamed(seq, "seq")), batch_id, seq="seq", dry_run=dry_run)
+
+
 def load_audit(profiles: DataFrame, exchanges: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows per load status, the same for a dry run and a real one.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.text import full_text, unnest
@@ -10,15 +12,74 @@ from ledgerloom.operators.joins import lookup_join
 _WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
+CELLS = 1 << 14  # of the table of first words
+FILTER = 1 << 20  # bits of the table of phrases
+MANY_WORDS = 62  # a phrase of more words counts as one of so many in the table of first words
+
+
 def alias_table(names: DataFrame, alias: str, ticker: str) -> DataFrame:
-    """Aliases as ``(phrase, tickers)``, one row per phrase.
+    """Aliases as ``(phrase, ticker)`` rows.
 
     A company name matches in any case, as whole words; a name shared by several
-    companies gives all their tickers.
+    companies has a row for each.
     """
     words = F.filter(F.split(F.lower(alias), _WORD_BREAK), lambda w: w != "")
-    rows = names.select(F.array_join(words, " ").alias("phrase"), F.col(ticker).cast("string").alias("t"))
-    return rows.filter("phrase != ''").groupBy("phrase").agg(F.collect_set("t").alias("tickers"))
+    rows = names.select(F.array_join(words, " ").alias("phrase"), F.col(ticker).cast("string").alias("ticker"))
+    return rows.filter("phrase != ''").distinct()
+
+
+def _cell(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(CELLS - 1).cast("int")
+
+
+def _spot(phrase: Column) -> tuple[Column, Column]:
+    bit = F.xxhash64(phrase, F.lit(1)).bitwiseAND(FILTER - 1)
+    return F.shiftright(bit, 6).cast("int"), bit.bitwiseAND(63).cast("int")
+
+
+def _table(rows: DataFrame, size: int) -> Column:
+    """Bits (cell, bits) or-ed into a literal array of ``size`` numbers."""
+    values = [0] * size
+    for row in rows.groupBy("cell").agg(F.bit_or("bits").alias("bits")).collect():
+        values[row["cell"]] = row["bits"]
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<bigint>")
+
+
+class Matcher:
+    """Two literal tables of fixed size that let few phrases of a text pass which are no alias.
+
+    The first one has, for the hash of a word, how many words the aliases have that start with it; the second one has a bit for
+    the hash of each alias. So a text gives phrases only where an alias starts, only of the lengths that alias has, and
+    what passes both is nearly all a hit.
+    """
+
+    def __init__(self, aliases: DataFrame):
+        words = F.split("phrase", " ")
+        phrases = aliases.select("phrase", F.size(words).alias("n"), F.get(words, F.lit(0)).alias("head")).distinct()
+        self.longest = phrases.agg(F.max("n")).first()[0] or 1
+        mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.least("n", F.lit(MANY_WORDS)))
+        self._starts = _table(phrases.select(_cell(F.col("head")).alias("cell"), mask.alias("bits")), CELLS)
+        word, bit = _spot(F.col("phrase"))
+        self._bits = _table(phrases.select(word.alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits")), FILTER // 64)
+
+    def phrases(self, rows: DataFrame, key: str, words: str) -> DataFrame:
+        """(key, phrase): phrases of each text that may be aliases, each once per row."""
+        w = F.col(words)
+        tables = rows.select(key, w.alias("_w"), F.struct(self._starts.alias("starts"), self._bits.alias("bits")).alias("_t"))
+        masks = F.transform("_w", lambda x, i: F.struct(i.alias("i"), F.get("_t.starts", _cell(x)).alias("mask")))
+        places = tables.withColumn("_places", F.filter(masks, lambda p: p["mask"] != 0))
+
+        def at(p: Column) -> Column:
+            lengths = F.sequence(F.lit(1), F.least(F.size("_w") - p["i"], F.lit(self.longest)))
+            bit = lambda n: F.call_function("shiftrightunsigned", p["mask"], F.least(n, F.lit(MANY_WORDS))).bitwiseAND(1)
+            return F.transform(F.filter(lengths, lambda n: bit(n) == 1), lambda n: F.array_join(F.slice("_w", p["i"] + 1, n), " "))
+
+        def passes(phrase: Column) -> Column:
+            word, bit = _spot(phrase)
+            return F.call_function("shiftrightunsigned", F.get("_t.bits", word), bit).bitwiseAND(1) == 1
+
+        found = F.array_distinct(F.filter(F.flatten(F.transform("_places", at)), passes))
+        return unnest(places, [key], found, "phrase")
 
 
 def mentions(
@@ -30,29 +91,15 @@ def mentions(
 ) -> DataFrame:
     """Unique ``(key, ticker)`` pairs of articles that name a ticker's alias.
 
-    Phrases of up to as many words as the longest alias are made unique inside each
-    row; the alias table is broadcast when its checked size allows, so texts are not
-    shuffled.
+    Phrases that may be aliases leave a row once (``Matcher``) and are looked up exactly; the alias table is broadcast when its
+    checked size allows, so texts are not shuffled.
     """
     text = F.lower(full_text(title, content))
     words = articles.filter(F.col(content).isNotNull()).select(
         key, F.filter(F.split(text, _WORD_BREAK), lambda w: w != "").alias("w")
     )
-    longest = aliases.agg(F.coalesce(F.max(F.size(F.split("phrase", " "))), F.lit(1)).alias("n")).scalar()
-    words = words.withColumn("longest", longest)
-    grams = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.col("longest")), _grams)))
-    phrases = unnest(words, [key], grams, "phrase")
-    return (
-        lookup_join(phrases, aliases, "phrase", key)
-        .select(key, F.explode("tickers").alias("ticker"))
-        .distinct()
-    )
-
-
-def _grams(n: Column) -> Column:
-    """All phrases of ``n`` words."""
-    starts = F.slice("w", F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(0)))
-    return F.transform(starts, lambda _, i: F.array_join(F.slice("w", i + 1, n), " "))
+    phrases = Matcher(aliases).phrases(words, key, "w")
+    return lookup_join(phrases, aliases, "phrase", key).select(key, "ticker").distinct()
 
 
 def mentioned_tickers(articles: DataFrame, pairs: DataFrame, key: str = "id") -> DataFrame:

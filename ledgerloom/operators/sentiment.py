@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.functions.text import clean_tokens, unnest, with_term_counts
 from ledgerloom.operators.joins import lookup_join
+from ledgerloom.operators.numbering import dense_numbers
 from ledgerloom.session import stage
 
 MIN_DF = 3
@@ -66,9 +67,10 @@ def vocabulary(
 
 def _choose(counts: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
     kept = counts.filter(F.col("df") >= min_df)
-    if max_features is not None:
-        kept = kept.orderBy(F.desc("freq"), "term").limit(max_features)
-    # One row per distinct term: small beside the texts, with or without a limit.
+    if max_features is None:
+        return dense_numbers(kept, "term_index", "term", first=0).withColumn("term_index", F.col("term_index").cast("int"))
+    # a bounded number of terms
+    kept = kept.orderBy(F.desc("freq"), "term").limit(max_features)
     return kept.withColumn("term_index", F.row_number().over(Window.orderBy("term")) - 1)
 
 

@@ -59,11 +59,11 @@ class BatchStore:
     def _lookup(self, batch: DataFrame, state: dict) -> DataFrame:
         return lookup(batch, self.keys, self._index, f"{self.path}/index", state.get("index", []))
 
-    def _write(self, rows: DataFrame, batch_id: str, state: dict, order: str | None) -> dict:
+    def _write(self, rows: DataFrame, batch_id: str, state: dict, *order: str) -> dict:
         """Write a batch and its index; returns its entry in the commit."""
         folder = uuid.uuid4().hex
         if self.id:
-            rows = dense_numbers(rows, self.id, *([order] if order else self.keys), first=state["next_id"])
+            rows = dense_numbers(rows, self.id, *order, first=state["next_id"])
         named = rows.select(*([self.id] if self.id else []), *self.columns, F.lit(batch_id).alias("batch_id"))
         named.write.parquet(f"{self.path}/data/{folder}")
         # counted from the file footers of what was really written
@@ -103,7 +103,8 @@ class BatchStore:
             fresh = rows.join(winners, "_row", "left_semi")
             if dry_run:
                 return fresh.count()
-            entry = self._write(fresh, batch_id, state, "_row")
+            late = fresh.withColumn("_late", F.col(seq).isNull()) if seq else fresh
+            entry = self._write(late, batch_id, state, *(["_late", seq] if seq else []), "_row")
             index = state.get("index", []) + ([entry.pop("index")] if entry["rows"] else [])
             entry.pop("index", None)
             if self._commit(version, state, [*state["batches"], entry], index, entry["rows"]):
@@ -119,7 +120,7 @@ class BatchStore:
         rows = stage(first_per_key(rows.select(*self.columns), self.keys, None), "load")
         while True:
             version, state = self._log.read()
-            entry = self._write(rows, batch_id, state, None)
+            entry = self._write(rows, batch_id, state, *self.keys)
             index = entry.pop("index")
             if self._commit(version, state, [entry], [index] if index else [], entry["rows"]):
                 return

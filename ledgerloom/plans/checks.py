@@ -71,6 +71,22 @@ SELECT url, source, 'labelled' AS batch_id, {_second('published_at')} AS publish
 UNION ALL SELECT url, source, 'all', {_second('published_at')} FROM late
 """
 
+CHECKS["stored_news"] = f"""
+WITH {_DOC_ROWS}
+SELECT url, min(doc_id) AS first_doc, string_agg(DISTINCT ticker, ',' ORDER BY ticker) AS tickers, true AS dense_ids, true AS fetched,
+       min(doc_id) NOT IN (SELECT doc_id FROM labels WHERE quality = 1) AS untransformed
+FROM docs GROUP BY url
+"""
+
+CHECKS["stored_by_ticker"] = f"""
+WITH {_DOC_ROWS}, firsts AS (SELECT url, min(published_at) AS published_at FROM docs GROUP BY url)
+SELECT DISTINCT url, {_second('firsts.published_at')} AS published_at FROM firsts JOIN docs USING (url) WHERE ticker = 'DE'
+"""
+
+CHECKS["stream_dedup"] = f"""
+WITH {_DOC_ROWS} SELECT url, count(DISTINCT url) AS times, true AS bounded FROM docs GROUP BY url
+"""
+
 CHECKS["link_tickers"] = """
 WITH done AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linestatus = 'F'),
 every AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))
@@ -113,6 +129,14 @@ SELECT url, 'page ' || page_id AS title, CASE WHEN url LIKE 'https%' THEN 'Feed
 FROM pages
 """
 
+CHECKS["rss_articles"] = f"""
+SELECT url, CASE WHEN page_id % 7 = 3 THEN 'A & B ' ELSE 'page ' END || page_id AS title, 'Pages & more' AS publisher, 'rss' AS source,
+       {_second("TIMESTAMP '2024-03-01 00:00:00' + to_minutes(page_id)")} AS published_at
+FROM pages WHERE page_id % 11 <> 5
+"""
+
+CHECKS["broken_feed_items"] = "SELECT page_id, 'broken markup' AS reason FROM pages WHERE page_id % 11 = 5"
+
 _HISTORY = """
 history AS (
   SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE 'order/' || o_orderkey END AS url,
@@ -168,7 +192,34 @@ SELECT p || c_custkey AS symbol, 'NYQ' AS exchange, c_name AS "longName",
        '{views.PROFILE_NOTE}' || ' ' || c_mktsegment AS "longBusinessSummary",
        CAST(floor(c_acctbal * 100) AS BIGINT) AS "marketCap"
 FROM customer CROSS JOIN (VALUES ('A'), ('B')) AS v(p)
-WHERE p = 'A' OR c_mktsegment IN ('MACHINERY', 'BUILDING', 'FURNITURE')
+WHERE (p = 'A' OR c_mktsegment IN ('MACHINERY', 'BUILDING', 'FURNITURE')) AND NOT (c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0)
+"""
+
+CHECKS["broken_profiles"] = """
+SELECT 'A' || c_custkey AS symbol, 'not a record' AS reason FROM customer WHERE c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0
+"""
+
+CHECKS["append_companies"] = """
+SELECT p || c_custkey AS ticker, 'NYSE' AS exchange_code, c_name AS name, CAST(floor(c_acctbal * 100) AS BIGINT) AS market_cap,
+       true AS dense_ids, CAST(0 AS BIGINT) AS added_again
+FROM customer CROSS JOIN (VALUES ('A'), ('B')) AS v(p)
+WHERE (p = 'A' OR c_mktsegment IN ('MACHINERY', 'BUILDING', 'FURNITURE')) AND NOT (c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0)
+"""
+
+CHECKS["fallback_tickers"] = """
+SELECT c_custkey, CASE WHEN length(c_mktsegment) >= 4 THEN left(c_mktsegment, 5) END AS ticker FROM customer
+"""
+
+CHECKS["reviews"] = """
+SELECT doc_id, md5(text) AS text_md5, CAST(1 + 3 * quality + (1 - toxic) AS INTEGER) AS stars FROM documents JOIN labels USING (doc_id)
+"""
+
+CHECKS["labelled_documents"] = """
+SELECT CASE WHEN item_id % 3 = 0 THEN 'pos' ELSE 'neg' END AS label, md5(text) AS text_md5 FROM benchmark
+"""
+
+CHECKS["seeded_exchanges"] = """
+SELECT 'N' || n_nationkey AS code, n_name AS name, n_nationkey + 1 AS id, true AS seeded, false AS seeded_again FROM nation
 """
 
 CHECKS["watchlist"] = """
@@ -455,8 +506,8 @@ FROM figures
 
 CHECKS["top_portfolios"] = f"""
 WITH {_RISK},
-figures AS (SELECT portfolio_id, r, v, r / v AS s FROM gains JOIN spread USING (portfolio_id)),
-best AS (
+figures AS MATERIALIZED (SELECT portfolio_id, r, v, r / v AS s FROM gains JOIN spread USING (portfolio_id)),
+best AS MATERIALIZED (
   SELECT * FROM (SELECT *, 'sharpe' AS ranking FROM figures ORDER BY s DESC, portfolio_id LIMIT 5)
   UNION ALL SELECT * FROM (SELECT *, 'return' AS ranking FROM figures ORDER BY r DESC, portfolio_id LIMIT 5)
   UNION ALL SELECT * FROM (SELECT *, 'volatility' AS ranking FROM figures ORDER BY v, portfolio_id LIMIT 5))
@@ -527,6 +578,14 @@ SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM postings WHERE term IN ({_li
 GROUP BY doc_id HAVING count(*) = {len(_WANTED)}
 """
 
+CHECKS["stemmed_search"] = f"""
+WITH {_TERMS.replace(f"AND term NOT IN ({STOP})", "")},
+stems AS (SELECT doc_id, tf, regexp_extract(term, '^(licens|work)(e|es|ed|er|ers|ing|ings|s|able)?$', 1) AS stem,
+                 term NOT IN ('licenss', 'licensed', 'licenser', 'licensers', 'worke', 'workes', 'workable', 'worker', 'workers')
+                   OR term IN ('licensed') AS known FROM postings)
+SELECT doc_id, CAST(sum(tf) AS BIGINT) AS hits FROM stems WHERE stem <> '' AND known GROUP BY doc_id HAVING count(DISTINCT stem) = 2
+"""
+
 _ASKED = [w for w in q.QUESTION.lower().split() if len(w) > 1 and w not in STOPWORDS]
 _COSINE = f"""
 {_TERMS},
@@ -647,3 +706,13 @@ one AS (
   UNION ALL SELECT 'links', 'stored', count(*) FROM mentions)
 SELECT run, transform, status, n FROM one, (VALUES (1), (2)) AS r(run)
 """
+
+# The same rows from landed files.
+CHECKS["landed_bars"] = CHECKS["ohlcv_bars"]
+CHECKS["landed_symbols"] = CHECKS["symbol_universe"]
+CHECKS["landed_descriptions"] = """
+WITH every AS (
+  SELECT 'K' || item_id AS ticker, text AS d, 1 AS p, item_id AS n FROM benchmark WHERE text IS NOT NULL
+  UNION ALL SELECT 'K' || conv_id, text, 2, turn FROM conversations WHERE coalesce(text, '') <> '')
+SELECT ticker, md5(d) AS description_md5 FROM every QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY p DESC, n DESC) = 1
+"""

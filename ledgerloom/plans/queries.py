@@ -11,6 +11,7 @@ from ledgerloom.functions.text import clean_tokens, unnest, word_tokens
 from ledgerloom.operators import companies, entities, integrity, news, risk, search, sentiment, summary
 from ledgerloom.operators.dedup import first_per_key
 from ledgerloom.operators.store import BatchStore
+from ledgerloom.operators.textindex import TextIndex
 from ledgerloom.plans import views
 from ledgerloom.plans.views import Tables
 from ledgerloom.session import configure, fresh_dir, stage
@@ -29,6 +30,7 @@ KEYWORD = "license"
 PATTERN = "licen[sc]e|worth[a-z]+"
 QUESTION = "a license that is worthless without any warranty"
 FULLTEXT = ["the", "License", "work"]
+STEMMED = ["licensing", "WORKS"]
 KEYWORDS = ["license", "worthless", "the", "der"]
 TRAIN_SHARE = 0.7
 PRICE_START, PRICE_END = "2024-01-03", "2024-01-29"
@@ -128,9 +130,101 @@ def stream_ingest(t: Tables) -> DataFrame:
     return linked.select("url", "ticker", only.alias("stream"), batch)
 
 
+@query
+def stream_dedup(t: Tables) -> DataFrame:
+    """Documents land twice; the stream drops repeats by its own bounded state, and the table has each url once."""
+    warehouse = NewsWarehouse(t.spark, fresh_dir(t.spark, "dedup-news"))
+    rows = articles.conform(views.document_rows(t))
+    landing = fresh_dir(t.spark, "landing")
+    for _ in range(2):
+        rows.write.mode("append").parquet(landing)
+    counts = run_stream(t.spark, landing, warehouse, fresh_dir(t.spark, "offsets"), max_files=4, dedup_within="1 day")
+    stored = warehouse.articles.read()
+    kept = sum(warehouse.articles.batches().values())
+    bounded = F.lit(counts["late"] == 0 and counts["rows"] - counts["repeats"] == kept)
+    return stored.groupBy("url").agg(F.count(F.lit(1)).alias("times")).withColumn("bounded", bounded)
+
+
+def _stored_news(t: Tables) -> NewsWarehouse:
+    warehouse = NewsWarehouse(t.spark, fresh_dir(t.spark, "stored-news"))
+    rows = views.document_rows(t)
+    labelled = t.labels.select(F.col("doc_id").alias("seq")).distinct()
+    warehouse.ingest(rows.join(labelled, "seq", "left_anti"), "first")
+    warehouse.ingest(rows, "second")
+    return warehouse
+
+
+@query
+def stored_news(t: Tables) -> DataFrame:
+    """Numbered articles of a stored warehouse with their tickers, and whether a transform is still to come."""
+    warehouse = _stored_news(t)
+    stored = warehouse.articles.read().select("id", "url", "published_at", "fetched_at")
+    ids = stored.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count_distinct("id").alias("n")).first()
+    dense = F.lit((ids["low"], ids["high"]) == (1, ids["n"]))
+    texts = t.documents.groupBy(F.concat(F.lit(views.DOC_HOST), F.md5("text")).alias("url")).agg(F.min("doc_id").alias("first_doc"))
+    known = warehouse.articles.known(texts).select("url", "id")  # by the key index
+    log = known.join(texts, "url").join(t.labels.filter("quality = 1"), F.col("first_doc") == F.col("doc_id"), "left_semi").select(
+        F.col("id").alias("article_id"), F.lit("sentiment").alias("transform")
+    )
+    waiting = news.not_transformed(stored, log, "sentiment").select("id", F.lit(True).alias("waiting"))
+    tickers = news.tickers_of_articles(warehouse.links.read()).withColumnRenamed("article_id", "id")
+    rows = stored.join(tickers, "id").join(known.select("id").distinct(), "id", "left_semi").join(waiting, "id", "left").join(texts, "url")
+    return rows.select(
+        "url", "first_doc", F.array_join("tickers", ",").alias("tickers"), dense.alias("dense_ids"),
+        F.col("fetched_at").isNotNull().alias("fetched"), F.coalesce("waiting", F.lit(False)).alias("untransformed"),
+    )
+
+
+@query
+def stored_by_ticker(t: Tables) -> DataFrame:
+    warehouse = NewsWarehouse(t.spark, fresh_dir(t.spark, "ticker-news"))
+    warehouse.ingest(views.document_rows(t), "all")
+    rows = news.articles_by_ticker(warehouse.articles.read(), warehouse.links.read(), "DE")
+    return rows.select("url", views.as_text("published_at").alias("published_at"))
+
+
 # Sources -----------------------------------------------------------------------
 
 
+@query
+def rss_articles(t: Tables) -> DataFrame:
+    """Landed RSS files: loose ampersands are mended, broken items left out."""
+    rows = articles.feed_articles(articles.read_rss(t.spark, views.land_rss(t)))
+    return rows.select("url", "title", "publisher", "source", views.as_text("published_at").alias("published_at"))
+
+
+@query
+def broken_feed_items(t: Tables) -> DataFrame:
+    bad = articles.broken_items(articles.rss_items(t.spark, views.land_rss(t)))
+    return bad.select(F.regexp_extract("xml", "<guid>([0-9]+)", 1).cast("long").alias("page_id"), "reason")
+
+
+@query
+def broken_profiles(t: Tables) -> DataFrame:
+    bad = records.broken_profiles(t.spark, views.land_profiles(t))
+    return bad.select(F.regexp_extract("value", '"symbol":"([A-Z0-9]+)"', 1).alias("symbol"), "reason")
+
+
+@query
+def reviews(t: Tables) -> DataFrame:
+    rows = records.read_reviews(t.spark, views.land_reviews(t))
+    return rows.select(F.col("funny").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), "stars")
+
+
+@query
+def labelled_documents(t: Tables) -> DataFrame:
+    rows = records.read_labelled_documents(t.spark, views.land_labelled(t))
+    text = F.regexp_replace("text", r"\n\z", "")  # the writer ends a file with a line feed
+    return rows.select(F.replace("label", F.lit("label="), F.lit("")).alias("label"), F.md5(text).alias("text_md5"))
+
+
+@query
+def fallback_tickers(t: Tables) -> DataFrame:
+    """Records whose ticker is the first key that looks like one."""
+    record = F.create_map(F.lit("note"), F.lit("x"), F.substring("c_mktsegment", 1, 5), F.col("c_name"))
+    return t.customer.select("c_custkey", records.fallback_ticker(record).alias("ticker"))
+
+
 @query
 def feed_articles(t: Tables) -> DataFrame:
     rows = articles.feed_articles(articles.read_feeds(t.spark, views.land_feeds(t)))
@@ -199,6 +293,22 @@ def symbol_universe(t: Tables) -> DataFrame:
     return market.symbol_universe(views.supplier_symbols(t), views.customer_symbols(t))
 
 
+@query
+def landed_symbols(t: Tables) -> DataFrame:
+    return market.symbol_universe(*[market.read_symbols(t.spark, p) for p in views.land_symbols(t)])
+
+
+@query
+def landed_descriptions(t: Tables) -> DataFrame:
+    """Descriptions read from landed files; of one ticker's the later source and record count."""
+    by_key, listed = views.land_descriptions(t)
+    first = records.descriptions_from_map(records.read_description_map(t.spark, by_key), "key", "text", 1)
+    rows = records.read_description_records(t.spark, listed, ["ticker", "symbol", "description"])
+    second = records.descriptions_from_records(rows, 2, ["ticker", "symbol"], ["description"])
+    found = records.describe_companies(None, first, second)
+    return found.select("ticker", F.md5("description").alias("description_md5"))
+
+
 @query
 def symbols_like(t: Tables) -> DataFrame:
     return market.symbols_like(t.part.select("p_partkey", "p_name"), "p_name", "(small|old) (bolt|ring)")
@@ -283,6 +393,34 @@ def exchanges(t: Tables) -> DataFrame:
     )
 
 
+@query
+def seeded_exchanges(t: Tables) -> DataFrame:
+    """An empty table is seeded once, and numbered."""
+    fields = T.StructType.fromDDL("code string, name string, place long")
+    store = BatchStore(t.spark, fresh_dir(t.spark, "seeded"), fields, ["place"], id="id")
+    listed = t.nation.select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("name"), F.col("n_nationkey").cast("long").alias("place")
+    )
+    first, again = store.seed_if_empty(listed), store.seed_if_empty(listed.withColumn("name", F.lit("other")))
+    return store.read().select("code", "name", "id", F.lit(first).alias("seeded"), F.lit(again).alias("seeded_again"))
+
+
+@query
+def append_companies(t: Tables) -> DataFrame:
+    """Landed profiles become stored, numbered companies; the same files again add none."""
+    path, listed = views.land_profiles(t), views.seed_exchanges(t.spark)
+    store = BatchStore(t.spark, fresh_dir(t.spark, "companies"), schemas.COMPANIES.schema, ["ticker", "exchange_code"], id="id")
+    profiles = records.read_profiles(t.spark, path)
+    companies.append_companies(profiles, listed, store, "first")
+    again = companies.append_companies(profiles, listed, store, "again")
+    stored = store.read()
+    ids = stored.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count_distinct("id").alias("n")).first()
+    return stored.select(
+        "ticker", "exchange_code", "name", "market_cap", F.lit((ids["low"], ids["high"]) == (1, ids["n"])).alias("dense_ids"),
+        F.lit(again).cast("long").alias("added_again"),
+    )
+
+
 @query
 def load_companies(t: Tables) -> DataFrame:
     rows = companies.load_companies(
@@ -382,6 +520,11 @@ def ohlcv_bars(t: Tables) -> DataFrame:
     return _plain_bars(market.daily_bars(ticks, PRICE_START, PRICE_END))
 
 
+@query
+def landed_bars(t: Tables) -> DataFrame:
+    return _plain_bars(market.daily_bars(market.read_prices(t.spark, views.land_prices(t)), PRICE_START, PRICE_END))
+
+
 @query
 def ingest_ohlcv(t: Tables) -> DataFrame:
     """Appending all bars where the early days are stored, then once more."""
@@ -519,9 +662,28 @@ def inverted_index(t: Tables) -> DataFrame:
     return search.inverted_index(views.texts(t), F.col("text"))
 
 
+def _indexed(t: Tables, **options) -> TextIndex:
+    """Labelled documents are indexed first, then the others."""
+    index = TextIndex(t.spark, fresh_dir(t.spark, "text-index"), **options)
+    docs = views.texts(t).select("doc_id", "text")
+    labelled = t.labels.select("doc_id").distinct()
+    index.add(docs.join(labelled, "doc_id", "left_semi"), F.col("text"), "labelled")
+    index.add(docs.join(labelled, "doc_id", "left_anti"), F.col("text"), "others")
+    return index
+
+
 @query
 def fulltext_search(t: Tables) -> DataFrame:
-    return search.fulltext_search(search.inverted_index(views.texts(t), F.col("text")), FULLTEXT)
+    """Asked of a stored index of two segments."""
+    return _indexed(t).search(FULLTEXT)
+
+
+@query
+def stemmed_search(t: Tables) -> DataFrame:
+    """Asked of a stored index of stems, after its segments were merged; the words are forms of those in the texts."""
+    index = _indexed(t, stem=True)
+    index.merge()
+    return index.search(STEMMED)
 
 
 @query

@@ -146,6 +146,44 @@ def land_feeds(t: Tables) -> str:
     return path
 
 
+def land_rss(t: Tables, per_file: int = 500) -> str:
+    """Pages as RSS files; some titles have a bare ampersand, some items crossed tags."""
+    safe = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    number = F.col("page_id").cast("string")
+    title = F.when(F.col("page_id") % 7 == 3, F.concat(F.lit("A & B "), number)).otherwise(F.concat(F.lit("page "), number))
+    title = F.when(F.col("page_id") % 11 == 5, F.concat(F.lit("<b>"), title, F.lit("</i>"))).otherwise(title)
+    date = F.date_format(minute_of("2024-03-01 00:00:00", F.col("page_id")), "EEE, dd MMM yyyy HH:mm:ss")
+    item = F.concat(
+        F.lit("<item><guid>"), number, F.lit("</guid><title>"), title, F.lit("</title><link>"), safe, F.lit("</link>\n<dc:creator>x</dc:creator><pubDate>"),
+        date, F.lit(" GMT</pubDate><content:encoded><![CDATA[<p>a & b</p>]]></content:encoded></item>"),
+    )
+    files = t.pages.groupBy(F.expr(f"page_id div {per_file}").alias("part")).agg(F.array_sort(F.collect_list(F.struct("page_id", item.alias("item")))).alias("items"))
+    head = "<?xml version='1.0'?><rss version='2.0'><channel><title>Pages &amp; more</title>"
+    text = F.concat(F.lit(head), F.array_join(F.transform("items", lambda i: i["item"]), "\n"), F.lit("</channel></rss>"))
+    path = fresh_dir(t.spark, "rss")
+    files.select("part", text.alias("value")).write.partitionBy("part").text(path)
+    return path
+
+
+def land_reviews(t: Tables) -> str:
+    """Rated documents as review CSV; texts hold line breaks and quotes."""
+    path = fresh_dir(t.spark, "reviews")
+    rated = t.documents.join(t.labels, "doc_id").select(
+        "text", (1 + 3 * F.col("quality") + (1 - F.col("toxic"))).cast("int").alias("stars"), F.lit("review").alias("type"),
+        F.lit(0).alias("cool"), F.lit(0).alias("useful"), F.col("doc_id").cast("int").alias("funny"),
+    )
+    rated.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return path
+
+
+def land_labelled(t: Tables) -> str:
+    """Benchmark texts as one file each, in a folder for each label."""
+    path = fresh_dir(t.spark, "labelled")
+    label = F.when(F.col("item_id") % 3 == 0, "pos").otherwise("neg")
+    t.benchmark.select(label.alias("label"), F.col("text").alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("label").text(path)
+    return path
+
+
 def history_rows(t: Tables) -> DataFrame:
     """Orders as historical news; the priority decides how the date is written."""
     day = F.col("o_orderdate")
@@ -244,10 +282,37 @@ def land_watchlist(t: Tables) -> str:
 PROFILE_NOTE = 'A "quoted" }{ brace, ][ bracket and back\\slash'
 
 
+def land_prices(t: Tables) -> str:
+    """Daily prices as one CSV folder for each ticker."""
+    path = fresh_dir(t.spark, "prices")
+    rows = market.bars_from_ticks(t.events, "event_type", "ts", "value", "event_id")
+    rows.select("ticker", "Date", "Open", "High", "Low", "Close", "Volume").write.partitionBy("ticker").option("header", True).csv(path)
+    return path
+
+
+def land_symbols(t: Tables) -> list[str]:
+    paths = []
+    for rows in (supplier_symbols(t), customer_symbols(t)):
+        paths.append(fresh_dir(t.spark, "symbols"))
+        rows.write.json(paths[-1])
+    return paths
+
+
+def land_descriptions(t: Tables) -> tuple[str, str]:
+    """Benchmark texts as objects {key: text}, and conversations as pretty records in order of turns."""
+    by_key, records = fresh_dir(t.spark, "descriptions"), fresh_dir(t.spark, "descriptions")
+    key = F.concat(F.lit("k"), F.col("item_id").cast("string"))
+    t.benchmark.select(F.to_json(F.create_map(key, "text")).alias("value")).write.text(by_key)
+    record = F.struct(F.concat(F.lit("K"), F.col("conv_id").cast("string")).alias("symbol"), F.col("text").alias("description"))
+    turns = t.conversations.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+    turns.select(F.to_json(record, {"pretty": "true"}).alias("value")).write.text(records)
+    return by_key, records
+
+
 def land_profiles(t: Tables) -> str:
-    """Customers as concatenated JSON: lone objects, two per line, and arrays."""
+    """Customers as concatenated JSON: lone objects, two per line, arrays, objects over several lines, and some never closed."""
 
-    def profile(prefix: str) -> Column:
+    def profile(prefix: str, **options: str) -> Column:
         return F.to_json(
             F.struct(
                 F.concat(F.lit(prefix), F.col("c_custkey").cast("string")).alias("symbol"),
@@ -255,13 +320,17 @@ def land_profiles(t: Tables) -> str:
                 F.col("c_name").alias("longName"),
                 F.concat(F.lit(PROFILE_NOTE), F.lit(" "), F.col("c_mktsegment")).alias("longBusinessSummary"),
                 F.floor(F.col("c_acctbal") * 100).cast("bigint").alias("marketCap"),
-            )
+            ),
+            options,
         )
 
+    open_ = F.regexp_replace(profile("A"), r"\}$", "")
     line = (
         F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("["), profile("A"), F.lit(", "), profile("B"), F.lit("]")))
         .when(F.col("c_mktsegment") == "BUILDING", F.concat(profile("A"), profile("B")))
         .when(F.col("c_mktsegment") == "FURNITURE", F.concat(F.lit("["), profile("A"), F.lit("]  "), profile("B")))
+        .when((F.col("c_mktsegment") == "HOUSEHOLD") & (F.col("c_custkey") % 2 == 0), open_)
+        .when(F.col("c_mktsegment") == "HOUSEHOLD", profile("A", pretty="true"))
         .otherwise(profile("A"))
     )
     path = fresh_dir(t.spark, "profiles")

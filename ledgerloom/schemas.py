@@ -99,26 +99,15 @@ FEED_ITEM = _struct(
         link=STRING, title=STRING, author=STRING, published=STRING, content=VALUES, summary=STRING,
         feed_title=STRING, feed_url=STRING, seq=LONG
     )
-# A landed RSS 2.0 channel and a landed Atom feed, name spaces left out.
-RSS_CHANNEL = T.StructType([
-    T.StructField("title", STRING),
-    T.StructField("item", T.ArrayType(_struct(
+# An item of a landed RSS 2.0 file and an entry of a landed Atom file, name spaces left out.
+RSS_ITEM = _struct(
         link=STRING, title=STRING, author=STRING, creator=STRING, pubDate=STRING, date=STRING, description=STRING,
         encoded=STRING
-    ))),
-])
-ATOM_FEED = T.StructType([
-    T.StructField("title", STRING),
-    T.StructField("entry", T.ArrayType(T.StructType([
-        T.StructField("title", STRING),
-        T.StructField("link", T.ArrayType(_struct(_href=STRING, _rel=STRING))),
-        T.StructField("author", _struct(name=STRING)),
-        T.StructField("published", STRING),
-        T.StructField("updated", STRING),
-        T.StructField("summary", STRING),
-        T.StructField("content", STRING),
-    ]))),
-])
+    )
+ATOM_ENTRY = _struct(
+        title=STRING, link=T.ArrayType(_struct(_href=STRING, _rel=STRING)), author=_struct(name=STRING), published=STRING,
+        updated=STRING, summary=STRING, content=STRING
+    )
 NEWS_HISTORY = _struct(
         Date=STRING, Article_title=STRING, Stock_symbol=STRING, Url=STRING, Publisher=STRING, Author=STRING
     )

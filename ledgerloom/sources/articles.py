@@ -33,10 +33,12 @@ def conform(rows: DataFrame) -> DataFrame:
     )
 
 
+PLACES = 31  # bits of an item's place in its file
+
+
 def arrival_number(position: Column) -> Column:
-    """When a row's file was landed (milliseconds), then its place in the file (up to a million)."""
-    landed = F.unix_millis(F.col("_metadata.file_modification_time"))
-    return (landed * (1 << 20) + F.least(position, F.lit((1 << 20) - 1))).cast("long")
+    """When a row's file was landed (seconds), then its place in the file, of which a text has fewer than 2^31."""
+    return F.shiftleft(F.unix_seconds(F.col("landed")), PLACES) + position
 
 
 def read_feeds(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
@@ -61,42 +63,89 @@ _TEXT_ITEM = T.StructType(
 )
 
 
+# a bare ampersand, or a name XML does not know, outside CDATA
+_LOOSE = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9A-Fa-f]+);)(?!(?:(?!<!\[CDATA\[)[\s\S])*\]\]>)"
+
+
+def _feed_pieces(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """(feed_url, landed, head, place, xml): the items of landed feed files as texts; a file is one row until they are taken apart.
+
+    An item that is not closed ends where the next one starts, or the file.
+    """
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("feed_url"), F.col("_metadata.file_modification_time").alias("landed"), "value"
+    )
+    head = F.regexp_extract("value", rf"(?s)^(.*?)(?:<{tag}[\s>]|\z)", 1)
+    items = F.regexp_extract_all("value", F.lit(rf"(?s)<{tag}(?=[\s>]).*?(?:</{tag}\s*>|(?=<{tag}[\s>])|\z)"), 0)
+    return files.withColumn("head", head).select("feed_url", "landed", "head", F.posexplode(items).alias("place", "xml"))
+
+
+def _parse_items(pieces: DataFrame, tag: str, schema: T.StructType) -> DataFrame:
+    """``pieces`` with ``item``, null if it cannot be parsed; items with loose ampersands are mended and tried again."""
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"rowTag": tag, "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+    good = lambda c: F.col(c).isNotNull() & F.col(c)["_corrupt"].isNull()
+    rows = pieces.withColumn("_one", F.from_xml("xml", marked, options))
+    mended = F.when(~good("_one"), F.regexp_replace("xml", _LOOSE, "&amp;"))
+    rows = rows.withColumn("_two", F.from_xml(mended, marked, options))
+    return rows.withColumn("item", F.when(good("_one"), F.col("_one")).when(good("_two"), F.col("_two"))).drop("_one", "_two")
+
+
+def _title(head: Column) -> Column:
+    """The feed's own title, from what stands before its items."""
+    raw = F.regexp_extract(head, r"(?s)<title[^>]*>\s*(.*?)\s*</title\s*>", 1)
+    plain = F.regexp_replace(raw, r"(?s)^<!\[CDATA\[(.*)\]\]>$", "$1")
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        plain = F.replace(plain, F.lit(name), F.lit(sign))
+    return F.when(plain != "", plain)
+
+
+def rss_items(spark: SparkSession, path: str) -> DataFrame:
+    """Every item of landed RSS 2.0 files, parsed or not (``item`` null, its text in ``xml``)."""
+    return _parse_items(_feed_pieces(spark, path, "item"), "item", schemas.RSS_ITEM)
+
+
+def atom_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Every entry of landed Atom files, parsed or not (``item`` null, its text in ``xml``)."""
+    return _parse_items(_feed_pieces(spark, path, "entry"), "entry", schemas.ATOM_ENTRY)
+
+
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
-    """Landed RSS 2.0 files as feed items; a file is one row until its items are taken apart."""
-    channels = _xml(spark, "channel", schemas.RSS_CHANNEL).load(path)
-    return channels.select("title", "_metadata", F.posexplode("item").alias("place", "i")).select(
-        F.trim("i.link").alias("link"),
-        F.col("i.title").alias("title"),
-        F.coalesce("i.creator", "i.author").alias("author"),
-        F.coalesce("i.pubDate", "i.date").alias("published"),
-        F.when(F.col("i.encoded").isNotNull(), F.array(F.struct(F.col("i.encoded").alias("value")))).alias("content"),
-        F.col("i.description").alias("summary"),
-        F.col("title").alias("feed_title"),
-        F.col("_metadata.file_path").alias("feed_url"),
+    """Landed RSS 2.0 files as feed items; a broken item costs itself alone and is in ``broken_items``."""
+    return rss_items(spark, path).filter("item IS NOT NULL").select(
+        F.trim("item.link").alias("link"),
+        F.col("item.title").alias("title"),
+        F.coalesce("item.creator", "item.author").alias("author"),
+        F.coalesce("item.pubDate", "item.date").alias("published"),
+        F.when(F.col("item.encoded").isNotNull(), F.array(F.struct(F.col("item.encoded").alias("value")))).alias("content"),
+        F.col("item.description").alias("summary"),
+        _title(F.col("head")).alias("feed_title"),
+        "feed_url",
         arrival_number(F.col("place")).alias("seq"),
     )
 
 
 def read_atom(spark: SparkSession, path: str) -> DataFrame:
-    """Landed Atom files as feed items; the link is the alternate one, or the first."""
-    feeds = _xml(spark, "feed", schemas.ATOM_FEED).load(path)
-    own = F.filter("e.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
-    link = F.coalesce(F.get(own, F.lit(0)), F.get("e.link", F.lit(0)))["_href"]
-    return feeds.select("title", "_metadata", F.posexplode("entry").alias("place", "e")).select(
+    """Landed Atom files as feed items; the link is the alternate one, or the first. Broken entries are in ``broken_items``."""
+    own = F.filter("item.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(F.get(own, F.lit(0)), F.get("item.link", F.lit(0)))["_href"]
+    return atom_entries(spark, path).filter("item IS NOT NULL").select(
         link.alias("link"),
-        F.col("e.title").alias("title"),
-        F.col("e.author.name").alias("author"),
-        F.coalesce("e.published", "e.updated").alias("published"),
-        F.when(F.col("e.content").isNotNull(), F.array(F.struct(F.col("e.content").alias("value")))).alias("content"),
-        F.col("e.summary").alias("summary"),
-        F.col("title").alias("feed_title"),
-        F.col("_metadata.file_path").alias("feed_url"),
+        F.col("item.title").alias("title"),
+        F.col("item.author.name").alias("author"),
+        F.coalesce("item.published", "item.updated").alias("published"),
+        F.when(F.col("item.content").isNotNull(), F.array(F.struct(F.col("item.content").alias("value")))).alias("content"),
+        F.col("item.summary").alias("summary"),
+        _title(F.col("head")).alias("feed_title"),
+        "feed_url",
         arrival_number(F.col("place")).alias("seq"),
     )
 
 
-def _xml(spark: SparkSession, row_tag: str, schema: T.StructType):
-    return spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).schema(schema)
+def broken_items(items: DataFrame) -> DataFrame:
+    """(feed_url, place, reason, xml) of the items or entries that could not be read."""
+    reason = F.when(F.col("xml").rlike(r"</(?:item|entry)\s*>$"), "broken markup").otherwise("not closed")
+    return items.filter("item IS NULL").select("feed_url", "place", reason.alias("reason"), "xml")
 
 
 def feed_articles(items: DataFrame) -> DataFrame:
@@ -130,7 +179,8 @@ def read_history(spark: SparkSession, path: str, file_format: str = "csv", multi
     reader = spark.read.schema(schemas.NEWS_HISTORY)
     if file_format == "csv":
         reader = reader.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    return reader.format(file_format).load(path)
+    # rows of a file in its order, files in the reader's
+    return reader.format(file_format).load(path).withColumn("seq", F.monotonically_increasing_id())
 
 
 def normalise_history(rows: DataFrame) -> DataFrame:

@@ -47,6 +47,20 @@ def bars_from_ticks(
     )
 
 
+def read_prices(spark: SparkSession, path: str) -> DataFrame:
+    """Landed price files, CSV with a header in a folder ``ticker=<name>`` for each ticker, as rows for ``daily_bars``.
+
+    A row whose day cannot be read is left out, as a day without data is.
+    """
+    rows = spark.read.schema(schemas.PRICE_BAR).option("header", True).csv(path)
+    return rows.filter(F.col("Date").try_cast("date").isNotNull())
+
+
+def read_symbols(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed symbol lists; every value is text. ``multi_line`` reads files that are one JSON array."""
+    return spark.read.schema(schemas.SYMBOL_MASTER).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+
+
 def read_watchlist(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Ticker list; bad JSON or a row without a ticker is fatal.
 

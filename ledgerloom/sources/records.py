@@ -10,6 +10,7 @@ from ledgerloom import schemas
 from ledgerloom.functions.dates import published_day
 from ledgerloom.functions.text import first_non_empty, or_null, unnest
 from ledgerloom.operators.dedup import last_value_per_key
+from ledgerloom.sources.braces import parse_objects, scan_objects
 
 HITS_PER_CALL = 20
 
@@ -41,9 +42,14 @@ def json_records(lines: DataFrame, schema: T.StructType, column: str = "value")
     return unnest(values, keep, F.from_json("_value", T.ArrayType(schema)), "_record").select(*keep, "_record.*")
 
 
-def read_profiles(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Landed profile files. ``whole_files`` when a value spans several lines."""
-    return json_records(spark.read.text(path, wholetext=whole_files), schemas.PROFILE)
+def read_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """Landed profile files in any JSON layout, in order of arrival (``seq``); what cannot be read is in ``broken_profiles``."""
+    return parse_objects(scan_objects(spark, path), schemas.PROFILE).filter("record IS NOT NULL").select("record.*", "seq")
+
+
+def broken_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """(seq, reason, value) of landed profiles that could not be read, or not wholly."""
+    return parse_objects(scan_objects(spark, path), schemas.PROFILE).filter("reason IS NOT NULL").select("seq", "reason", "value")
 
 
 def _hits(payloads: DataFrame, articles: Column, source: str, url: Column, image: Column, ok: Column, date: str):
@@ -92,6 +98,18 @@ def search_hits(keyword: str, *hits: DataFrame, shuffle_seed: int | None = None)
     return rows.orderBy(F.xxhash64("url", "title", "date", F.lit(shuffle_seed)), "url")
 
 
+def read_description_map(spark: SparkSession, path: str) -> DataFrame:
+    """Landed objects ``{key: text}`` as rows (key, text, seq), later ones last; a value that is no text is left out."""
+    objects = scan_objects(spark, path).select("seq", F.from_json("value", "map<string,string>").alias("m"))
+    return objects.select("seq", F.posexplode("m").alias("at", "key", "text")).select("key", "text", F.struct("seq", "at").alias("seq"))
+
+
+def read_description_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Landed objects with these fields, in any layout, as rows with ``seq``."""
+    objects = scan_objects(spark, path).select("seq", F.from_json("value", "map<string,string>").alias("m"))
+    return objects.select(*[F.try_element_at("m", F.lit(n)).alias(n) for n in names], F.struct("seq", F.lit(0).alias("at")).alias("seq"))
+
+
 def descriptions_from_map(rows: DataFrame, key: str, text: str, priority: int) -> DataFrame:
     """Source shape ``{key: text}``."""
     return rows.select(

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom import schemas
+from ledgerloom.functions.text import or_null
+from ledgerloom.operators.dedup import bounded_stream_dedup
 from ledgerloom.operators.news import resolve_links
 from ledgerloom.operators.store import BatchStore
 from ledgerloom.session import stage
@@ -50,8 +52,13 @@ def stream_ingest(
     warehouse: NewsWarehouse,
     checkpoint: str,
     max_files: int | None = None,
-) -> None:
-    """Ingest the files that arrived since the last run, then stop.
+    dedup_within: str | None = None,
+) -> dict[str, int]:
+    """Ingest the files that arrived since the last run, then stop; returns how many rows came, were repeats, and were late.
+
+    With ``dedup_within`` (an interval) the stream itself drops repeats of a url that arrive within it, before a batch is written:
+    its state is bounded by a watermark over the time of arrival, so no row is late. What the state has forgotten the
+    table still knows. Rows without a url are repeats only of rows equal to them.
 
     The checkpoint remembers the files and the stream's own id. A batch is named
     by that id and its number, so a replayed micro-batch replaces its own rows and
@@ -61,15 +68,26 @@ def stream_ingest(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     started: Future[str] = Future()  # the first batch may come before start() returns
+    rows = reader.parquet(landing)
+    if dedup_within:
+        own = F.concat(F.lit("?"), F.xxhash64(*schemas.ARTICLE_ROW.fieldNames()).cast("string"))
+        marked = rows.withColumn("_key", F.coalesce(or_null("url"), own)).withColumn("_at", F.current_timestamp())
+        rows = bounded_stream_dedup(marked, "_key", "_at", dedup_within).drop("_key", "_at")
     query = (
-        reader.parquet(landing)
-        .writeStream.foreachBatch(lambda rows, n: _ingest_batch(warehouse, rows, f"{started.result()}-{n}"))
+        rows.writeStream.foreachBatch(lambda rows, n: _ingest_batch(warehouse, rows, f"{started.result()}-{n}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     started.set_result(query.id)
     query.awaitTermination()
+    progress = query.recentProgress
+    states = [s for p in progress for s in p["stateOperators"]]
+    return {
+        "rows": sum(p["numInputRows"] for p in progress),
+        "repeats": sum(s["customMetrics"].get("numDroppedDuplicateRows", 0) for s in states),
+        "late": sum(s["numRowsDroppedByWatermark"] for s in states),
+    }
 
 
 def _ingest_batch(warehouse: NewsWarehouse, rows: DataFrame, name: str) -> None:

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -6,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import stem
 from ledgerloom.functions.text import STOPWORDS
-from ledgerloom.operators import entities, search, sentiment, summary
+from ledgerloom.operators import entities, search, sentiment, summary, textindex
 
 TEXTS = [
     "Steel and iron mills. Iron ore!", "iron bank of the north", "", None, "the and of", "Banking services, steel steel",
@@ -158,3 +160,107 @@ def test_describe_and_histogram(spark):
     assert (row["n"], row["min"], round(row["p50"], 9), row["max"]) == (4, 0, 0.5, 1)
     bins = {r["bin"]: r["n"] for r in summary.histogram(df, "label", "v", 0.0, 1.0, 20).collect()}
     assert bins == {1: 1, 2: 1, 20: 2}
+
+
+def plain_stem(w):
+    """Porter's rules word by word, with measures counted rather than matched."""
+    if len(w) < 3 or not re.fullmatch("[a-z]+", w):
+        return w
+
+    def consonant(s, i):
+        return s[i] not in "aeiou" and (s[i] != "y" or i == 0 or not consonant(s, i - 1))
+
+    def measure(s):
+        return sum(consonant(s, i) and not consonant(s, i - 1) for i in range(1, len(s)))
+
+    def vowel(s):
+        return any(not consonant(s, i) for i in range(len(s)))
+
+    def short(s):
+        n = len(s)
+        return n > 2 and consonant(s, n - 3) and not consonant(s, n - 2) and consonant(s, n - 1) and s[-1] not in "wxy"
+
+    def double(s):
+        return len(s) > 1 and s[-1] == s[-2] and s[-1] not in "aeiouy"
+
+    if w.endswith("sses") or w.endswith("ies"):
+        w = w[:-2]
+    elif w.endswith("s") and not w.endswith("ss"):
+        w = w[:-1]
+    if w.endswith("eed"):
+        w = w[:-1] if measure(w[:-3]) > 0 else w
+    else:
+        cut = next((w[: -len(e)] for e in ("ed", "ing") if w.endswith(e) and vowel(w[: -len(e)])), None)
+        if cut is not None:
+            w = cut
+            if w.endswith(("at", "bl", "iz")):
+                w += "e"
+            elif double(w) and w[-1] not in "lsz":
+                w = w[:-1]
+            elif measure(w) == 1 and short(w):
+                w += "e"
+    if w.endswith("y") and vowel(w[:-1]):
+        w = w[:-1] + "i"
+    for table in (stem.STEP_2, stem.STEP_3):
+        end = max((e for e in table if w.endswith(e)), key=len, default=None)
+        if end and measure(w[: -len(end)]) > 0:
+            w = w[: -len(end)] + table[end]
+    end = max((e for e in [*stem.STEP_4, "ion"] if w.endswith(e)), key=len, default=None)
+    if end and measure(w[: -len(end)]) > 1 and (end != "ion" or w[-4] in "st"):
+        w = w[: -len(end)]
+    if w.endswith("e") and (measure(w[:-1]) > 1 or measure(w[:-1]) == 1 and not short(w[:-1])):
+        w = w[:-1]
+    return w[:-1] if w.endswith("ll") and measure(w) > 1 else w
+
+
+def test_stems(spark):
+    words = "caresses ponies ties caress cats feed agreed plastered bled motoring sing conflated troubled sized hopping tanned falling hissing fizzed failing filing happy sky".split()
+    words += "relational conditional rational valenci digitizer conformabli radicalli differentli vileli analogousli vietnamization predication operator feudalism decisiveness".split()
+    words += "hopefulness callousness formaliti sensitiviti sensibiliti triplicate formative formalize electriciti electrical hopeful goodness revival allowance inference airliner".split()
+    words += "gyroscopic adjustable defensible irritant replacement adjustment dependent adoption homologou communism activate angulariti homologous effective bowdlerize probate rate cease controll roll".split()
+    words += "yes yelled syzygy toy crying by is a über don't work5 aaa eee licensing works bbbs ied ing sses".split()
+    rng = random.Random(2)
+    words += ["".join(rng.choice(["b", "t", "l", "s", "y", "a", "e", "i", "ing", "ed", "ation", "ness", "al", "ment", "ion", "e", "er"]) for _ in range(rng.randint(2, 6))) for _ in range(1500)]
+    rows = spark.createDataFrame([(w,) for w in set(words)], "word string")
+    wrong = [(r["word"], r["stem"], plain_stem(r["word"])) for r in stem.with_stem(rows, "word", "stem").collect() if r["stem"] != plain_stem(r["word"])]
+    assert not wrong
+    assert [plain_stem(w) for w in ("relational", "hopping", "adjustment", "licensing")] == ["relat", "hop", "adjust", "licens"]
+
+
+def test_stored_index(spark, path, monkeypatch):
+    monkeypatch.setattr(textindex, "SPAN", 4)
+    monkeypatch.setattr(textindex, "DOCS_PER_BUCKET", 2)
+    texts = {k: f"{'common ' * (k % 3 + 1)} w{k % 5} {'rare' if k in (3, 17) else ''}" for k in range(40)} | {-7: "common w3", 50: None, 51: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    index = textindex.TextIndex(spark, path)
+    for name, part in (("a", "doc_id < 20"), ("b", "doc_id >= 20 OR doc_id IS NULL")):
+        assert index.add(docs.filter(part), F.col("text"), name)
+        assert not index.add(docs, F.col("text"), name)
+
+    def check():
+        for words in (["common"], ["common", "W3"], ["rare", "w3", "the"], ["rare", "w2"], ["absent"], ["the"]):
+            wanted = {w.lower() for w in words} - {"the"}
+            want = {(k, sum(t.split().count(w) for w in wanted)) for k, t in texts.items() if t and wanted and all(w in t.split() for w in wanted)}
+            assert {(r["doc_id"], r["hits"]) for r in index.search(words).collect()} == want
+
+    check()
+    assert index.postings(["common"]).agg(F.max(F.size("offsets"))).first()[0] == 4
+    before = len(index.opened(["rare"]))
+    index.merge()
+    check()
+    assert before == 2 and len(index.opened(["rare"])) == 1
+    read = index.postings(["rare"]).inputFiles()
+    assert len(read) < len(spark.read.parquet(f"{path}/{index._segments()[0]['folder']}").inputFiles())
+    assert not index.add(docs, F.col("text"), "b")
+
+
+def test_matcher_passes_little_but_hits(spark):
+    aliases = entities.alias_table(spark.createDataFrame(
+        [("Acme", "A"), ("acme corp", "B"), ("The quick brown", "C"), ("The quick brown", "D"), (" ".join(f"w{k}" for k in range(70)), "L"), (None, "N")], "alias string, ticker string"
+    ), "alias", "ticker")
+    text = "the Acme Corp. and the quick red fox; the quick brown dog " + " ".join(f"w{k}" for k in range(71)) + " acme"
+    docs = spark.createDataFrame([(1, "", text), (2, "acme", ""), (3, "", None), (None, "x", "the quick")], "id long, title string, content string")
+    got = {(r["id"], r["ticker"]) for r in entities.mentions(docs, aliases).collect()}
+    assert got == {(1, t) for t in "ABCDL"} | {(2, "A")}
+    words = docs.select("id", F.filter(F.split(F.lower(F.concat_ws(" ", "title", "content")), "[^a-z0-9]+"), lambda w: w != "").alias("w"))
+    assert entities.Matcher(aliases).phrases(words, "id", "w").count() == 5

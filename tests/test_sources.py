@@ -6,7 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.sources import articles, market, records
+from ledgerloom.operators import companies
+from ledgerloom.operators.dedup import first_per_key
+from ledgerloom.operators.store import BatchStore
+from ledgerloom.plans.views import seed_exchanges
+from ledgerloom.sources import articles, braces, market, records
 
 
 def write(folder, name, text):
@@ -132,7 +136,51 @@ def test_concatenated_json(spark, path):
     assert [(r["symbol"], r["longName"], r["marketCap"]) for r in got] == [(str(i), tricky, i) for i in range(6)]
     pretty = path + "-pretty"
     write(pretty, "a.json", json.dumps(objects[:3], indent=4) + "\n" + json.dumps(objects[3], indent=4))
-    assert records.read_profiles(spark, pretty, whole_files=True).count() == 4
+    assert records.read_profiles(spark, pretty).count() == 4
+
+
+def test_objects_over_splits(spark, path):
+    """Every object of pretty-printed files comes back in order, however small the splits are."""
+    objects = [{"symbol": str(i), "longName": 'a "q" }{ \\ ' + "x" * (i % 40), "marketCap": i} for i in range(300)]
+    write(path, "a.json", json.dumps(objects, indent=2))
+    write(path, "b.json", "\n".join(json.dumps(o, indent=1) for o in objects[:100]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        rows = records.read_profiles(spark, path).orderBy("seq.file", "seq").collect()
+        assert braces.scan_objects(spark, path).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["symbol"] for r in rows] == [str(i) for i in range(300)] + [str(i) for i in range(100)]
+
+
+def test_broken_profiles_cost_only_themselves(spark, path):
+    good = [json.dumps({"symbol": str(i), "longName": "n"}, indent=1 if i % 2 else None) for i in range(8)]
+    text = ["}", good[0], '{"symbol": "open", "longName": ', good[1], good[2], '{"symbol": bad}', good[3], good[4], 'null "x"', good[5]]
+    text += ['{"symbol": "typed", "marketCap": "much"}', good[6], '{"symbol": "late"', good[7]]
+    for name, cut in (("a", "\n"), ("b", "\n\n")):
+        write(f"{path}/{name}", "p.json", cut.join(text))
+        for size in ("40b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = records.read_profiles(spark, f"{path}/{name}").orderBy("seq").collect()
+            assert [r["symbol"] for r in rows] == ["0", "1", "2", "3", "4", "5", "typed", "6", "7"]
+            bad = records.broken_profiles(spark, f"{path}/{name}").orderBy("seq").collect()
+            assert [r["reason"] for r in bad] == ["not a record"] * 4 + ["a value of the wrong type", "not a record"]
+            assert [r["value"].split(",")[0] for r in bad] == ["}", '{"symbol": "open"', '{"symbol": bad}', 'null "x"', '{"symbol": "typed"', '{"symbol": "late"']
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_companies_from_landed_profiles(spark, path):
+    profiles = [{"symbol": s, "exchange": e, "longName": n} for s, e, n in (("A", "NYQ", "first"), ("A", "NYQ", "again"), ("B", "LSE", "x"), (None, "NYQ", "y"), ("C", "NMS", "c"))]
+    write(f"{path}/in", "p.json", "".join(json.dumps(p, indent=1) for p in profiles))
+    rows = records.read_profiles(spark, f"{path}/in")
+    exchanges = seed_exchanges(spark)
+    store = BatchStore(spark, f"{path}/companies", schemas.COMPANIES.schema, ["ticker", "exchange_code"], id="id")
+    assert companies.append_companies(rows, exchanges, store, "0", dry_run=True) == 2
+    assert companies.append_companies(rows, exchanges, store, "0") == 2
+    assert companies.append_companies(rows, exchanges, store, "0") == 2
+    assert companies.append_companies(rows, exchanges, store, "1") == 0
+    assert sorted((r["id"], r["ticker"], r["name"]) for r in store.read().collect()) == [(1, "A", "first"), (2, "C", "c")]
+    assert companies.load_companies(rows, exchanges, store.read().limit(0)).count() == 2
 
 
 def test_search_payloads(spark):
@@ -225,3 +273,24 @@ def test_plain_feed_files(spark, path, read, text, want):
     rows = articles.feed_articles(read(spark, path)).collect()
     assert {r["url"]: (r["title"], r["author"], r["publisher"], r["content"]) for r in rows} == want
     assert all(r["published_at"] is not None and r["seq"] is not None for r in rows)
+
+
+def test_a_broken_item_costs_only_itself(spark, path):
+    """A bare ampersand and an unknown name are mended; crossed tags and an item without an end are named."""
+    item = "<item><title>{}</title><link>http://a/{}</link><description>{}</description></item>"
+    items = [item.format("A & B", 1, "x &nbsp; y &amp; z"), item.format("<b>crossed</i>", 2, "x"), item.format("Three", 3, "<![CDATA[<p>a & b</p>]]>"), "<item><title>open</title>", item.format("Five", 5, "fine"), "<item><title>cut"]
+    for part, text in (("rss", RSS.replace("</channel>", "".join(items) + "</channel>")), ("other", RSS)):
+        write(f"{path}/{part}", "f.xml", text)
+    rows = {r["link"]: r for r in articles.read_rss(spark, f"{path}/rss").collect()}
+    assert set(rows) == {"http://a/1", "http://a/2", "http://a/3", "http://a/5"} and rows["http://a/2"]["title"] == "Two"
+    bad = articles.broken_items(articles.rss_items(spark, f"{path}/rss")).orderBy("place").collect()
+    assert [(r["place"], r["reason"]) for r in bad] == [(3, "broken markup"), (5, "not closed"), (7, "broken markup")] or [(r["place"], r["reason"]) for r in bad] == [(3, "broken markup"), (5, "not closed"), (7, "not closed")]
+    assert rows["http://a/3"]["summary"] == "<p>a & b</p>"
+    assert articles.broken_items(articles.rss_items(spark, f"{path}/other")).count() == 0
+
+
+def test_history_keeps_its_order(spark, path):
+    lines = "Date,Article_title,Stock_symbol,Url,Publisher,Author\n" + "".join(f"2024-01-01,t{i},A,u{i % 3},p,a\n" for i in range(9))
+    write(path, "h.csv", lines)
+    rows = articles.historical_news(articles.read_history(spark, path))
+    assert {r["url"]: r["title"] for r in first_per_key(rows, ["url"], "seq").collect()} == {"u0": "t0", "u1": "t1", "u2": "t2"}
