@@ -104,8 +104,9 @@ class PieceEncoder:
             known[piece] = known[core] + known[tail] if tail else known[core]
         for pieces in held:
             yield b"".join(map(known.__getitem__, pieces))
-        for piece in [p for p in new | cores if len(p) > LONG]:
-            known.pop(piece, None)
+        if max(map(len, new), default=0) > LONG:
+            for piece in [p for p in new | cores if len(p) > LONG]:
+                known.pop(piece, None)
 
     def _holds_special(self, piece: str) -> bool:
         if not self._special:
