@@ -35,6 +35,8 @@ MAX_FRAME_IDS = 1 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 ENTRY = struct.Struct("<qBQQ")
+FILE_BYTES = 32 << 20
+START = 64  # characters of a text that ranges look at
 
 
 class TokenFileWriter:
@@ -117,25 +119,21 @@ class TokenFile:
         return b"".join(out)
 
 
-def write(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 1, docs_per_file: int = 8192, folder: str | None = None, special_as_text: bool = True) -> DataFrame:
+def write(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 1, file_bytes: int = FILE_BYTES, folder: str | None = None, special_as_text: bool = True) -> DataFrame:
     """Write token files to the shared folder; returns the staged list of files, in order of ids.
 
-    File bounds are quantiles of the ids alone. Each file is written by one task, from a sorted range. ``special_as_text`` is
-    explained in ``tokens``.
+    Documents are dealt by ranges of (id, start of the text), as many as texts of ``file_bytes`` bytes make; a range is one task and one
+    file, so rows with one id may fill several. ``special_as_text`` is explained in ``tokens``.
     """
     spark = docs.sparkSession
     shared.ship(spark)
     folder = folder or fresh_dir(spark, "tokens")
     shared.make_folder(folder)
     base = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    files = max(1, -(-base.select("id").count() // docs_per_file))
-    cuts: list[int] = []
-    if files > 1:
-        share = [k / files for k in range(1, files)]
-        cuts = sorted(set(base.select(F.percentile_approx("id", share, 20 * files).alias("cuts")).first()["cuts"] or []))
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    spot = F.when(F.col("id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda c: c <= F.col("id"))))
-    dealt = base.withColumn("file", spot.cast("int")).repartition(files, "file").sortWithinPartitions("file", "id", "text")
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(1, -(-size // file_bytes))
+    ranged = base.withColumn("start", F.substring("text", 1, START)).repartitionByRange(files, "id", "start")
+    dealt = ranged.sortWithinPartitions("id", "text").withColumn("file", F.spark_partition_id())
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = shared.place(folder)

@@ -97,11 +97,11 @@ def near(rows, width=4, percent=85):
     return [(i, len(sets[k]), least[root(k)]) for k, (i, _) in enumerate(rows)]
 
 
-def word_ids(rows, path, end):
+def word_ids(rows, path, end, special_as_text=False):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    library.encode_special_tokens = special_as_text
     return [(i, np.asarray([*library.encode(t or "", add_special_tokens=False).ids, end], "<u4").tobytes()) for i, t in rows]
 
 

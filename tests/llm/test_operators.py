@@ -109,7 +109,7 @@ def test_bpe(spark, docs, rows):
 
 
 def test_token_files(spark, docs, rows):
-    files = frames.write(docs, WORD_BPE, docs_per_file=7)
+    files = frames.write(docs, WORD_BPE, file_bytes=4000, special_as_text=False)
     assert files.count() > 2
     same(frames.read(files).collect(), brute.token_files(rows, WORD_BPE))
     assert frames.read(frames.write(empty(spark), WORD_BPE)).count() == 0
@@ -119,7 +119,7 @@ def test_token_files(spark, docs, rows):
 
 
 def test_token_file_reads_only_the_frames_of_a_document(spark, docs, rows):
-    listed = frames.write(docs, WORD_BPE).first()
+    listed = frames.write(docs, WORD_BPE, special_as_text=False).first()
     system, path = shared.place(listed["path"])
     want = dict(brute.word_ids(rows, WORD_BPE, 1))
     with system.open_input_file(path) as source:
@@ -156,7 +156,7 @@ def test_special_tokens_as_in_the_library(spark, path):
 
 
 def test_packing(spark, docs, rows):
-    pieces = [r.asDict() for r in packing.pack(docs.repartition(3), WORD_BPE, block=5000).collect()]
+    pieces = [r.asDict() for r in packing.pack(docs.repartition(3), WORD_BPE, block=5000, special_as_text=False).collect()]
     assert brute.check_packing(pieces, rows, WORD_BPE) == 0
     assert all(len(p["ids"]) == 4 * p["length"] for p in pieces)
     assert packing.pack(empty(spark), WORD_BPE).count() == 0

@@ -6,6 +6,7 @@ import random
 import sys
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -157,6 +158,8 @@ def test_find(spark):
 
 
 def test_registered(spark):
+    """Every registered query over the smallest tables, but for those held against SQL."""
+    pages = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "html").collect()]
     table = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     docs = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     same(QUERIES["op11_vector_duplicates"](spark, FOLDER).collect(), brute.near_vectors(table))
@@ -164,3 +167,17 @@ def test_registered(spark):
     digest = hashlib.sha256(",".join(str(x) for part in books for entry in part for x in entry).encode()).hexdigest()
     same(QUERIES["op13_vector_codes"](spark, FOLDER).collect(), [(*r, digest) for r in want])
     same(QUERIES["op12_periodic_runs"](spark, FOLDER).collect(), brute.periodic(docs))
+    same([r[:5] for r in QUERIES["op1_warc"](spark, FOLDER).collect()], brute.pages(pages))
+    same(QUERIES["op2_top_k"](spark, FOLDER).select("query_id", "rank", "vec_id", "score").collect(), brute.top([r[:2] for r in table]))
+    same(QUERIES["op3_byte_bpe"](spark, FOLDER).collect(), brute.bpe(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    same(QUERIES["op6_jaccard_join"](spark, FOLDER).collect(), brute.near(docs))
+    words = public_tokenizers.path("word_bpe_49k.json")
+    same(QUERIES["op7_token_files"](spark, FOLDER).collect(), brute.token_files(docs, words))
+    assert brute.check_packing([r.asDict() for r in QUERIES["op8_packing"](spark, FOLDER).collect()], docs, words) == 0
+    private = {r.doc_id: r for r in QUERIES["op9_personal_data"](spark, FOLDER).collect()}
+    for i, t in docs:
+        spans = brute.personal(t)
+        assert [private[i][f"n_{k}"] for k in brute.KINDS] == [sum(s[0] == k for s in spans) for k in brute.KINDS]
+        assert private[i].base_sha256 == brute.sha(brute.spans_text(spans))
+        assert {f"{k}:{a}:{b}" for k, a, b in spans} <= set(private[i].spans.split(","))
+    same(QUERIES["op10_repeats"](spark, FOLDER).collect(), brute.repeats(docs))
