@@ -57,8 +57,8 @@ def opened(batch: DataFrame, keys: list[str], root: str, entries: list[dict]) ->
     """The bucket folders that may hold one of ``batch``'s keys, by the filters alone."""
     spark = batch.sparkSession
     filters = spark.read.schema(_FILTERS).parquet(*[f"{root}/{e['folder']}/filters" for e in entries])
-    listed = spark.createDataFrame([(e["folder"], e["buckets"]) for e in entries], "folder string, buckets int")
-    placed = batch.select(*keys).crossJoin(F.broadcast(listed)).withColumn("bucket", _bucket(keys, F.col("buckets")))
+    listed = F.array(*[F.struct(F.lit(e["folder"]).alias("folder"), F.lit(e["buckets"]).alias("buckets")) for e in entries])
+    placed = batch.select(*keys, F.explode(listed).alias("e")).select(*keys, "e.folder", _bucket(keys, F.col("e.buckets")).alias("bucket"))
     maybe = reduce(lambda x, y: x & y, [_bit(F.get("bits", w), b) for w, b in _bits(keys, F.col("words"))])
     found = placed.join(filters, ["folder", "bucket"]).filter(maybe).select("folder", "bucket").distinct().collect()
     return [f"{root}/{r['folder']}/rows/bucket={r['bucket']}" for r in sorted(found)]
