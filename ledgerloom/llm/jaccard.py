@@ -46,15 +46,6 @@ LANES = 16
 NONE = -(1 << 63)  # the number of documents without one
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_WORDS = _Words()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -64,10 +55,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes."""
     words = (text or "").encode().lower().split()  # bytes: lower() maps A-Z alone, split() knows the six blanks alone
-    if len(_WORDS) > 250_000:
-        _WORDS.clear()
     n = len(words)
-    known = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    known = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)  # faster than looking known words up
     factors = _mixed(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
     if n < width:
         whole = (known * factors[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n)
