@@ -51,6 +51,11 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _kind(square: float) -> type:
+    """How components of rows whose squares sum to at most ``square`` are stored: two bytes, or doubles."""
+    return np.int16 if square < 2.0**30 else np.float64
+
+
 def _pivots(sample: np.ndarray, square: float, count: int) -> np.ndarray:
     """Rows of ``sample`` with their last component, each the farthest from those chosen before."""
     rows = np.hstack([sample, np.sqrt(np.maximum(0, square - (sample**2).sum(1)))[:, None]])
@@ -84,7 +89,7 @@ def _keyer(width: int, square: float, pivots: np.ndarray, query: bool):
     return run
 
 
-def _rings(width: int, most: int, query: bool):
+def _rings(width: int, most: int, query: bool, square: float):
     """Runs of rows of one pivot, at most ``most``, as one row each; rows come sorted by pivot, distance and id."""
     from pyspark import TaskContext
 
@@ -106,7 +111,7 @@ def _rings(width: int, most: int, query: bool):
                     yield pa.RecordBatch.from_pydict(
                         {
                             "number": [number], "pivot": [int(pivot[at])], "n": [len(part)], "low": [far.min()], "high": [far.max()],
-                            "ids": [part.column("id").to_numpy().astype("<i8").tobytes()], "vectors": [x.tobytes()],
+                            "ids": [part.column("id").to_numpy().astype("<i8").tobytes()], "vectors": [x.astype(_kind(square)).tobytes()],
                             "nearest": [all_far.min(0).tolist()], "farthest": [all_far.max(0).tolist()], "norm": [float((x**2).sum(1).max())],
                         },
                         RINGS,
@@ -173,6 +178,7 @@ def _searcher(width: int, square: float, k: int, floors_only: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, best, q, far = None, None, None, None
+        kind = _kind(square)
 
         def done() -> pa.RecordBatch:
             if floors_only:
@@ -189,7 +195,7 @@ def _searcher(width: int, square: float, k: int, floors_only: bool):
                     if best is not None:
                         yield done()
                     current = row["block"].as_py()
-                    q = np.frombuffer(row["query_vectors"].as_buffer(), np.float64).reshape(-1, width)
+                    q = np.frombuffer(row["query_vectors"].as_buffer(), kind).reshape(-1, width).astype(np.float64)
                     best = _Best(np.frombuffer(row["query_ids"].as_buffer(), "<i8"), k)
                     known = row["floors"].as_py() if "floors" in row else None
                     if known:
@@ -201,7 +207,7 @@ def _searcher(width: int, square: float, k: int, floors_only: bool):
                 open_ = np.flatnonzero(bound * (1 + np.sign(bound) * SLACK) + SLACK * (square + 1) >= best.floor)
                 if len(open_):
                     ids = np.frombuffer(row["ids"].as_buffer(), "<i8")
-                    x = np.frombuffer(row["vectors"].as_buffer(), np.float64).reshape(-1, width)
+                    x = np.frombuffer(row["vectors"].as_buffer(), kind).reshape(-1, width).astype(np.float64)
                     best.add(open_, ids, _scores(q[open_], x, square))
         if best is not None:
             yield done()
@@ -234,7 +240,7 @@ def top_k(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int
     def sorted_rings(source: DataFrame, most: int, query: bool, name: str) -> DataFrame:
         keyed = stage(source.mapInArrow(_keyer(width, square, points, query), KEYED), f"{name}-keys")
         spread = keyed.repartitionByRange(parts, "pivot", "distance", "id").sortWithinPartitions("pivot", "distance", "id")
-        return stage(spread.mapInArrow(_rings(width, most, query), RING_TYPES), name)
+        return stage(spread.mapInArrow(_rings(width, most, query, square), RING_TYPES), name)
 
     rings = sorted_rings(base, RING, False, "pivot-rings")
     queries = base.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("vector").alias("vector"))
