@@ -341,8 +341,17 @@ class _Join:
                 break
             tried = pairs if tried is None else tried.unionByName(pairs)
             self._link(self.links(stage(self._expanded(pairs, turn), "jaccard-expanded")))
-        pairs, dense, blocks = self._blocks(self._open())
-        self._link(self.links(pairs).unionByName(self._dense(dense, blocks)))
+        now = self._open()
+        pairs, dense, blocks = self._blocks(now)
+        # many lists may hold one dense group: the largest one of each of its members goes first, and mostly leaves nothing to the others
+        several = dense.select("token").distinct()
+        largest = now.join(several, "token").groupBy("group").agg(F.max(F.struct("size", "token")).alias("list"))
+        chosen = stage(largest.select("list.token").distinct(), "jaccard-chosen")
+        self._link(self.links(pairs).unionByName(self._dense(dense.join(chosen, "token", "left_semi"), blocks)))
+        rest = stage(several.join(chosen, "token", "left_anti"), "jaccard-others")
+        if not rest.isEmpty():
+            pairs, dense, blocks = self._blocks(self._open().join(rest, "token", "left_semi"))
+            self._link(self.links(pairs).unionByName(self._dense(dense, blocks)))
         return self.labels
 
     def _listed(self, small: DataFrame) -> DataFrame:
