@@ -264,3 +264,20 @@ def test_matcher_passes_little_but_hits(spark):
     assert got == {(1, t) for t in "ABCDL"} | {(2, "A")}
     words = docs.select("id", F.filter(F.split(F.lower(F.concat_ws(" ", "title", "content")), "[^a-z0-9]+"), lambda w: w != "").alias("w"))
     assert entities.Matcher(aliases).phrases(words, "id", "w").count() == 5
+
+
+def test_tickers_of_texts_shuffle_no_pairs(spark, monkeypatch):
+    """The tree of a small alias table finds what the tables of a large one find, and a list per article is all that is shuffled."""
+    names = [("the", f"T{k}") for k in range(40)] + [("a b c", "A"), ("b", "B"), ("b c", "C"), ("c d", "D"), ("été b", "E"), ("d d d", "F")]
+    aliases = entities.alias_table(spark.createDataFrame(names, "alias string, ticker string"), "alias", "ticker")
+    rows = [(1, "x", "a b c d"), (2, "The", "b"), (3, None, None), (4, "", ""), (5, "d d", "D d, Été-B"), (6, "c", "a b"), (7, "a b", "c"), (7, None, "the")]
+    docs = spark.createDataFrame(rows, "id long, title string, content string").repartition(2)
+    found = entities.tickers_of_texts(docs, aliases)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    got = {r["id"]: r["mentioned_tickers"] for r in found.collect()}
+    assert got[1] == ["A", "B", "C", "D"] and got[3] == got[4] == [] and got[5] == ["B", "E", "F"] and got[6] == ["B"] and len(got[7]) == 43
+    pairs = {(r["id"], r["ticker"]) for r in entities.mentions(docs, aliases).collect()}
+    monkeypatch.setattr(entities, "BROADCAST_ROWS", 0)
+    assert {(r["id"], r["ticker"]) for r in entities.mentions(docs, aliases).collect()} == pairs == {(k, x) for k, v in got.items() for x in v}
+    assert {r["id"]: r["mentioned_tickers"] for r in entities.tickers_of_texts(docs, aliases).collect()} == got
