@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 MOST_BUCKETS = 1024
 BUCKET_ROWS = 50_000
 PROBES = 5
 KEYS_PER_WORD = 5  # a filter has a 64-bit word for every so many keys, some 13 bits a key
+FULL = 1000  # keys of a batch for each bucket from which nearly every bucket is opened, so that no filter is asked
 _FILTERS = "folder string, bucket int, words int, bits array<long>"
 
 
@@ -21,10 +25,32 @@ def _bucket(keys: list[str], buckets: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), buckets).cast("int")
 
 
+def _cells(keys: list[str], words: Column) -> list[Column]:
+    """The bits of a key in a filter of so many words."""
+    return [F.pmod(F.xxhash64(*keys, F.lit(k)), words * 64) for k in range(1, PROBES + 1)]
+
+
 def _bits(keys: list[str], words: Column) -> list[tuple[Column, Column]]:
     """(word, bit) of every probe of a key in a filter of so many words."""
-    cells = [F.pmod(F.xxhash64(*keys, F.lit(k)), words * 64) for k in range(1, PROBES + 1)]
-    return [((c / 64).cast("int"), c.bitwiseAND(63).cast("int")) for c in cells]
+    return [((c / 64).cast("int"), c.bitwiseAND(63).cast("int")) for c in _cells(keys, words)]
+
+
+def _filters(words: int):
+    """(bucket, bits): the filter of what a task holds of each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            cells = np.stack([c.to_numpy() for c in batch.columns[1:]], 1)
+            for b in np.unique(bucket):
+                mine = cells[bucket == b].ravel()
+                bits = held.setdefault(int(b), np.zeros(words, np.uint64))
+                np.bitwise_or.at(bits, mine >> 6, np.uint64(1) << (mine & 63).astype(np.uint64))
+        for b, bits in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([bits.view(np.int64)], pa.list_(pa.int64()))], names=["bucket", "bits"])
+
+    return run
 
 
 def write_index(rows: DataFrame, keys: list[str], count: int, root: str, folder: str) -> dict:
@@ -34,15 +60,14 @@ def write_index(rows: DataFrame, keys: list[str], count: int, root: str, folder:
     placed.repartition(buckets, "bucket").write.partitionBy("bucket").parquet(f"{root}/{folder}/rows")
     # a hash fills buckets evenly, so one filter size does for all; a fuller bucket only says "maybe" more often
     words = -(-count // (buckets * KEYS_PER_WORD)) + 1
-    probes = F.array(*[F.struct(w.alias("word"), b.alias("bit")) for w, b in _bits(keys, F.lit(words))])
-    bits = placed.select("bucket", F.explode(probes).alias("p")).select("bucket", "p.word", F.expr("shiftleft(1L, p.bit)").alias("bits"))
-    zeros = rows.sparkSession.range(buckets * words).select(
-        F.expr(f"cast(id div {words} AS int)").alias("bucket"), F.expr(f"cast(id % {words} AS int)").alias("word"), F.lit(0).cast("long").alias("bits")
-    )
-    cells = bits.unionByName(zeros).groupBy("bucket", "word").agg(F.bit_or("bits").alias("bits"))
-    # a bucket's words: BUCKET_ROWS / KEYS_PER_WORD of them, more only past MOST_BUCKETS buckets
-    dense = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"])
-    filters = cells.groupBy("bucket").agg(dense.alias("bits")).select(F.lit(folder).alias("folder"), "bucket", F.lit(words).alias("words"), "bits")
+    # the filters are made of what was written, where a bucket is a file, so a bucket has one part, or a few
+    fields = T.StructType([*rows.schema.fields, T.StructField("bucket", T.IntegerType())])
+    written = rows.sparkSession.read.schema(fields).parquet(f"{root}/{folder}/rows")
+    cells = [c.alias(f"_cell{k}") for k, c in enumerate(_cells(keys, F.lit(words).cast("long")))]
+    parts = written.select("bucket", *cells).mapInArrow(_filters(words), "bucket int, bits array<long>")
+    either = F.aggregate("all", F.get("all", F.lit(0)), lambda x, y: F.zip_with(x, y, lambda a, b: a.bitwiseOR(b)))
+    dense = parts.groupBy("bucket").agg(F.collect_list("bits").alias("all")).withColumn("bits", F.when(F.size("all") == 1, F.get("all", F.lit(0))).otherwise(either))
+    filters = dense.select(F.lit(folder).alias("folder"), "bucket", F.lit(words).alias("words"), "bits")
     filters.coalesce(1).write.parquet(f"{root}/{folder}/filters")
     return {"folder": folder, "buckets": buckets, "rows": count}
 
@@ -68,10 +93,20 @@ def _bit(word: Column, bit: Column) -> Column:
     return F.call_function("shiftrightunsigned", word, bit).bitwiseAND(1) == 1
 
 
+def candidates(batch: DataFrame, keys: list[str], schema: T.StructType, root: str, entries: list[dict]) -> DataFrame | None:
+    """Index rows that may have ``batch``'s keys: of the buckets whose filter may hold one, or all if the batch fills them; None for none."""
+    spark = batch.sparkSession
+    if not entries:
+        return None
+    if batch.count() >= FULL * sum(e["buckets"] for e in entries):
+        return read_index(spark, schema, root, entries)
+    folders = opened(batch, keys, root, entries)
+    return spark.read.schema(schema).parquet(*folders) if folders else None
+
+
 def lookup(batch: DataFrame, keys: list[str], schema: T.StructType, root: str, entries: list[dict]) -> DataFrame:
     """Index rows of ``batch``'s keys; only buckets whose filter may hold one are read."""
-    spark = batch.sparkSession
-    folders = opened(batch, keys, root, entries) if entries else []
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders).join(batch.select(*keys), keys, "left_semi")
+    found = candidates(batch, keys, schema, root, entries)
+    if found is None:
+        return batch.sparkSession.createDataFrame([], schema)
+    return found.join(batch.select(*keys), keys, "left_semi")

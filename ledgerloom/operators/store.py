@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.commits import CommitLog
 from ledgerloom.operators.dedup import arrival, first_per_key
-from ledgerloom.operators.keyindex import lookup, read_index, write_index
+from ledgerloom.operators.keyindex import candidates, lookup, read_index, write_index
 from ledgerloom.operators.numbering import dense_numbers
 from ledgerloom.session import remove, stage
 
 INDEXES = 16  # folders of the key index before they are merged into one
+ROW = "_row"  # names a row of a batch
 BATCH = T.StructField("batch_id", T.StringType())
 
 
@@ -59,11 +60,9 @@ class BatchStore:
     def _lookup(self, batch: DataFrame, state: dict) -> DataFrame:
         return lookup(batch, self.keys, self._index, f"{self.path}/index", state.get("index", []))
 
-    def _write(self, rows: DataFrame, batch_id: str, state: dict, *order: str) -> dict:
+    def _write(self, rows: DataFrame, batch_id: str) -> dict:
         """Write a batch and its index; returns its entry in the commit."""
         folder = uuid.uuid4().hex
-        if self.id:
-            rows = dense_numbers(rows, self.id, *order, first=state["next_id"])
         named = rows.select(*([self.id] if self.id else []), *self.columns, F.lit(batch_id).alias("batch_id"))
         named.write.parquet(f"{self.path}/data/{folder}")
         # counted from the file footers of what was really written
@@ -83,30 +82,44 @@ class BatchStore:
         """Insert the rows whose key is new and return how many there were.
 
         Of rows with the same key the one that arrived first (``seq``, rows without one last, then a hash of the row) is the one
-        that counts. The input is evaluated once, when it is written with a number for each row; only keys are grouped and looked
-        up in the key index, and the numbers of the winners, unique by construction, pick their rows.
+        that counts. Only keys are grouped, looked up in the key index and numbered; the winners, unique by construction, pick
+        their rows. The input is evaluated once, when it is written with a number for each row. Rows with a ``ROW`` column, a
+        name for each row, are stored already and are read where they are; of a table of keys alone only the keys are written.
         """
         done = self.batches().get(batch_id)
         if done is not None and not dry_run:
             return done
         names = list(dict.fromkeys([*self.columns, *([seq] if seq else [])]))
-        rows = stage(rows.select(*names).withColumn("_row", F.monotonically_increasing_id()), "insert")
-        order = F.struct(arrival(names, seq).alias("arrival"), F.col("_row"))
-        first = rows.groupBy(*self.keys).agg(F.min(order).alias("_first")).select(*self.keys, "_first._row")
+        bare = not self.id and set(names) <= set(self.keys)
+        if bare:
+            first = rows.select(*self.keys).distinct()
+        else:
+            if ROW not in rows.columns:
+                rows = stage(rows.select(*names).withColumn(ROW, F.monotonically_increasing_id()), "insert")
+            rows = rows.select(*names, ROW)
+            order = F.struct(arrival(names, seq).alias("arrival"), F.col(ROW))
+            late = [F.col("_first.arrival.missing").alias("_late"), F.col("_first.arrival.seq").alias("_seq")] if seq else []
+            first = rows.groupBy(*self.keys).agg(F.min(order).alias("_first")).select(*self.keys, f"_first.{ROW}", *late)
         first = stage(first, "insert-keys")
         while True:
             version, state = self._log.read()
             done = {b["name"]: b["rows"] for b in state["batches"]}.get(batch_id)
             if done is not None and not dry_run:
                 return done  # another writer of the same batch
-            winners = first.join(self._lookup(first, state), self.keys, "left_anti").select("_row")
-            fresh = rows.join(winners, "_row", "left_semi")
+            known = candidates(first, self.keys, self._index, f"{self.path}/index", state.get("index", []))
+            winners = first if known is None else first.join(known.select(*self.keys), self.keys, "left_anti")
             if dry_run:
-                return fresh.count()
-            late = fresh.withColumn("_late", F.col(seq).isNull()) if seq else fresh
-            entry = self._write(late, batch_id, state, *(["_late", seq] if seq else []), "_row")
-            index = state.get("index", []) + ([entry.pop("index")] if entry["rows"] else [])
-            entry.pop("index", None)
+                return winners.count()
+            if self.id:
+                winners = dense_numbers(winners.drop(*self.keys), self.id, *(["_late", "_seq"] if seq else []), ROW, first=state["next_id"])
+            elif known is not None:
+                winners = stage(winners, "insert-new")
+            entry = {"name": batch_id, "folder": uuid.uuid4().hex, "rows": 0, "index": None}
+            if not winners.isEmpty():
+                fresh = winners if bare else rows.join(winners.select(ROW, *([self.id] if self.id else [])), ROW)
+                entry = self._write(fresh, batch_id)
+            index = state.get("index", []) + ([entry["index"]] if entry["rows"] else [])
+            entry.pop("index")
             if self._commit(version, state, [*state["batches"], entry], index, entry["rows"]):
                 return entry["rows"]
             self._drop(entry["folder"])
@@ -120,7 +133,8 @@ class BatchStore:
         rows = stage(first_per_key(rows.select(*self.columns), self.keys, None), "load")
         while True:
             version, state = self._log.read()
-            entry = self._write(rows, batch_id, state, *self.keys)
+            named = dense_numbers(rows, self.id, *self.keys, first=state["next_id"]) if self.id else rows
+            entry = self._write(named, batch_id)
             index = entry.pop("index")
             if self._commit(version, state, [entry], [index] if index else [], entry["rows"]):
                 return

@@ -11,7 +11,7 @@ from ledgerloom import schemas
 from ledgerloom.functions.text import or_null
 from ledgerloom.operators.dedup import bounded_stream_dedup
 from ledgerloom.operators.news import resolve_links
-from ledgerloom.operators.store import BatchStore
+from ledgerloom.operators.store import ROW, BatchStore
 from ledgerloom.session import stage
 from ledgerloom.sources.articles import quarantine
 
@@ -33,12 +33,14 @@ class NewsWarehouse:
     def ingest(self, rows: DataFrame, batch_id: str) -> int:
         """Store the new articles and links of one batch.
 
-        A repeated batch id adds nothing, whichever table a failure came before. The batch is written once and read for each
-        table; numbers of articles that were stored before are looked up by the batch's own urls.
+        A repeated batch id adds nothing, whichever table a failure came before. The batch is written once with a number for each
+        row and read for each table; one whose rows have names (``ROW``) is stored already, and is read where it is. Numbers of
+        articles that were stored before are looked up by the batch's own urls.
         """
-        rows = stage(rows, "batch")
+        if ROW not in rows.columns:
+            rows = stage(rows.withColumn(ROW, F.monotonically_increasing_id()), "batch")
         good, bad = quarantine(rows)
-        bad.write.mode("overwrite").parquet(f"{self.path}/quarantine/batch_id={batch_id}")
+        bad.drop(ROW).write.mode("overwrite").parquet(f"{self.path}/quarantine/batch_id={batch_id}")
         stamped = good.withColumn("fetched_at", F.current_timestamp().cast("timestamp_ntz"))
         inserted = self.articles.insert(stamped, batch_id, seq="seq")
         linked = good.filter(F.size("mentioned_tickers") > 0)
@@ -68,7 +70,9 @@ def stream_ingest(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     started: Future[str] = Future()  # the first batch may come before start() returns
-    rows = reader.parquet(landing)
+    # a landed file stays, so its rows are read again by their places instead of written
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    rows = reader.parquet(landing) if dedup_within else reader.parquet(landing).withColumn(ROW, place)
     if dedup_within:
         own = F.concat(F.lit("?"), F.xxhash64(*schemas.ARTICLE_ROW.fieldNames()).cast("string"))
         marked = rows.withColumn("_key", F.coalesce(or_null("url"), own)).withColumn("_at", F.current_timestamp())

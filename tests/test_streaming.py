@@ -105,3 +105,45 @@ def test_two_streams_and_a_new_checkpoint_lose_and_repeat_nothing(spark, path):
     stream_ingest(spark, one, w, fresh_dir(spark, "offsets"))
     assert state(w) == WANT
     assert w.articles.read().groupBy("url").count().filter("count > 1").isEmpty()
+
+
+def test_landed_rows_are_not_written_twice(spark, path):
+    """A stream's rows are read where they landed: nothing but keys and new rows is written, and copies of a file count once."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from ledgerloom.session import scratch_root
+    from ledgerloom.sources import articles
+
+    def staged():
+        return {f for f in os.listdir(scratch_root(spark).removeprefix("file:")) if f.startswith(("batch-", "insert-")) and not f.startswith(("insert-keys", "insert-new"))}
+
+    rows = articles.conform(spark.range(40).select(
+        F.concat(F.lit("u"), (F.col("id") % 30).cast("string")).alias("url"), F.col("id").cast("string").alias("title"), F.lit("text").alias("content"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("published_at"), F.array(F.lit("A")).alias("mentioned_tickers"), F.col("id").alias("seq"),
+    ))
+    warehouse = NewsWarehouse(spark, f"{path}/news")
+    before = staged()
+    for _ in range(2):
+        rows.repartition(3).write.mode("append").parquet(f"{path}/landing")
+        stream_ingest(spark, f"{path}/landing", warehouse, f"{path}/offsets")
+    assert staged() == before
+    got = sorted((r["id"], r["url"], r["title"]) for r in warehouse.articles.read().collect())
+    assert got == [(k + 1, f"u{k}", str(k)) for k in range(30)]
+    assert warehouse.links.read().count() == 30
+
+
+def test_a_batch_that_fills_the_buckets_asks_no_filter(spark, path, monkeypatch):
+    from pyspark.sql import types as T
+
+    from ledgerloom.operators import keyindex
+    from ledgerloom.operators.store import BatchStore
+
+    store = BatchStore(spark, f"{path}/links", T.StructType.fromDDL("a long, b string"), ["a", "b"])
+    pairs = lambda lo, hi: spark.range(lo, hi).selectExpr("id AS a", "cast(id % 7 AS string) AS b")
+    assert store.insert(pairs(0, 3000).unionByName(pairs(0, 10)), "first") == 3000
+    assert store.known(pairs(2995, 3005)).count() == 5  # by the filters
+    monkeypatch.setattr(keyindex, "opened", lambda *a: 1 / 0)
+    assert store.insert(pairs(1000, 5000), "second") == 2000
+    assert store.read().distinct().count() == store.read().count() == 5000
