@@ -1,10 +1,13 @@
-"""Text expressions; all of them stay inside the JVM."""
+"""Text expressions inside the JVM; only words are counted in Arrow."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The English stop words the classifier and the search drop.
 STOPWORDS = """
@@ -128,38 +131,30 @@ def match_count(col: Column | str, query: str, regex: bool = False) -> Column:
     return F.regexp_count(F.coalesce(_c(col), F.lit("")), F.lit(search_pattern(query, regex)))
 
 
-def with_term_counts(df: DataFrame, tokens: Column, out: str = "terms") -> DataFrame:
-    """Add ``array<struct<term, tf>>`` counted inside each row.
+def with_term_counts(df: DataFrame, tokens: Column, out: str = "terms", without: str | None = None) -> DataFrame:
+    """Add ``array<struct<term, tf>>`` counted inside each row, in the order of the terms' first use in their batch.
 
-    Equal words are neighbours in the sorted array, so a run's length is the
-    distance to the next run. No (document, term) pair is ever shuffled.
-    Unnest the result with ``unnest``.
+    Words are numbered by a batch of rows and counted as numbers. No (document, term) pair is ever shuffled.
+    The text, named by ``without``, is left behind. Unnest the result with ``unnest``.
     """
-    words = df.withColumn("_words", F.sort_array(tokens))
-    starts = words.withColumn(
-        "_starts",
-        F.filter(
-            F.transform(
-                "_words",
-                lambda w, i: F.when(
-                    (i == 0) | (F.get(F.col("_words"), i - 1) != w), F.struct(w.alias("term"), i.alias("at"))
-                ),
-            ),
-            lambda s: s.isNotNull(),
-        ),
-    )
-    return starts.withColumn(
-        out,
-        F.transform(
-            "_starts",
-            lambda s, j: F.struct(
-                s["term"].alias("term"),
-                (
-                    F.coalesce(F.get(F.col("_starts"), j + 1)["at"], F.size("_words")) - s["at"]
-                ).alias("tf"),
-            ),
-        ),
-    ).drop("_words", "_starts")
+    words = df.withColumn(out, tokens).drop(*([without] if without else []))
+    counted = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]))
+    return words.mapInArrow(_count_words, T.StructType([*words.schema.fields[:-1], T.StructField(out, counted)]))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = batch.column(batch.num_columns - 1)
+        offsets = words.offsets.to_numpy().astype(np.int64)
+        coded = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        size = max(len(coded.dictionary), 1)
+        row = np.repeat(np.arange(len(words), dtype=np.int64) * size, np.diff(offsets))
+        pairs, tf = np.unique(row + coded.indices.to_numpy(), return_counts=True)
+        ends = np.searchsorted(pairs, np.arange(len(words) + 1, dtype=np.int64) * size)
+        items = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pairs % size)), pa.array(tf, pa.int32())], ["term", "tf"])
+        # a row without a list keeps none
+        terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items, mask=words.is_null() if words.null_count else None)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], terms], names=batch.schema.names)
 
 
 def unnest(df: DataFrame, keep: list[str], array: Column, out: str) -> DataFrame:

@@ -27,7 +27,7 @@ def inverted_index(
     docs: DataFrame, text: Column, key: str = "doc_id", stopwords: list[str] | None = STOPWORDS
 ) -> DataFrame:
     """Postings ``(term, key, tf)``. Terms are counted inside each row."""
-    counted = with_term_counts(docs.select(key, text.alias("_text")), word_tokens("_text", stopwords))
+    counted = with_term_counts(docs.select(key, text.alias("_text")), word_tokens("_text", stopwords), without="_text")
     return unnest(counted, [key], F.col("terms"), "x").select("x.term", key, "x.tf")
 
 
@@ -63,7 +63,7 @@ def tfidf_scores(
     so no posting is shuffled; a large one is joined with its hot terms salted.
     """
     spark = docs.sparkSession
-    counted = with_term_counts(docs.select(key, text), word_tokens(text, stopwords)).select(key, "terms")
+    counted = with_term_counts(docs.select(key, text), word_tokens(text, stopwords), without=text)
     # Read three times below; cheaper to keep than to tokenize again.
     counted = stage(counted, "term-counts")
     postings = unnest(counted, [key], F.col("terms"), "x").select(key, "x.term", "x.tf")

@@ -64,3 +64,13 @@ def test_term_counts(spark, rows):
     df = spark.createDataFrame(list(enumerate(rows)), "id int, w array<string>")
     got = {r["id"]: {x["term"]: x["tf"] for x in r["terms"]} for r in tx.with_term_counts(df, F.col("w")).collect()}
     assert got == {i: dict(Counter(w)) for i, w in enumerate(rows)}
+
+
+def test_counting_leaves_the_text_behind(spark):
+    """Words are counted in Arrow and the text goes no further; a row without words has no terms, one without a list no list."""
+    rows = [(1, "b a b", ["b", "a", "b"]), (2, "", []), (3, None, None), (4, "é", ["é"])]
+    df = spark.createDataFrame(rows, "id int, text string, w array<string>")
+    counted = tx.with_term_counts(df, F.col("w"), without="text")
+    assert counted.columns == ["id", "w", "terms"]
+    got = {r["id"]: None if r["terms"] is None else {x["term"]: x["tf"] for x in r["terms"]} for r in counted.collect()}
+    assert got == {1: {"b": 2, "a": 1}, 2: {}, 3: None, 4: {"é": 1}}
