@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from ledgerloom.session import stage
+
 _TOKEN = re.compile(r'"(?:[^"\\\n]|\\.)*(?:"|$)|[{}]', re.M)
 _SUMS = pa.schema([("file", pa.string()), ("block", pa.int64()), ("sum", pa.int64()), ("low", pa.int64())])
 _PIECES = pa.schema([("file", pa.string()), ("landed", pa.int64()), ("block", pa.int64()), ("place", pa.int64()), ("open", pa.bool_()), ("close", pa.bool_()), ("text", pa.string())])
@@ -109,6 +111,7 @@ def scan_objects(spark: SparkSession, path: str) -> DataFrame:
             known[file, block].append(later)
             later = min(later, known[file, block][0] + low)
     pieces = lines.mapInArrow(_cutter(spark.sparkContext.broadcast(known)), "file string, landed long, block long, place long, open boolean, close boolean, text string")
+    pieces = stage(pieces, "pieces")  # read twice below
     whole = pieces.filter("open AND close").select("file", "landed", "block", "place", F.col("text").alias("value"))
     # two pieces a split at most: those of one object get the number of the last one that opened before them
     order = Window.partitionBy("file").orderBy("block", "place")
@@ -137,11 +140,13 @@ def parse_objects(values: DataFrame, schema: T.StructType) -> DataFrame:
         broken = F.col("_read").isNull() | F.col("_read")["_corrupt"].isNotNull() | ~F.startswith("value", F.lit("{"))
         return rows.withColumn("_state", F.when(~broken, 0).when(some & F.startswith("value", F.lit("{")), 1).otherwise(2))
 
-    first = parsed(values)
+    # read twice below; filters on the state would each parse every object again, once for every field they ask for
+    first = stage(parsed(values), "objects")
     cut = F.regexp_replace(F.regexp_replace("value", r"\n(?=\[*\{)", "\u001e"), r"^([^{\u001e]+)(?=\{)", "$1\u001e")
     again = first.filter("_state = 2").select("seq", F.posexplode(F.split(cut, "\u001e", -1)).alias("_part", "value"))
     again = again.withColumn("value", F.regexp_replace("value", r"^[\s,\[\]]+|[\s,\[\]]+$", "")).filter("value != ''")
-    rows = first.filter("_state < 2").withColumn("_part", F.lit(0)).unionByName(parsed(again))
+    rest = stage(parsed(again), "object-parts")
+    rows = first.filter("_state < 2").withColumn("_part", F.lit(0)).unionByName(rest)
     record = F.struct(*[F.col("_read")[n].alias(n) for n in names])
     reason = F.when(F.col("_state") == 1, "a value of the wrong type").when(F.col("_state") == 2, "not a record")
     seq = F.struct("seq.*", F.col("_part").alias("part"))

@@ -153,6 +153,13 @@ def test_objects_over_splits(spark, path):
     assert [r["symbol"] for r in rows] == [str(i) for i in range(300)] + [str(i) for i in range(100)]
 
 
+def test_objects_are_parsed_once(spark, path):
+    """Reading the profiles again neither scans nor parses the landed files again."""
+    write(path, "p.json", '{"symbol": "A"} {"symbol": "B"}')
+    plan = records.read_profiles(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "MapInArrow" not in plan
+
+
 def test_broken_profiles_cost_only_themselves(spark, path):
     good = [json.dumps({"symbol": str(i), "longName": "n"}, indent=1 if i % 2 else None) for i in range(8)]
     text = ["}", good[0], '{"symbol": "open", "longName": ', good[1], good[2], '{"symbol": bad}', good[3], good[4], 'null "x"', good[5]]
