@@ -7,6 +7,7 @@ from html.entities import name2codepoint
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The English stop words the classifier and the search drop.
@@ -30,6 +31,13 @@ SPACE_CHARS = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)])
 ) + "".join(map(chr, [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
+# What a byte of a text is to ``clean_tokens``: a small letter, a blank, or nothing.
+_LETTERS = np.zeros(256, np.uint8)
+_LETTERS[[ord(c) for c in SPACE_CHARS if c < "\x80"]] = 0x20
+_LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B] = np.arange(0x61, 0x7B)
+_WIDE_BLANKS = {n: [int.from_bytes(c.encode(), "big") for c in SPACE_CHARS if len(c.encode()) == n] for n in (2, 3)}
+SLICE_BYTES = 4 << 20  # of text that are cut into words at a time
+
 # Blocks whose text is not content; each one separates the text around it.
 HIDDEN = r"(?is)" + "|".join(
     [rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in ("script", "style", "template")]
@@ -157,6 +165,67 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], terms], names=batch.schema.names)
 
 
+def with_clean_term_counts(df: DataFrame, text: str) -> DataFrame:
+    """``with_term_counts`` of ``clean_tokens(text)``, with the text left behind: its bytes are cut into words in Arrow."""
+    counted = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]))
+    rows = df.select(*[c for c in df.columns if c != text], text)
+    return rows.mapInArrow(_count_clean_words, T.StructType([*rows.schema.fields[:-1], T.StructField("terms", counted)]))
+
+
+def _count_clean_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        ends = _offsets(whole.column(whole.num_columns - 1))
+        cuts = np.flatnonzero(np.diff((ends[:-1] - ends[0]) // SLICE_BYTES)) + 1
+        for a, b in zip([0, *cuts], [*cuts, whole.num_rows], strict=True):
+            batch = whole.slice(a, b - a)
+            texts = batch.column(batch.num_columns - 1)
+            row, coded = _clean_words(texts)
+            size = max(len(coded.dictionary), 1)
+            pairs, tf = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
+            kept = (pc.greater(pc.binary_length(coded.dictionary), 1)).to_numpy(False) & ~pc.is_in(coded.dictionary, pa.array(STOPWORDS)).to_numpy(False)
+            on = kept[pairs % size]
+            pairs, tf = pairs[on], tf[on]
+            ends_of_rows = np.searchsorted(pairs, np.arange(len(texts) + 1, dtype=np.int64) * size)
+            items = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pairs % size)), pa.array(tf, pa.int32())], ["term", "tf"])
+            # a row without a text has no list
+            terms = pa.ListArray.from_arrays(pa.array(ends_of_rows, pa.int32()), items, mask=texts.is_null() if texts.null_count else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], terms], names=[*batch.schema.names[:-1], "terms"])
+
+
+def _offsets(texts: pa.Array) -> np.ndarray:
+    """Where the texts of a slice start and end in their bytes."""
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    held = texts.buffers()[1]
+    if held is None or not held.size:
+        return np.zeros(1, np.int64)
+    return np.frombuffer(held, width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+
+
+def _clean_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """(row, word) of all runs of letters: other characters but white space are left out, so they join the letters around them."""
+    ends = _offsets(texts)
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8)[ends[0] : ends[-1]] if held is not None else np.empty(0, np.uint8)
+    ends = ends - ends[0]
+    kind, data = _LETTERS[data], np.append(data, np.zeros(2, np.uint8))
+    # a lead byte is only ever the first of a character; white space of several bytes is a blank in its place
+    lead = np.flatnonzero(data == 0xC2)
+    kind[lead[np.isin(0xC200 | data[lead + 1].astype(np.int64), _WIDE_BLANKS[2])]] = 0x20
+    lead = np.flatnonzero((data >= 0xE1) & (data <= 0xE3))
+    code = (data[lead].astype(np.int64) << 16) | (data[lead + 1].astype(np.int64) << 8) | data[lead + 2]
+    kind[lead[np.isin(code, _WIDE_BLANKS[3])]] = 0x20
+    kept = np.flatnonzero(kind)
+    chars, cut = kind[kept], np.searchsorted(kept, ends)
+    letter = chars != 0x20
+    first, last = np.ones(len(chars), bool), np.ones(len(chars), bool)
+    first[1:], last[:-1] = ~letter[:-1], ~letter[1:]
+    first[cut[cut < len(chars)]] = last[cut[cut > 0] - 1] = True  # words end with their row
+    starts = np.flatnonzero(letter & first)
+    places = np.append(0, np.cumsum(np.flatnonzero(letter & last) + 1 - starts)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(chars[letter]))
+    return np.searchsorted(cut, starts, "right") - 1, words.dictionary_encode()
+
+
 def unnest(df: DataFrame, keep: list[str], array: Column, out: str) -> DataFrame:
     """One row per element of a computed array.
 

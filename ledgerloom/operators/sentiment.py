@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.functions.text import clean_tokens, unnest, with_term_counts
+from ledgerloom.functions.text import unnest, with_clean_term_counts
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.numbering import dense_numbers
 from ledgerloom.session import stage
@@ -56,7 +56,7 @@ def vocabulary(
     ``term_index`` is the alphabetical position. Terms are counted inside each
     row, so only (term, counts) is shuffled.
     """
-    counted = with_term_counts(docs.select(F.coalesce(text, F.lit("")).alias("_text")), clean_tokens("_text"), without="_text")
+    counted = with_clean_term_counts(docs.select(F.coalesce(text, F.lit("")).alias("_text")), "_text")
     counts = (
         unnest(counted, [], F.col("terms"), "x")
         .groupBy("x.term")
@@ -92,9 +92,7 @@ class SentimentModel:
         shuffled.
         """
         known = F.coalesce(F.trim(text) != "", F.lit(False))
-        counted = with_term_counts(
-            df.select(key, known.alias("known"), F.coalesce(text, F.lit("")).alias("_text")), clean_tokens("_text"), without="_text"
-        )
+        counted = with_clean_term_counts(df.select(key, known.alias("known"), F.coalesce(text, F.lit("")).alias("_text")), "_text")
         postings = counted.select(key, "known", F.explode_outer("terms").alias("x")).select(
             key, "known", "x.term", "x.tf"
         )
@@ -142,7 +140,7 @@ def fit(
     Smoothing of one count per term; the class odds are the plain shares.
     """
     rows = train.select(key, (F.col(label) == "pos").alias("pos"), F.coalesce(text, F.lit("")).alias("_text"))
-    counted = stage(with_term_counts(rows, clean_tokens("_text"), without="_text"), "train-counts")
+    counted = stage(with_clean_term_counts(rows, "_text"), "train-counts")
     n, n_pos = counted.agg(F.count(F.lit(1)), F.count_if("pos")).first()
     postings = unnest(counted, [key, "pos"], F.col("terms"), "x").select(key, "pos", "x.term", "x.tf")
     counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq"))

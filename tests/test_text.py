@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -35,6 +36,20 @@ def test_clean_tokens(spark):
     assert one(spark, "", tx.clean_tokens) == []
 
 
+def test_words_counted_in_arrow_are_those_of_the_expression(spark, monkeypatch):
+    blanks = "".join(f"a{c}b{c} " for c in tx.SPACE_CHARS)
+    texts = [blanks, None, "", "The foo-bar don't STOP, a I x Über  café\n2x dogs dogs", "end", "start", "é\u2003x\u200by 漢字ab\u3000cd\u00adef ", " ", "𝒳yz\x00zy İx KK"]
+    df = spark.createDataFrame(list(enumerate(texts * 3)), "id long, t string").coalesce(1)
+    monkeypatch.setattr(tx, "SLICE_BYTES", 40)
+    want = {(r["id"], r["w"], r["n"]) for r in tx.unnest(df, ["id"], tx.clean_tokens("t"), "w").groupBy("id", "w").agg(F.count(F.lit(1)).alias("n")).collect()}
+    got = tx.with_clean_term_counts(df, "t")
+    assert {(r["id"], x["term"], x["tf"]) for r in got.collect() for x in r["terms"] or []} == want
+    assert [r["id"] for r in got.filter("terms IS NULL").collect()] == [1, 10, 19]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(9)), "t": texts})
+    rows = [r for b in tx._count_clean_words([batch.slice(2), batch.slice(0, 0)]) for r in b.to_pylist()]
+    assert {(r["id"], x["term"], x["tf"]) for r in rows for x in r["terms"]} == {w for w in want if 2 <= w[0] < 9}
+
+
 def test_word_tokens(spark):
     assert one(spark, "The Größe of a_b x 42!", tx.word_tokens) == ["größe", "a_b", "42"]
 
