@@ -8,15 +8,31 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.commits import CommitLog
 from ledgerloom.operators.dedup import arrival, first_per_key
-from ledgerloom.operators.keyindex import candidates, lookup, read_index, write_index
+from ledgerloom.operators.joins import BROADCAST_ROWS
+from ledgerloom.operators.keyindex import candidates, lookup, part_of_index, write_index
 from ledgerloom.operators.numbering import dense_numbers
 from ledgerloom.session import remove, stage
 
-INDEXES = 16  # folders of the key index before they are merged into one
+INDEXES = 16  # parts of the key index before small ones are merged
+AT_ONCE = 50_000  # rows of a batch whose part of the index is written with it; a larger one is written when a small batch first asks
 ROW = "_row"  # names a row of a batch
 BATCH = T.StructField("batch_id", T.StringType())
 
 
+def merged(index: list[dict]) -> list[dict]:
+    """The smallest parts as one, with every part that is no larger than those before it together.
+
+    So a part is only merged into one of at least about twice its size, and a key is written again a few times (the logarithm of
+    the table), not once for every few batches. The part is written when a batch first asks for it.
+    """
+    parts = sorted(index, key=lambda e: e["rows"])
+    taken, rows = 2, parts[0]["rows"] + parts[1]["rows"]
+    while taken < len(parts) and parts[taken]["rows"] <= rows:
+        rows += parts[taken]["rows"]
+        taken += 1
+    return [*parts[taken:], part_of_index(uuid.uuid4().hex, [f for e in parts[:taken] for f in e["of"]], rows)]
+
+
 class BatchStore:
     """A table whose rows are unique on ``keys``.
 
@@ -58,23 +74,33 @@ class BatchStore:
         return self._lookup(batch, self._log.read()[1])
 
     def _lookup(self, batch: DataFrame, state: dict) -> DataFrame:
-        return lookup(batch, self.keys, self._index, f"{self.path}/index", state.get("index", []))
+        return lookup(batch, self.keys, self._index, self.path, self._parts(state))
+
+    def _parts(self, state: dict) -> list[dict]:
+        """The parts of the key index; tables of before say nothing of what a part is made of, and get one for all."""
+        index = state.get("index", [])
+        if all("of" in e for e in index):
+            return index
+        held = [b for b in state["batches"] if b["rows"]]
+        name = uuid.uuid5(uuid.NAMESPACE_OID, ",".join(b["folder"] for b in held)).hex  # the same until the next commit
+        return [part_of_index(name, [b["folder"] for b in held], sum(b["rows"] for b in held))]
 
     def _write(self, rows: DataFrame, batch_id: str) -> dict:
-        """Write a batch and its index; returns its entry in the commit."""
+        """Write a batch, and its index if it is small; returns its entry in the commit."""
         folder = uuid.uuid4().hex
         named = rows.select(*([self.id] if self.id else []), *self.columns, F.lit(batch_id).alias("batch_id"))
         named.write.parquet(f"{self.path}/data/{folder}")
         # counted from the file footers of what was really written
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{folder}")
         count = written.count()
-        index = write_index(written.select(self._index.fieldNames()), self.keys, count, f"{self.path}/index", folder) if count else None
+        index = part_of_index(folder, [folder], count) if count else None
+        if 0 < count <= AT_ONCE:
+            write_index(self.spark, self.keys, self._index, self.path, index)
         return {"name": batch_id, "folder": folder, "rows": count, "index": index}
 
     def _commit(self, version: int, state: dict, batches: list[dict], index: list[dict], added: int) -> bool:
         if len(index) > INDEXES:
-            merged = read_index(self.spark, self._index, f"{self.path}/index", index)
-            index = [write_index(merged, self.keys, sum(e["rows"] for e in index), f"{self.path}/index", uuid.uuid4().hex)]
+            index = merged(index)
         content = {"batches": batches, "index": index, "next_id": state["next_id"] + added}
         return self._log.commit(version + 1, content)
 
@@ -106,19 +132,25 @@ class BatchStore:
             done = {b["name"]: b["rows"] for b in state["batches"]}.get(batch_id)
             if done is not None and not dry_run:
                 return done  # another writer of the same batch
-            known = candidates(first, self.keys, self._index, f"{self.path}/index", state.get("index", []))
+            known = candidates(first, self.keys, self._index, self.path, self._parts(state))
             winners = first if known is None else first.join(known.select(*self.keys), self.keys, "left_anti")
             if dry_run:
                 return winners.count()
             if self.id:
                 winners = dense_numbers(winners.drop(*self.keys), self.id, *(["_late", "_seq"] if seq else []), ROW, first=state["next_id"])
-            elif known is not None:
+            elif known is not None and not bare:
                 winners = stage(winners, "insert-new")
             entry = {"name": batch_id, "folder": uuid.uuid4().hex, "rows": 0, "index": None}
-            if not winners.isEmpty():
-                fresh = winners if bare else rows.join(winners.select(ROW, *([self.id] if self.id else [])), ROW)
-                entry = self._write(fresh, batch_id)
-            index = state.get("index", []) + ([entry["index"]] if entry["rows"] else [])
+            if bare:
+                entry = self._write(winners, batch_id)
+                if not entry["rows"]:
+                    self._drop(entry["folder"])
+            elif count := winners.count():
+                # the winners' names are the small side, so that whole rows are not sorted
+                names_of = winners.select(ROW, *([self.id] if self.id else []))
+                small = F.broadcast(names_of) if count <= BROADCAST_ROWS else names_of.hint("shuffle_hash")
+                entry = self._write(rows.join(small, ROW), batch_id)
+            index = self._parts(state) + ([entry["index"]] if entry["rows"] else [])
             entry.pop("index")
             if self._commit(version, state, [*state["batches"], entry], index, entry["rows"]):
                 return entry["rows"]

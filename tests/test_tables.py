@@ -1,5 +1,6 @@
 """Stores, companies, links, integrity, joins."""
 
+import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -222,6 +223,43 @@ def test_a_small_batch_opens_few_buckets(spark, path, monkeypatch):
     assert 60 <= len(opened(0, 500)) <= 100
 
 
+def test_a_large_batch_is_indexed_when_a_small_one_asks(spark, path, monkeypatch):
+    monkeypatch.setattr(store_module, "AT_ONCE", 100)
+    monkeypatch.setattr(keyindex, "BUCKET_ROWS", 500)
+    store = BatchStore(spark, path, _struct(k=STRING), ["k"])
+    keys = lambda low, high: spark.range(low, high).select(F.concat(F.lit("k"), "id").alias("k"))
+    assert store.insert(keys(0, 2000), "0") == 2000 and store.insert(keys(1000, 6000), "1") == 4000
+    assert store.insert(keys(0, 0), "none") == 0 and store.known(keys(0, 0)).count() == 0
+    assert not os.path.exists(f"{path}/index")  # neither batch was followed by a small one
+    assert store.insert(keys(1990, 2010), "2") == 0 and store.insert(keys(5990, 6010), "3") == 10
+    assert sorted(r["k"] for r in store.known(keys(5999, 6012)).collect()) == sorted(f"k{i}" for i in range(5999, 6010))
+    assert store.read().distinct().count() == store.read().count() == 6010 == sum(store.batches().values())
+    assert all(len(os.listdir(f"{path}/index/{f}")) == 1 for f in os.listdir(f"{path}/index"))  # written once
+
+
+def test_a_table_of_before_is_indexed_anew(spark, path):
+    store = BatchStore(spark, path, KV, ["k"], id="id")
+    store.insert(kv(spark, [("a", "x"), ("b", "x")]), "0", seq="seq")
+    version, state = store._log.read()
+    state["index"] = [{k: v for k, v in e.items() if k != "of"} for e in state["index"]]
+    assert store._log.commit(version + 1, state)
+    assert store.insert(kv(spark, [("b", "y"), ("c", "y")]), "1", seq="seq") == 1
+    assert {r["k"]: r["id"] for r in store.known(kv(spark, [("a", ""), ("c", "")])).collect()} == {"a": 1, "c": 3}
+
+
+def test_merging_writes_a_key_a_few_times():
+    index, written = [], 0
+    for n in range(1, 1001):
+        index.append(keyindex.part_of_index(str(n), [str(n)], 10))
+        if len(index) > store_module.INDEXES:
+            before = {e["folder"] for e in index}
+            index = store_module.merged(index)
+            written += sum(e["rows"] for e in index if e["folder"] not in before)
+        assert len(index) <= store_module.INDEXES and sum(e["rows"] for e in index) == 10 * n
+    assert sorted(int(f) for e in index for f in e["of"]) == list(range(1, 1001))
+    assert written <= 10_000 * 10  # 62 merges of everything wrote 313,100 rows
+
+
 def test_dense_numbers(spark):
     rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
     got = dense_numbers(rows, "n", "x", first=5).collect()
