@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shared import ship
 from ledgerloom.llm.sieve import sieve
 from ledgerloom.llm.vectors import attach
-from ledgerloom.session import stage
+from ledgerloom.session import small_batches, stage
 
 ROUNDS = 2
 CELLS = 22  # 2^CELLS counters
@@ -287,6 +287,7 @@ class _Join:
         self.texts, self.width, self.percent = texts, width, percent
         spark = texts.sparkSession
         ship(spark)
+        small_batches(spark)
         self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         common = spark.sparkContext.broadcast(levels(texts, width))
         signed = texts.mapInArrow(_signer(width, percent, common), SIGNED)

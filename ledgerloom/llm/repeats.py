@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import ship
 from ledgerloom.llm.sieve import sieve
-from ledgerloom.session import stage
+from ledgerloom.session import small_batches, stage
 
-PART = 2_000_000  # bytes of text cut together in a task
+PART = 500_000  # bytes of text cut together in a task, which takes some 100 times as many of memory
 RECORDS = 400_000  # strings gathered before they are dealt out
 PLACE = np.uint64((1 << 22) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -363,6 +363,7 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int =
     """Ranges of bytes to remove: id, tag (hash of the text), start, length; they may overlap."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _keyed(docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")), "_id", "_text")
     base = texts.select(F.col("_key").alias("id"), F.col("_tag").alias("tag"), F.col("_whole").alias("text"))

@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+TEXT_ROWS = 2000  # rows of an Arrow batch of texts
+
 _ROOTS: dict[str, str] = {}
 
 
@@ -66,6 +68,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Give Python tasks whole texts by TEXT_ROWS: the JVM and the worker each hold a batch, and some copies of it.
+
+    The setting stays with the session, because results are read after the call that plans them.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(TEXT_ROWS, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote, wherever it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

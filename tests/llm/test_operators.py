@@ -219,6 +219,17 @@ def test_jaccard_of_a_dense_group(spark, monkeypatch):
         monkeypatch.setattr(jaccard._Join, "_dense", original)
 
 
+def test_texts_go_to_python_in_small_batches(spark, docs):
+    """A batch of texts is bounded in rows, and the texts cut together in bytes."""
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for operator in (jaccard.join, repeats.remove):
+        operator(docs)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    repeats._POWERS.clear()
+    assert sum(x.nbytes for x in repeats._powers()) < 10_000_000
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 140)]
