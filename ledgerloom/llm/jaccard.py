@@ -12,6 +12,7 @@ the whole corpus, of fixed size; any order all sets share gives the same links.
 3. What is left is compared block by block: pairs of groups again, filtered, expanded, and members of one component left out. A
    pair of blocks with few pairs of members that pass emits them to be verified; one with more than it has members is named, gets
    the whole sets of its members, verifies in place and returns a spanning forest. So no output grows with the square of a group.
+   Of the lists that have such pairs the largest of each group goes first; groups that have met in it do not meet in the others.
 
 Filters (all exact): sizes, places of a shared shingle in both orders, and upper bounds on the intersection by parity bitmaps.
 Pairs that pass are verified on the whole sets, recomputed from the texts.
@@ -38,6 +39,7 @@ from ledgerloom.llm.vectors import attach
 from ledgerloom.session import small_batches, stage
 
 ROUNDS = 2
+CHOICES = 3  # times that the largest lists go first, before all that are left go together
 CELLS = 22  # 2^CELLS counters
 BLOCK = 1 << 14  # counters merged together
 LIST_BLOCK = 512  # members of a block
@@ -302,7 +304,8 @@ class _Join:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that are similar enough, verified on the whole sets."""
-        maps = self.signed.select("id", "n", "bitmap")
+        ends = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "jaccard-ends")
+        maps = sieve(self.signed.select("id", "n", "bitmap"), "id", ends, "id").filter("_maybe")
         one = maps.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("bitmap").alias("map1"))
         two = maps.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("bitmap").alias("map2"))
         hopeful = stage(pairs.join(one, "a").join(two, "b").mapInArrow(_plausible(self.percent), "a long, b long").distinct(), "jaccard-pairs")
@@ -342,17 +345,23 @@ class _Join:
                 break
             tried = pairs if tried is None else tried.unionByName(pairs)
             self._link(self.links(stage(self._expanded(pairs, turn), "jaccard-expanded")))
-        now = self._open()
-        pairs, dense, blocks = self._blocks(now)
-        # many lists may hold one dense group: the largest one of each of its members goes first, and mostly leaves nothing to the others
-        several = dense.select("token").distinct()
-        largest = now.join(several, "token").groupBy("group").agg(F.max(F.struct("size", "token")).alias("list"))
-        chosen = stage(largest.select("list.token").distinct(), "jaccard-chosen")
-        self._link(self.links(pairs).unionByName(self._dense(dense.join(chosen, "token", "left_semi"), blocks)))
-        rest = stage(several.join(chosen, "token", "left_anti"), "jaccard-others")
-        if not rest.isEmpty():
-            pairs, dense, blocks = self._blocks(self._open().join(rest, "token", "left_semi"))
-            self._link(self.links(pairs).unionByName(self._dense(dense, blocks)))
+        now, met = self._open(), None
+        pairs, dense, blocks = self._blocks(now, met)
+        # many lists may hold one dense group: the largest one of each group goes first, and what met in it is left out of the others
+        for turn in range(CHOICES + 1):
+            several = dense.select("token").distinct()
+            chosen = several
+            if turn < CHOICES:
+                largest = now.join(several, "token").groupBy("group").agg(F.max(F.struct("size", "token")).alias("list"))
+                chosen = stage(largest.select("list.token").distinct(), "jaccard-chosen")
+            self._link(self.links(pairs).unionByName(self._dense(dense.join(chosen, "token", "left_semi"), blocks)))
+            rest = stage(several.join(chosen, "token", "left_anti"), "jaccard-others")
+            if rest.isEmpty():
+                break
+            more = now.join(chosen, "token").select("group", "token")
+            met = stage(more if met is None else met.unionByName(more), "jaccard-met")
+            now = stage(self._open().join(rest, "token", "left_semi"), "jaccard-open")
+            pairs, dense, blocks = self._blocks(now, met)
         return self.labels
 
     def _listed(self, small: DataFrame) -> DataFrame:
@@ -407,8 +416,11 @@ class _Join:
         old = self.labels.join(moved, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
         self.labels = stage(old.unionByName(joined), "jaccard-labels")
 
-    def _blocks(self, now: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """What is left, block against block: pairs of members that pass the filters; pairs of blocks (token, x, y) with more of them than members; the blocks."""
+    def _blocks(self, now: DataFrame, met: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What is left, block against block: pairs of members that pass the filters; pairs of blocks (token, x, y) with more of them than members; the blocks.
+
+        Groups that have a list of ``met`` (group, token) in common are not compared again. A group has as many of these as its prefix has shingles.
+        """
         labels = self.labels.select(F.col("id").alias("node"), F.col("component").alias("_c"))
         wanted = self.groups.join(now.select("group").distinct(), "group", "left_semi")
         maps = self.signed.select(F.col("id").alias("node"), "small")  # of an id with several texts all
@@ -417,7 +429,11 @@ class _Join:
         parts = own.groupBy("group", part.alias("part")).agg(F.collect_list(F.struct("node", "component", "small")).alias("members"))
         entries = now.select("token", "group", "n", "place", "size").join(stage(parts, "jaccard-parts"), "group")
         spot = F.pmod(F.xxhash64("group", "part"), F.ceil(F.col("size") / LIST_BLOCK)).cast("int")
-        entry = F.struct("n", "place", "members")
+        entries = entries.withColumn("met", F.array().cast("array<long>"))
+        if met is not None:
+            lists = met.groupBy("group").agg(F.collect_set("token").alias("lists"))
+            entries = entries.join(lists, "group", "left").withColumn("met", F.coalesce("lists", "met"))
+        entry = F.struct("n", "place", "members", "met")
         blocks = stage(entries.groupBy("token", spot.alias("block")).agg(F.collect_list(entry).alias("entries")), "jaccard-blocks")
         one = blocks.select("token", F.col("block").alias("x"), F.col("entries").alias("left"))
         two = blocks.select("token", F.col("block").alias("y"), F.col("entries").alias("right"))
@@ -437,14 +453,29 @@ class _Join:
         some = sieve(self.texts, "id", nodes, "node").filter("_maybe").select("id", "text").join(nodes, F.col("id") == F.col("node"), "left_semi")
         sets = stage(some.mapInArrow(_sets(self.width), "node long, shingles binary"), "jaccard-sets")
         mass = members.groupBy("token", "block").agg(F.ceil(F.sum("n") / MASS).cast("int").alias("pieces"))
-        placed = members.join(mass, ["token", "block"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+        own = F.col("x") == F.col("y")
+        kinds = dense.select("token", F.explode(F.array("x", "y")).alias("block"), own.alias("own")).groupBy("token", "block").agg(F.max("own").alias("own"), F.max(~F.col("own")).alias("paired"))
+        sizes = stage(mass.join(kinds, ["token", "block"]), "jaccard-masses")
+        placed = members.join(sizes, ["token", "block"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
         member = F.struct("n", "place", "node", "component", "shingles")
-        pieces = stage(placed.join(sets, "node").groupBy("token", "block", "piece").agg(F.collect_list(member).alias("members")), "jaccard-pieces")
-        one = pieces.select("token", F.col("block").alias("x"), F.col("piece").alias("p"), F.col("members").alias("left"))
-        two = pieces.select("token", F.col("block").alias("y"), F.col("piece").alias("q"), F.col("members").alias("right"))
-        both = dense.join(one, ["token", "x"]).join(two, ["token", "y"]).filter("x < y OR p <= q").select("left", "right")
+
+        def pieces(rows: DataFrame, tasks: int) -> DataFrame:
+            key = ("token", "block", "piece")
+            return rows.join(sets, "node").repartition(max(self.parts, tasks), *key).groupBy(*key).agg(F.collect_list(member).alias("members"))
+
+        # a piece meets itself where it is gathered; only others are sent again
+        alone = pieces(placed.filter("own"), sizes.agg(F.sum("pieces")).first()[0])
+        nobody = F.lit(None).cast(alone.schema["members"].dataType)
+        links = stage(alone.select(F.col("members").alias("left"), nobody.alias("right")).mapInArrow(_dense_links(self.percent), "a long, b long"), "jaccard-own-links")
+        more = sizes.filter("paired OR (own AND pieces > 1)")
+        if more.isEmpty():
+            return links
+        gathered = stage(pieces(placed.join(more.select("token", "block"), ["token", "block"], "left_semi"), 0), "jaccard-pieces")
+        one = gathered.select("token", F.col("block").alias("x"), F.col("piece").alias("p"), F.col("members").alias("left"))
+        two = gathered.select("token", F.col("block").alias("y"), F.col("piece").alias("q"), F.col("members").alias("right"))
+        both = dense.join(one, ["token", "x"]).join(two, ["token", "y"]).filter("x < y OR p < q").select("left", "right")
         spread = both.repartition(max(self.parts, dense.count()))
-        return stage(spread.mapInArrow(_dense_links(self.percent), "a long, b long"), "jaccard-dense-links")
+        return links.unionByName(stage(spread.mapInArrow(_dense_links(self.percent), "a long, b long"), "jaccard-dense-links"))
 
 
 def _passing(n1, p1, c1, map1, n2, p2, c2, map2, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -459,6 +490,17 @@ def _passing(n1, p1, c1, map1, n2, p2, c2, map2, percent: int) -> tuple[np.ndarr
     return i[keep], j[keep]
 
 
+def _met(sizes1: np.ndarray, lists1: np.ndarray, sizes2: np.ndarray, lists2: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every list that groups of both sides have: its groups on one side, and on the other."""
+    both = np.intersect1d(lists1, lists2)
+    sides = []
+    for sizes, lists in ((sizes1, lists1), (sizes2, lists2)):
+        order = np.argsort(lists, kind="stable")
+        row = np.repeat(np.arange(len(sizes)), sizes)[order]
+        sides.append([row[a:b] for a, b in zip(*(np.searchsorted(lists[order], both, side) for side in ("left", "right")), strict=True)])
+    return zip(*sides, strict=True)
+
+
 def _block_pairs(percent: int):
     """Groups of one block against those of another: filtered as groups by size and place, then expanded to members and filtered by bitmaps."""
 
@@ -469,17 +511,21 @@ def _block_pairs(percent: int):
         v = members.flatten()
         words = np.frombuffer(b"".join(v.field("small").to_pylist()), np.uint64).reshape(len(v), SMALL // 64)
         starts = np.cumsum(sizes) - sizes
-        return n, place, sizes, starts, v.field("node").to_numpy(), v.field("component").to_numpy(), words
+        met = entries.field("met")
+        lists = np.diff(np.asarray(met.offsets)), met.flatten().to_numpy()
+        return n, place, sizes, starts, v.field("node").to_numpy(), v.field("component").to_numpy(), words, lists
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
                 token, x, y = (batch.column(c)[k].as_py() for c in ("token", "x", "y"))
-                n1, p1, s1, at1, node1, c1, map1 = side(batch.column("left")[k].values)
-                n2, p2, s2, at2, node2, c2, map2 = side(batch.column("right")[k].values)
+                n1, p1, s1, at1, node1, c1, map1, met1 = side(batch.column("left")[k].values)
+                n2, p2, s2, at2, node2, c2, map2, met2 = side(batch.column("right")[k].values)
                 need = _enough(n1[:, None], n2[None, :], percent)
                 good = np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent
                 good &= ((n1 - p1)[:, None] >= need) & ((n2 - p2)[None, :] >= need)
+                for rows, others in _met(*met1, *met2):
+                    good[np.ix_(rows, others)] = False
                 if x == y:
                     good = np.triu(good)
                 found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -516,7 +562,7 @@ def _sets(width: int):
 
 
 def _dense_links(percent: int):
-    """Members of two blocks, with their sets: the links that join components not joined before, in the order they are found."""
+    """Members of two blocks, or of one (``right`` is null), with their sets: the links that join components not joined before, in the order they are found."""
 
     def side(v) -> tuple:
         sets = [np.frombuffer(x, np.uint64) for x in v.field("shingles").to_pylist()]
@@ -526,8 +572,12 @@ def _dense_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                one, two = side(batch.column("left")[k].values), side(batch.column("right")[k].values)
+                one = side(batch.column("left")[k].values)
+                alone = not batch.column("right")[k].is_valid
+                two = one if alone else side(batch.column("right")[k].values)
                 i, j = _passing(*one[:4], *two[:4], percent)
+                if alone:
+                    i, j = i[i < j], j[i < j]
                 parent: dict[int, int] = {}
 
                 def top(x: int) -> int:
