@@ -220,17 +220,15 @@ def test_jaccard_of_a_dense_group(spark, monkeypatch):
         monkeypatch.setattr(jaccard._Join, "_dense", original)
 
 
-def test_blocks_leave_out_groups_that_met_elsewhere():
-    """Groups that met in a list that is done are not compared again in another list that holds them both."""
-    small = bytes(jaccard.SMALL // 8)
-    members = lambda node: [{"node": node, "component": node, "small": small}]
-    entries = [{"n": 50, "place": 0, "members": members(k), "met": met} for k, met in enumerate(([7], [7, 8], [7], [8], [9, 7]))]
-    member = pa.struct([("node", pa.int64()), ("component", pa.int64()), ("small", pa.binary())])
-    kind = pa.list_(pa.struct([("n", pa.int64()), ("place", pa.int64()), ("members", pa.list_(member)), ("met", pa.list_(pa.int64()))]))
-    own = {"token": [1], "x": pa.array([0], pa.int32()), "y": pa.array([1], pa.int32())}
-    batch = pa.RecordBatch.from_pydict(own | {"left": pa.array([entries[:2]], kind), "right": pa.array([entries[2:]], kind)})
-    (found,) = jaccard._block_pairs(85)(iter([batch]))
-    assert [(r["a"], r["b"]) for r in found.to_pylist()] == [(0, 3)]
+def test_links_of_a_piece_with_itself():
+    """A piece that meets itself comes once, without a second copy of its sets."""
+    base = np.arange(100, dtype=np.uint64)
+    member = lambda node, x: {"n": len(x), "place": 0, "node": node, "component": node, "shingles": x.tobytes()}
+    members = [member(1, base), member(2, base[:95]), member(3, base + np.uint64(1000))]
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("n", "place", "node", "component")] + [("shingles", pa.binary())]))
+    batch = pa.RecordBatch.from_pydict({"left": pa.array([members], kind), "right": pa.array([None], kind)})
+    (links,) = jaccard._dense_links(85)(iter([batch]))
+    assert links.to_pylist() == [{"a": 1, "b": 2}]
 
 
 def test_texts_go_to_python_in_small_batches(spark, docs):
