@@ -109,6 +109,20 @@ def test_bpe(spark, docs, rows):
     assert coder.encode(empty(spark)).count() == 0
 
 
+def test_bpe_folds_every_word_by_the_packed_table(spark, rows, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coder = bpe.ByteBPE(path, public_tokenizers.PATTERN)
+    monkeypatch.setattr(coder, "frequent", lambda *_: bpe.KNOWN.empty_table())
+    odd = [(1, "!!\"!!?! !"), (2, "\x00a\x01\ud7ff\ue000\U0001f600é" * 3), (3, " cióntallcoja" + "xq" * 40), (4, None)]
+    frame = spark.createDataFrame(odd + rows[:20], "doc_id long, text string")
+    got = coder.encode(frame).select("doc_id", F.size("ids"), F.sha2(coder.as_bytes(F.col("ids")), 256), F.sha2(coder.decode(F.col("ids")), 256))
+    same(got.collect(), brute.bpe(odd + rows[:20], path, public_tokenizers.PATTERN))
+    pairs = {1: {5: 7, 0: 9}, 4: {k: k for k in range(40)}, 6: {39: 2}}
+    offsets, slots = bpe._displaced(pairs, 50)
+    assert {(r, k): slots[offsets[r] + k] for r in pairs for k in pairs[r]} == {(r, k): r << bpe.RANK_BITS | v for r in pairs for k, v in pairs[r].items()}
+    assert bpe._displaced({}, 3)[0] == [0, 0, 0]
+
+
 def test_token_files(spark, docs, rows):
     files = frames.write(docs, WORD_BPE, file_bytes=4000, special_as_text=False)
     assert files.count() > 2
