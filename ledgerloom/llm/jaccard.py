@@ -10,8 +10,11 @@ the whole corpus, of fixed size; any order all sets share gives the same links.
    one of its groups with its others, and one member of each group stands for it: a large group of copies costs a few pairs a
    member and round. Components are joined after each round; a list whose documents are in one component is done.
 3. What is left is compared block by block: pairs of groups again, filtered, expanded, and members of one component left out. A
-   pair of blocks with few pairs of members that pass emits them to be verified; one with more than it has members is named, gets
-   the whole sets of its members, verifies in place and returns a spanning forest. So no output grows with the square of a group.
+   pair of blocks with few pairs of members that pass emits them to be verified; one with more than it has members is named and
+   gets the whole bitmaps of its members (a sixteenth of their sets at most). One that has more even so gets the sets, verifies in
+   place and returns a spanning forest. So no output grows with the square of a group.
+4. A group of named lists meets all others of its largest one, its home, first, whatever their places; in the other lists only groups
+   of unlike homes are compared, so many lists of the same groups do not send them again and again.
 
 Filters (all exact): sizes, places of a shared shingle in both orders, and upper bounds on the intersection by parity bitmaps.
 Pairs that pass are verified on the whole sets, recomputed from the texts.
@@ -345,15 +348,20 @@ class _Join:
             self._link(self.links(stage(self._expanded(pairs, turn), "jaccard-expanded")))
         now = self._open()
         pairs, dense, blocks = self._blocks(now)
-        # many lists may hold one dense group: the largest one of each of its members goes first, and mostly leaves nothing to the others
+        # many lists may hold one dense group: the largest one of each of its members goes first and whole, and mostly leaves nothing to the others
         several = dense.select("token").distinct()
         largest = now.join(several, "token").groupBy("group").agg(F.max(F.struct("size", "token")).alias("list"))
-        chosen = stage(largest.select("list.token").distinct(), "jaccard-chosen")
-        self._link(self.links(pairs).unionByName(self._dense(dense.join(chosen, "token", "left_semi"), blocks)))
+        homes = stage(largest.select("group", F.col("list.token").alias("home")), "jaccard-homes")
+        chosen = stage(homes.select(F.col("home").alias("token")).distinct(), "jaccard-chosen")
+        held = blocks.select("token", "block").join(chosen, "token", "left_semi")
+        whole = held.withColumnRenamed("block", "x").join(held.withColumnRenamed("block", "y"), "token").filter("x <= y")
+        more, links = self._dense(whole, blocks)
+        self._link(self.links(pairs.unionByName(more)).unionByName(links))
         rest = stage(several.join(chosen, "token", "left_anti"), "jaccard-others")
         if not rest.isEmpty():
-            pairs, dense, blocks = self._blocks(self._open().join(rest, "token", "left_semi"))
-            self._link(self.links(pairs).unionByName(self._dense(dense, blocks)))
+            pairs, dense, blocks = self._blocks(self._open().join(rest, "token", "left_semi"), homes)
+            more, links = self._dense(dense, blocks)
+            self._link(self.links(pairs.unionByName(more)).unionByName(links))
         return self.labels
 
     def _listed(self, small: DataFrame) -> DataFrame:
@@ -408,17 +416,21 @@ class _Join:
         old = self.labels.join(moved, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
         self.labels = stage(old.unionByName(joined), "jaccard-labels")
 
-    def _blocks(self, now: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """What is left, block against block: pairs of members that pass the filters; pairs of blocks (token, x, y) with more of them than members; the blocks."""
+    def _blocks(self, now: DataFrame, homes: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What is left, block against block: pairs of members that pass the filters; pairs of blocks (token, x, y) with more of them than members; the blocks.
+
+        Groups that share one of ``homes`` (group, home) have met there and are not compared.
+        """
+        now = now.withColumn("home", F.lit(None).cast("long")) if homes is None else now.join(homes, "group", "left")
         labels = self.labels.select(F.col("id").alias("node"), F.col("component").alias("_c"))
         wanted = self.groups.join(now.select("group").distinct(), "group", "left_semi")
         maps = self.signed.select(F.col("id").alias("node"), "small")  # of an id with several texts all
         own = wanted.join(labels, "node", "left").join(maps, "node").withColumn("component", F.coalesce("_c", "node"))
         part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / LIST_BLOCK)).cast("int")
         parts = own.groupBy("group", part.alias("part")).agg(F.collect_list(F.struct("node", "component", "small")).alias("members"))
-        entries = now.select("token", "group", "n", "place", "size").join(stage(parts, "jaccard-parts"), "group")
+        entries = now.select("token", "group", "n", "place", "size", "home").join(stage(parts, "jaccard-parts"), "group")
         spot = F.pmod(F.xxhash64("group", "part"), F.ceil(F.col("size") / LIST_BLOCK)).cast("int")
-        entry = F.struct("n", "place", "members")
+        entry = F.struct("n", "place", "home", "members")
         blocks = stage(entries.groupBy("token", spot.alias("block")).agg(F.collect_list(entry).alias("entries")), "jaccard-blocks")
         one = blocks.select("token", F.col("block").alias("x"), F.col("entries").alias("left"))
         two = blocks.select("token", F.col("block").alias("y"), F.col("entries").alias("right"))
@@ -426,41 +438,72 @@ class _Join:
         found = stage(both.mapInArrow(_block_pairs(self.percent), "a long, b long, token long, x int, y int"), "jaccard-found")
         return stage(found.filter("a is not null").select("a", "b").distinct(), "jaccard-left"), found.filter("a is null").select("token", "x", "y"), blocks
 
-    def _dense(self, dense: DataFrame, blocks: DataFrame) -> DataFrame:
-        """Links inside pairs of blocks that have many: verified on whole sets where the blocks meet, and returned as a spanning forest."""
+    def _dense(self, dense: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Inside pairs of blocks (token, x, y), whatever the places: pairs of members whose whole bitmaps allow them, to be verified, and links.
+
+        Where there are more such pairs than members, they are verified on whole sets where the blocks meet; the links are a spanning forest.
+        """
         dense = stage(dense, "jaccard-dense")
+        nothing = self.texts.sparkSession.createDataFrame([], "a long, b long")
         if dense.isEmpty():
-            return self.texts.sparkSession.createDataFrame([], "a long, b long")
+            return nothing, nothing
         ends = dense.select("token", F.col("x").alias("block")).unionByName(dense.select("token", F.col("y").alias("block"))).distinct()
         entries = blocks.join(ends, ["token", "block"]).select("token", "block", F.explode("entries").alias("e"))
-        members = stage(entries.select("token", "block", "e.n", "e.place", F.explode("e.members").alias("m")).select("token", "block", "n", "place", "m.node", "m.component"), "jaccard-members")
+        members = entries.select("token", "block", "e.n", "e.home", F.explode("e.members").alias("m"))
+        members = stage(members.select("token", "block", "n", F.lit(0).cast("long").alias("place"), "home", "m.node", "m.component"), "jaccard-members")
+        nodes = members.select("node").distinct()
+        maps = sieve(self.signed.select("id", F.col("n").alias("own_n"), "bitmap"), "id", nodes, "node").filter("_maybe").select(F.col("id").alias("node"), "own_n", "bitmap")
+        found = self._meet(dense, members, maps, ["own_n", "home", "bitmap"], 16 * MASS, _map_pairs(self.percent), "a long, b long, token long, x int, y int", "jaccard-hopeful")
+        pairs = stage(found.filter("a is not null").select("a", "b").distinct(), "jaccard-close")
+        left = stage(found.filter("a is null").select("token", "x", "y").distinct(), "jaccard-crowded")
+        if left.isEmpty():
+            return pairs, nothing
+        ends = left.select("token", F.col("x").alias("block")).unionByName(left.select("token", F.col("y").alias("block"))).distinct()
+        members = stage(members.join(ends, ["token", "block"], "left_semi"), "jaccard-crowd")
         nodes = members.select("node").distinct()
         some = sieve(self.texts, "id", nodes, "node").filter("_maybe").select("id", "text").join(nodes, F.col("id") == F.col("node"), "left_semi")
         sets = stage(some.mapInArrow(_sets(self.width), "node long, shingles binary"), "jaccard-sets")
-        mass = members.groupBy("token", "block").agg(F.ceil(F.sum("n") / MASS).cast("int").alias("pieces"))
+        return pairs, self._meet(left, members, sets, ["n", "place", "shingles"], MASS, _dense_links(self.percent), "a long, b long", "jaccard-dense-links")
+
+    def _meet(self, dense: DataFrame, members: DataFrame, contents: DataFrame, carried: list[str], mass: int, function, schema: str, name: str) -> DataFrame:
+        """What ``function`` finds in pairs of blocks: their members with ``contents``, in pieces of ``mass`` shingles each."""
+        masses = members.groupBy("token", "block").agg(F.sum("n").alias("mass")).withColumn("pieces", F.ceil(F.col("mass") / mass).cast("int"))
         own = F.col("x") == F.col("y")
         kinds = dense.select("token", F.explode(F.array("x", "y")).alias("block"), own.alias("own")).groupBy("token", "block").agg(F.max("own").alias("own"), F.max(~F.col("own")).alias("paired"))
-        sizes = stage(mass.join(kinds, ["token", "block"]), "jaccard-masses")
+        sizes = stage(masses.join(kinds, ["token", "block"]), "jaccard-masses")
         placed = members.join(sizes, ["token", "block"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-        member = F.struct("n", "place", "node", "component", "shingles")
+        member = F.struct("node", "component", *carried)
 
-        def pieces(rows: DataFrame, tasks: int) -> DataFrame:
+        def tasks(total: int | None) -> int:
+            """So many that one gets some pieces of full mass, or many small ones."""
+            return max(self.parts, -(-(total or 0) // (2 * mass)))
+
+        def pieces(rows: DataFrame, total: int | None) -> DataFrame:
             key = ("token", "block", "piece")
-            return rows.join(sets, "node").repartition(max(self.parts, tasks), *key).groupBy(*key).agg(F.collect_list(member).alias("members"))
+            return rows.join(contents, "node").repartition(tasks(total), *key).groupBy(*key).agg(F.collect_list(member).alias("members"))
 
         # a piece meets itself where it is gathered; only others are sent again
-        alone = pieces(placed.filter("own"), sizes.agg(F.sum("pieces")).first()[0])
+        alone = pieces(placed.filter("own"), sizes.filter("own").agg(F.sum("mass")).first()[0])
         nobody = F.lit(None).cast(alone.schema["members"].dataType)
-        links = stage(alone.select(F.col("members").alias("left"), nobody.alias("right")).mapInArrow(_dense_links(self.percent), "a long, b long"), "jaccard-own-links")
+        inside = alone.select("token", F.col("block").alias("x"), F.col("block").alias("y"), F.col("members").alias("left"), nobody.alias("right"))
+        found = stage(inside.mapInArrow(function, schema), name)
         more = sizes.filter("paired OR (own AND pieces > 1)")
         if more.isEmpty():
-            return links
-        gathered = stage(pieces(placed.join(more.select("token", "block"), ["token", "block"], "left_semi"), 0), "jaccard-pieces")
+            return found
+        gathered = stage(pieces(placed.join(more.select("token", "block"), ["token", "block"], "left_semi"), more.agg(F.sum("mass")).first()[0]), "jaccard-pieces")
         one = gathered.select("token", F.col("block").alias("x"), F.col("piece").alias("p"), F.col("members").alias("left"))
         two = gathered.select("token", F.col("block").alias("y"), F.col("piece").alias("q"), F.col("members").alias("right"))
-        both = dense.join(one, ["token", "x"]).join(two, ["token", "y"]).filter("x < y OR p < q").select("left", "right")
-        spread = both.repartition(max(self.parts, dense.count()))
-        return links.unionByName(stage(spread.mapInArrow(_dense_links(self.percent), "a long, b long"), "jaccard-dense-links"))
+        both = dense.join(one, ["token", "x"]).join(two, ["token", "y"]).filter("x < y OR p < q").select("token", "x", "y", "left", "right")
+        m1, m2 = (sizes.select("token", F.col("block").alias(b), F.col("mass").alias(f"m{b}"), F.col("pieces").alias(f"p{b}")) for b in ("x", "y"))
+        sent = dense.join(m1, ["token", "x"]).join(m2, ["token", "y"]).agg(F.sum(F.col("mx") * F.col("py") + F.col("my") * F.col("px"))).first()[0]
+        return found.unionByName(stage(both.repartition(tasks(sent)).mapInArrow(function, schema), name))
+
+
+def _apart(one: pa.Array, two: pa.Array) -> np.ndarray:
+    """Which pairs have no home in common; groups without one have met nowhere."""
+    known1, known2 = (np.asarray(x.is_valid()) for x in (one, two))
+    home1, home2 = (x.fill_null(0).to_numpy(zero_copy_only=False) for x in (one, two))
+    return (home1[:, None] != home2[None, :]) | ~known1[:, None] | ~known2[None, :]
 
 
 def _passing(n1, p1, c1, map1, n2, p2, c2, map2, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -485,17 +528,17 @@ def _block_pairs(percent: int):
         v = members.flatten()
         words = np.frombuffer(b"".join(v.field("small").to_pylist()), np.uint64).reshape(len(v), SMALL // 64)
         starts = np.cumsum(sizes) - sizes
-        return n, place, sizes, starts, v.field("node").to_numpy(), v.field("component").to_numpy(), words
+        return n, place, entries.field("home"), sizes, starts, v.field("node").to_numpy(), v.field("component").to_numpy(), words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
                 token, x, y = (batch.column(c)[k].as_py() for c in ("token", "x", "y"))
-                n1, p1, s1, at1, node1, c1, map1 = side(batch.column("left")[k].values)
-                n2, p2, s2, at2, node2, c2, map2 = side(batch.column("right")[k].values)
+                n1, p1, home1, s1, at1, node1, c1, map1 = side(batch.column("left")[k].values)
+                n2, p2, home2, s2, at2, node2, c2, map2 = side(batch.column("right")[k].values)
                 need = _enough(n1[:, None], n2[None, :], percent)
                 good = np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent
-                good &= ((n1 - p1)[:, None] >= need) & ((n2 - p2)[None, :] >= need)
+                good &= ((n1 - p1)[:, None] >= need) & ((n2 - p2)[None, :] >= need) & _apart(home1, home2)
                 if x == y:
                     good = np.triu(good)
                 found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -513,11 +556,64 @@ def _block_pairs(percent: int):
                     found.append((i + at1[u], j + at2[w]))
                 i, j = (np.concatenate([f[e] for f in found]) if found else np.zeros(0, np.int64) for e in (0, 1))
                 a, b = np.minimum(node1[i], node2[j]), np.maximum(node1[i], node2[j])
-                if len(a) > (len(node1) + len(node2)) // 2:
-                    columns = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([token], pa.int64()), pa.array([x], pa.int32()), pa.array([y], pa.int32())]
-                else:
-                    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "token", "x", "y"])
+                yield _pairs_or_name(a, b, len(node1) + len(node2), token, x, y)
+
+    return run
+
+
+def _pairs_or_name(a: np.ndarray, b: np.ndarray, members: int, token: int, x: int, y: int) -> pa.RecordBatch:
+    """Pairs found in two blocks, or the name of the two if there are more pairs than a block has members."""
+    if len(a) > members // 2:
+        columns = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([token], pa.int64()), pa.array([x], pa.int32()), pa.array([y], pa.int32())]
+    else:
+        columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "token", "x", "y"])
+
+
+def _folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Rows of bitmaps, folded to ``words`` 64-bit words."""
+    while maps.shape[1] > words:
+        half = maps.shape[1] // 2
+        maps = maps[:, :half] ^ maps[:, half:]
+    return maps
+
+
+def _map_pairs(percent: int):
+    """Members of two blocks, or of one (``right`` is null): pairs that sizes, components, homes and whole bitmaps allow, or the blocks' name."""
+
+    def side(v) -> tuple:
+        maps = v.field("bitmap").to_pylist()
+        length = np.array([len(x) // 8 for x in maps], np.int64)
+        rows = {int(w): np.flatnonzero(length == w) for w in np.unique(length)}
+        words = {w: np.frombuffer(b"".join(maps[k] for k in at.tolist()), np.uint64).reshape(len(at), w) for w, at in rows.items()}
+        return v.field("own_n").to_numpy(), v.field("component").to_numpy(), v.field("home"), v.field("node").to_numpy(), rows, words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                token, x, y = (batch.column(c)[k].as_py() for c in ("token", "x", "y"))
+                alone = not batch.column("right")[k].is_valid
+                n1, c1, home1, node1, rows1, words1 = side(batch.column("left")[k].values)
+                n2, c2, home2, node2, rows2, words2 = (n1, c1, home1, node1, rows1, words1) if alone else side(batch.column("right")[k].values)
+                need = _enough(n1[:, None], n2[None, :], percent)
+                good = (c1[:, None] != c2[None, :]) & (np.minimum(n1[:, None], n2) * 100 >= np.maximum(n1[:, None], n2) * percent) & _apart(home1, home2)
+                if alone:
+                    good = np.triu(good, 1)
+                i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for w1, at1 in rows1.items():
+                    for w2, at2 in rows2.items():
+                        some = good[np.ix_(at1, at2)]
+                        if not some.any():
+                            continue
+                        one, two = _folded(words1[w1], min(w1, w2)), _folded(words2[w2], min(w1, w2))
+                        for u in np.flatnonzero(some.any(1)).tolist():
+                            h = np.flatnonzero(some[u])
+                            a, b = at1[u], at2[h]
+                            b = b[(n1[a] + n2[b] - np.bitwise_count(two[h] ^ one[u]).sum(1, dtype=np.int64)) // 2 >= need[a, b]]
+                            i.append(np.full(len(b), a))
+                            j.append(b)
+                a, b = node1[np.concatenate(i)], node2[np.concatenate(j)]
+                yield _pairs_or_name(np.minimum(a, b), np.maximum(a, b), len(node1) + len(node2), token, x, y)
 
     return run
 
@@ -537,7 +633,8 @@ def _dense_links(percent: int):
     def side(v) -> tuple:
         sets = [np.frombuffer(x, np.uint64) for x in v.field("shingles").to_pylist()]
         maps = np.frombuffer(b"".join(_bitmap(x, 4 * SMALL) for x in sets), np.uint64).reshape(len(sets), SMALL // 16)
-        return *[v.field(c).to_numpy() for c in ("n", "place", "component")], maps, v.field("node").to_numpy(), sets
+        n = np.array([len(x) for x in sets], np.int64)  # of an id with several texts each has its own
+        return n, *[v.field(c).to_numpy() for c in ("place", "component")], maps, v.field("node").to_numpy(), sets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

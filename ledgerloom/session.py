@@ -16,6 +16,7 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TEXT_ROWS = 2000  # rows of an Arrow batch of texts
 
 _ROOTS: dict[str, str] = {}
@@ -61,11 +62,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
-    planner the true size of the result.
+    planner the true size of the result. The shuffle files of the write, which
+    nothing else reads, go when it ends, not when the driver collects garbage.
     """
-    path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ import brute  # noqa: E402
 import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from ledgerloom import session  # noqa: E402
 from ledgerloom.llm import bpe, chat, frames, jaccard, packing, pii, pivots, quality, repeats, shared, tokens, warc  # noqa: E402
 from ledgerloom.llm.queries import QUERIES  # noqa: E402
 
@@ -234,6 +236,64 @@ def test_jaccard_of_a_dense_group(spark, monkeypatch):
         monkeypatch.setattr(jaccard._Join, "_dense", original)
 
 
+def test_jaccard_of_long_texts_that_fall_short(spark, monkeypatch):
+    """Long texts that share many shingles, but not enough for a link, meet once by their bitmaps: no list sends whole sets, or the same groups again."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(1500)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        for _ in range(24):
+            words[rng.randrange(1500)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    rows.append((40, rows[3][1] + " more"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    names, dense = [], []
+    monkeypatch.setattr(jaccard, "stage", lambda df, name, original=jaccard.stage: (names.append(name), original(df, name))[1])
+    monkeypatch.setattr(jaccard._Join, "_dense", lambda self, pairs, blocks, original=jaccard._Join._dense: (dense.append(pairs.count()), original(self, pairs, blocks))[1])
+    same(jaccard.join(frame).collect(), brute.near(rows))
+    assert dense[0] and not sum(dense[1:]) and "jaccard-sets" not in names
+
+
+def test_groups_that_met_do_not_meet_again():
+    first, none = pa.array([1, 2, 1], pa.int64()), pa.array([None, 1], pa.int64())
+    assert jaccard._apart(first, first).tolist() == [[False, True, False], [True, False, True], [False, True, False]]
+    assert jaccard._apart(first, none).tolist() == [[True, False], [True, True], [True, False]]
+
+
+def test_pairs_by_whole_bitmaps():
+    """Bitmaps of unlike lengths are folded; a place counts for nothing, components and homes that are shared leave a pair out."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 1100, dtype=np.uint64)
+    sets = [base[:1020], base[:1100], base[:700], base[:1021], rng.integers(0, 1 << 63, 1030, dtype=np.uint64)]
+    member = lambda k, component, home: {"node": k, "component": component, "own_n": len(sets[k]), "home": home, "bitmap": jaccard._bitmap(sets[k])}
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("node", "component", "own_n", "home")] + [("bitmap", pa.binary())]))
+
+    def found(left, right=None):
+        columns = {"token": pa.array([7], pa.int64()), "x": pa.array([0], pa.int32()), "y": pa.array([0 if right is None else 1], pa.int32())}
+        batch = pa.RecordBatch.from_pydict(columns | {"left": pa.array([left], kind), "right": pa.array([right], kind)})
+        return [tuple(r.values()) for r in next(jaccard._map_pairs(85)(iter([batch]))).to_pylist()]
+
+    assert len(jaccard._bitmap(sets[0])) < len(jaccard._bitmap(sets[1]))
+    assert sorted(x[:2] for x in found([member(k, k, None) for k in range(5)])) == [(0, 1), (0, 3), (1, 3)]
+    assert [x[:2] for x in found([member(0, 0, 5)], [member(1, 1, 5), member(3, 3, 6)])] == [(0, 3)]
+    assert not found([member(0, 9, None)], [member(1, 9, None)])
+    many = [member(k % 2, k, None) for k in range(8)]
+    assert found(many) == [(None, None, 7, 0, 0)]
+
+
+def test_shuffle_files_of_a_staged_table_go(spark):
+    """They go when the table is written, and the session's own setting stays as it was."""
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, was = files(), spark.conf.get(session.CLEANUP, None)
+    rows = session.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test-cleaned")
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and rows.count() == 7 and spark.conf.get(session.CLEANUP, None) == was
+
+
 def test_links_of_a_piece_with_itself():
     """A piece that meets itself comes once, without a second copy of its sets."""
     base = np.arange(100, dtype=np.uint64)
